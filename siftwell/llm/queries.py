@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op4_byte_level_bpe
 from .ngram_join import op1_ngram_jaccard_join
 from .quality import op2_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_rules": op2_quality_rules,
+    "op4_byte_level_bpe": op4_byte_level_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}

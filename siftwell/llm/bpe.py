@@ -218,17 +218,23 @@ class Codec:
         return b"".join([token[i] for i in ids])
 
 
-@functools.cache
-def load(path: str) -> Codec:
-    """A codec from a ``.tiktoken`` file of ranks or a ``.json`` tokenizer file."""
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Token bytes -> id from a ``.tiktoken`` file or a ``.json`` tokenizer file, without special tokens."""
     with open(path, "rb") as f:
         data = f.read()
-    if path.endswith(".json"):
-        vocab = json.loads(data)["model"]["vocab"]
-        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        char = {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(x for x in range(256) if x not in plain)}
-        return Codec({bytes(char[c] for c in k): v for k, v in vocab.items() if all(c in char for c in k) and not k.startswith("<|")})
-    return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a})
+    if not path.endswith(".json"):
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
+    found = json.loads(data)
+    special = {x["content"] for x in found.get("added_tokens", [])}
+    # the printable stand-ins of byte-level BPE: a byte's own character, or the next one from U+0100
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte = {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(x for x in range(256) if x not in plain)}
+    return {bytes(byte[c] for c in k): v for k, v in found["model"]["vocab"].items() if k not in special}
+
+
+@functools.cache
+def load(path: str) -> Codec:
+    return Codec(read_ranks(path))
 
 
 def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:

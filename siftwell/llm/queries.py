@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_byte_level_bpe
+from .line_dedup import OP5_SQL, op5_line_dedup
 from .ngram_join import op1_ngram_jaccard_join
+from .packing import op3_packing
 from .quality import op2_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_rules": op2_quality_rules,
+    "op3_packing": op3_packing,
     "op4_byte_level_bpe": op4_byte_level_bpe,
+    "op5_line_dedup": op5_line_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL}

@@ -3,10 +3,12 @@
 Each text becomes a set of n-gram hashes in one global order: n-grams that few
 texts hold come first (by a count sketch over all texts), equal ones by hash.
 Two sets of similarity t or more share a member among the first
-n - ceil(t n) + 1 of each, so only those are indexed. For members of the index
-that several sets hold, each set is compared with a pivot set of that member,
-linked sets are contracted, and only sets that are then still apart are compared
-with the rest. A comparison puts the candidates of one set into a prefix tree:
+n - ceil(t n) + 1 of each, so those are indexed, with all rare ones whose hash is
+below a cut. Every set indexes what it holds below the cut, so how many of these
+it shares bounds its overlap with any other set: that drops sets, then pairs.
+For members that several remaining sets hold, each set is compared with the pivot
+it shares most with, linked sets are contracted, and only sets that are then
+still apart are compared with the rest. A comparison puts the candidates of one set into a prefix tree:
 a path that candidates share is overlapped with the set once, and a subtree is
 left when the members that remain cannot reach the bound.
 
@@ -28,11 +30,13 @@ WORDS = 5
 PERCENT = 75
 #: Counters of the sketch; fixed, so what is broadcast doesn't grow: 1 byte each.
 SKETCH = 1 << 20
+#: Share of the hashes below the cut; above 1 - t, so that the bound bites.
+CUT = 0.35
 #: Entries that a map task holds before it ships them.
 FLUSH = 1 << 21
 #: Sketch level (log2 of a count against the mean counter) from which an n-gram
 #: is indexed as plain rows, which Spark can split, and not in a packed bucket.
-HEAVY_LEVEL = 12
+HEAVY_LEVEL = 6
 
 
 # --- sets --------------------------------------------------------------------
@@ -78,12 +82,6 @@ def prefix_length(n: int, percent: int) -> int:
 # --- prefix tree -------------------------------------------------------------
 
 
-def rank_in_order(grams: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """Sort key of members in the global order, as (level, hash)."""
-    at = level[(grams & np.uint64(SKETCH - 1)).astype(np.int64)]
-    return (at.astype(np.uint64) << np.uint64(56)) | (grams >> np.uint64(8))
-
-
 def linked(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool]:
     """Which of ``sets`` have the similarity with ``probe``; all in the global order.
 
@@ -130,37 +128,22 @@ def linked(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool
 # --- stages ------------------------------------------------------------------
 
 
-def _classes(docs: DataFrame, words: int) -> DataFrame:
-    """kind 0: (doc_id, n, cls) of each row; kind 1: blocks of the count sketch."""
-    width, block = SKETCH, 1 << 14
+def _sketch_levels(docs: DataFrame, words: int) -> np.ndarray:
+    """The level of every counter of the count sketch over all texts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(width, np.int64)
+    Tasks ship their counters by block; the sum has a fixed size.
+    """
+    block = 1 << 14
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = np.zeros(SKETCH, np.int64)
         for b in batches:
-            n, cls, kept = [], [], []
-            for grams in text_sets(b.column(1), words):
-                n.append(len(grams))
-                cls.append(set_id(grams) if len(grams) else None)
-                kept.append(grams)
-            if kept:
-                sketch += np.bincount((np.concatenate(kept) & np.uint64(width - 1)).astype(np.int64), minlength=width)
-            rows = len(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * rows, pa.int32()), b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.nulls(rows, pa.binary())],
-                names=["kind", "doc_id", "n", "cls", "block"],
-            )
-        used = [i for i in range(width // block) if sketch[i * block : (i + 1) * block].any()]
+            for grams in text_sets(b.column(0), words):
+                if len(grams):
+                    np.add.at(sketch, (grams & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+        used = [i for i in range(SKETCH // block) if sketch[i * block : (i + 1) * block].any()]
         packed = [sketch[i * block : (i + 1) * block].astype(np.uint32).tobytes() for i in used]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([1] * len(used), pa.int32()), pa.array(used, pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.array(packed, pa.binary())],
-            names=["kind", "doc_id", "n", "cls", "block"],
-        )
-
-    return docs.mapInArrow(run, "kind int, doc_id long, n long, cls long, block binary")
-
-
-def _sketch_levels(blocks: DataFrame) -> np.ndarray:
-    """Sums the tasks' sketches by block; the result has a fixed size."""
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(packed, pa.binary())], names=["at", "block"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -168,34 +151,64 @@ def _sketch_levels(blocks: DataFrame) -> np.ndarray:
             for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 got = np.frombuffer(x, np.uint32).astype(np.uint64)
                 total[i] = total[i] + got if i in total else got
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["doc_id", "block"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["at", "block"])
 
-    summed = blocks.select("doc_id", "block").repartition("doc_id").mapInArrow(add, "doc_id long, block binary")
+    summed = docs.select("text").mapInArrow(count, "at int, block binary").repartition("at").mapInArrow(add, "at int, block binary")
     counts = np.zeros(SKETCH, np.float64)
-    size = 1 << 14
-    for i, x in summed.toLocalIterator():  # SKETCH counters in all
-        counts[i * size : (i + 1) * size] += np.frombuffer(x, np.uint64)
+    for i, x in summed.collect():  # SKETCH counters in all, however large the corpus
+        counts[i * block : (i + 1) * block] += np.frombuffer(x, np.uint64)
     return levels(counts)
 
 
+def below_cut(in_order: np.ndarray, level: np.ndarray) -> int:
+    """How many members of an ordered set are rare and below the cut; they come first."""
+    low = in_order < np.uint64(int(CUT * 2**64))
+    return int((low & (level[(in_order & np.uint64(SKETCH - 1)).astype(np.int64)] == 0)).sum())
+
+
+def _classes(docs: DataFrame, level, words: int, percent: int) -> DataFrame:
+    """(doc_id, n, cls, low, need) of each row.
+
+    low: members below the cut. need: how many of them any linked set shares.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, cls, low, need = [], [], [], []
+            for grams in text_sets(b.column(1), words):
+                size = len(grams)
+                n.append(size)
+                cls.append(set_id(grams) if size else None)
+                low.append(below_cut(ordered(grams, level.value), level.value) if size else 0)
+                # an overlap is at least t n; the members above the cut give n - low of it
+                need.append(low[-1] - size - (-size * percent // 100) if low[-1] >= prefix_length(size, percent) else 0)
+            columns = [b.column(0).cast(pa.int64())] + [pa.array(x, pa.int64()) for x in (n, cls, low, need)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "low", "need"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, cls long, low long, need long")
+
+
 def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> DataFrame:
-    """Prefix members: packed by bucket of the hash, or as rows if very common."""
+    """Indexed members: packed by bucket of the hash, or as rows if very common.
+
+    A member is shipped as 32 bits within its bucket: two that fall together
+    only add candidates.
+    """
+    names = ["bucket", "gram", "cls", "grams", "classes"]
 
     def rows(grams: list[np.ndarray], cls: list[int]) -> Iterator[pa.RecordBatch]:
         gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         of = np.repeat(np.array(cls, np.int64), [len(g) for g in grams])
         common = level.value[(gram & np.uint64(SKETCH - 1)).astype(np.int64)] >= HEAVY_LEVEL
+        gram = shared.mix(gram)
         k = int(common.sum())
         if k:
             yield pa.RecordBatch.from_arrays([pa.array([-1] * k, pa.int32()), pa.array(gram[common].view(np.int64)), pa.array(of[common]), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
         gram, of = gram[~common], of[~common]
-        # gram >> 32 spreads evenly: the hashes are mixed
         bucket = ((gram >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        gram, of, bucket = gram[order], of[order], bucket[order]
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
+        gram, of, bucket = gram[order].astype(np.uint32), of[order], bucket[order]
+        cut = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
         full = [i for i in range(buckets) if cut[i + 1] > cut[i]]
         k = len(full)
         yield pa.RecordBatch.from_arrays(
@@ -203,8 +216,6 @@ def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> Da
             names=names,
         )
 
-    names = ["bucket", "gram", "cls", "grams", "classes"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, cls, held, seen = [], [], 0, set()
         for b in batches:
@@ -217,7 +228,8 @@ def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> Da
                 seen.add(c)
                 if len(seen) > 1 << 18:
                     seen.clear()
-                p = ordered(g, level.value)[: prefix_length(len(g), percent)]
+                g = ordered(g, level.value)
+                p = g[: max(prefix_length(len(g), percent), below_cut(g, level.value))]
                 grams.append(p)
                 cls.append(c)
                 held += len(p)
@@ -229,7 +241,7 @@ def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> Da
     return docs.select("text").mapInArrow(run, "bucket int, gram long, cls long, grams binary, classes binary")
 
 
-def _postings(packed: DataFrame) -> DataFrame:
+def _postings(packed: DataFrame, any_heavy: bool) -> DataFrame:
     """(gram, cls) of the indexed members that several classes hold."""
 
     def shared_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,10 +250,10 @@ def _postings(packed: DataFrame) -> DataFrame:
             for i, g, c in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 held.setdefault(i, []).append((g, c))
         while held:
-            _, parts = held.popitem()
-            gram = np.frombuffer(b"".join(g for g, _ in parts), np.uint64)
+            i, parts = held.popitem()
+            gram = np.frombuffer(b"".join(g for g, _ in parts), np.uint32).astype(np.uint64)
             cls = np.frombuffer(b"".join(c for _, c in parts), np.int64)
-            keep = np.flatnonzero(shared.repeated(gram))
+            keep = np.flatnonzero(shared.repeated(gram << np.uint64(32)))
             order = keep[np.lexsort((cls[keep], gram[keep]))]
             gram, cls = gram[order], cls[order]
             if not len(gram):
@@ -251,24 +263,15 @@ def _postings(packed: DataFrame) -> DataFrame:
             gram, cls = gram[new], cls[new]
             _, where, count = np.unique(gram, return_inverse=True, return_counts=True)
             many = count[where] > 1
-            yield pa.RecordBatch.from_arrays([pa.array(gram[many].view(np.int64)), pa.array(cls[many])], names=["gram", "cls"])
+            gram = gram[many] + (np.uint64(i) << np.uint64(32))
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(cls[many])], names=["gram", "cls"])
 
     light = packed.where("bucket >= 0").select("bucket", "grams", "classes").repartition("bucket").mapInArrow(shared_members, "gram long, cls long")
-    heavy = packed.where("bucket < 0").select("gram", "cls").distinct()
-    return light.union(heavy)
+    return light.union(packed.where("bucket < 0").select("gram", "cls").distinct()) if any_heavy else light
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, level, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, level, words: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets have the similarity; each pair is compared once."""
-    left = sets.select(F.col("cls").alias("u"), F.col("n").alias("un"), F.col("grams").alias("ug"))
-    right = sets.select(F.col("cls").alias("v"), F.col("n").alias("vn"), F.col("grams").alias("vg"))
-    sizes = sets.select("cls", "n")
-    fit = (
-        pairs.join(sizes.select(F.col("cls").alias("u"), F.col("n").alias("un")), "u")
-        .join(sizes.select(F.col("cls").alias("v"), F.col("n").alias("vn")), "v")
-        .where(F.least("un", "vn") * 100 >= F.greatest("un", "vn") * percent)
-        .select("u", "v")
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -277,12 +280,16 @@ def _verify(pairs: DataFrame, sets: DataFrame, level, percent: int) -> DataFrame
                 groups.setdefault(u, []).append(i)
             hits = []
             for at in groups.values():
-                probe = np.frombuffer(b.column(2)[at[0]].as_py(), np.uint64)
-                found = linked(probe, [np.frombuffer(b.column(3)[i].as_py(), np.uint64) for i in at], percent)
-                hits += [i for i, x in zip(at, found, strict=True) if x]
+                for k in range(0, len(at), 256):  # sets held at a time
+                    part = at[k : k + 256]
+                    column = pa.concat_arrays([b.column(2).slice(at[0], 1), b.column(3).take(pa.array(part, pa.int64()))])
+                    probe, *sets = [ordered(g, level.value) for g in text_sets(column, words)]
+                    hits += [i for i, x in zip(part, linked(probe, sets, percent), strict=True) if x]
             yield b.select([0, 1]).take(pa.array(hits, pa.int64()))
 
-    both = fit.join(right.drop("vn"), "v").join(left.drop("un"), "u").select("u", "v", "ug", "vg")
+    right = texts.select(F.col("cls").alias("v"), F.col("text").alias("vt"))
+    left = texts.select(F.col("cls").alias("u"), F.col("text").alias("ut"))
+    both = pairs.select("u", "v").join(right, "v").join(left, "u").select("u", "v", "ut", "vt")
     return both.mapInArrow(run, "u long, v long")
 
 
@@ -293,67 +300,76 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     with fewer words has its whole word sequence as its one member; a text
     without words has no member and is its own component. component_id is the
     smallest doc_id that links reach. Null texts count as empty. Rows with a
-    null doc_id stay with a null component_id if nothing with an id is reached;
-    repeated rows each get their row. Other columns are ignored.
+    null doc_id stay, with a null component_id unless a text equal to theirs has
+    an id; repeated rows each get their row. Other columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = shared.materialize(_classes(docs, words), "classes")
-    rows = first.where("kind = 0").select("doc_id", "n", "cls")
-    level = spark.sparkContext.broadcast(_sketch_levels(first.where("kind = 1")))
+    level = spark.sparkContext.broadcast(_sketch_levels(docs, words))
+    rows = shared.materialize(_classes(docs, level, words, percent), "classes")
     buckets = max(32, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = shared.materialize(_index(docs, level, buckets, words, percent), "index")
-    posts = shared.materialize(_postings(packed), "postings")
-    shared.discard(packed)
+    found = shared.materialize(_postings(_index(docs, level, buckets, words, percent), bool((level.value >= HEAVY_LEVEL).any())), "postings")
+    known = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("need").alias("need"))
 
-    # The sets of the classes that the index names, from one document each.
-    wanted = posts.select("cls").distinct()
-    carriers = rows.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(wanted, "cls")
+    # Sets that share too few of their members below the cut have no partner.
+    enough = shared.materialize(
+        found.groupBy("cls").agg(F.count("*").alias("k")).join(known, "cls").where("k >= need and doc_id is not null").drop("k", "need"), "enough"
+    )
+    posts = found.join(enough.select("cls"), "cls")
+    held = posts.groupBy("gram").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
+    posts = shared.materialize(posts.join(held, "gram").select("gram", "cls", "lo", "hi"), "posts")
+    shared.discard(found)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for want, grams in zip(b.column(0).to_pylist(), text_sets(b.column(1), words), strict=True):
-                if len(grams) and set_id(grams) == want:
-                    out.append((want, len(grams), ordered(grams, level.value).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["cls", "n", "grams"])
-
-    sets = docs.join(carriers, "doc_id").select("cls", "text").mapInArrow(load, "cls long, n long, grams binary")
-    sets = shared.materialize(sets.dropDuplicates(["cls"]), "sets")
-
-    # Compare each class with the first and the last class of each member it holds.
-    ends = posts.groupBy("gram").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
-    star = posts.join(ends, "gram").select(F.explode(F.array(F.struct(F.col("lo").alias("u"), F.col("cls").alias("v")), F.struct(F.col("hi").alias("u"), F.col("cls").alias("v")))).alias("p")).select("p.*")
-    star = star.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    links = shared.materialize(_verify(star, sets, level, percent), "links")
+            same = [len(g) > 0 and set_id(g) == want for want, g in zip(b.column(0).to_pylist(), text_sets(b.column(1), words), strict=True)]
+            yield b.filter(pa.array(same, pa.bool_()))
+
+    carriers = enough.select("doc_id", "cls").join(posts.select("cls").distinct(), "cls")
+    texts = docs.join(carriers, "doc_id").select("cls", "text").mapInArrow(load, "cls long, text string")
+    texts = shared.materialize(texts, "texts")
+    sizes = shared.materialize(texts.select("cls").join(enough.drop("doc_id"), "cls").dropDuplicates(["cls"]), "sizes")
+    texts = texts.dropDuplicates(["cls"]) if texts.count() > sizes.count() else texts
+
+    # Each class and the pivot with which it shares most.
+    star = posts.select(F.col("cls").alias("v"), F.explode(F.array("lo", "hi")).alias("u")).where("u <> v")
+    star = star.groupBy("v", "u").agg(F.count("*").alias("k")).groupBy("v").agg(F.max(F.struct("k", "u")).alias("best"))
+    star = star.select(F.least("v", "best.u").alias("u"), F.greatest("v", "best.u").alias("v")).distinct()
+    star = _sized(star, sizes).where(f"least(un, vn) * 100 >= greatest(un, vn) * {percent}")
+    links = shared.materialize(_verify(star, texts, level, words, percent), "links")
     comp = shared.materialize(graph.components(links), "comp")
 
-    # Members whose classes are still apart: compare those outside the member's
-    # largest component with all others.
+    # Members whose classes are still apart: the classes outside the member's
+    # largest component against the others, if what they share below the cut
+    # leaves the similarity possible.
     placed = posts.join(comp, posts.cls == comp.node, "left").select("gram", "cls", F.coalesce("comp", "cls").alias("comp"))
     placed = shared.materialize(placed, "placed")
     by_comp = placed.groupBy("gram", "comp").agg(F.count("*").alias("k"))
     main = by_comp.groupBy("gram").agg(F.max(F.struct("k", "comp")).getField("comp").alias("main"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
-    sized = placed.join(main, "gram").join(sets.select("cls", "n"), "cls")
+    sized = placed.join(main, "gram").join(sizes.select("cls", "n"), "cls")
     apart = sized.where("comp <> main").select("gram", F.col("cls").alias("u"), F.col("comp").alias("uc"), F.col("n").alias("un"))
     others = sized.select("gram", F.col("cls").alias("v"), F.col("comp").alias("vc"), F.col("n").alias("vn"), (F.col("comp") == F.col("main")).alias("in_main"))
-    rest = apart.join(others, "gram").where(
-        f"uc <> vc and (in_main or u < v) and least(un, vn) * 100 >= greatest(un, vn) * {percent}"
+    rest = apart.join(others, "gram").where(f"uc <> vc and (in_main or u < v) and least(un, vn) * 100 >= greatest(un, vn) * {percent}")
+    rest = rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).groupBy("u", "v").agg(F.count("*").alias("k"))
+    rest = _sized(rest, sizes).where(
+        f"(k + least(un - ulow, vn - vlow)) * {100 + percent} >= {percent} * (un + vn)"
     )
-    rest = rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    tried = star.select("u", "v")
-    rest = rest.join(tried, ["u", "v"], "left_anti")
-    more = shared.materialize(_verify(rest, sets, level, percent), "links")
+    more = shared.materialize(_verify(rest, texts, level, words, percent), "links")
     comp = graph.components(links.union(more)) if not more.isEmpty() else comp
 
-    smallest = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low"))
-    group = smallest.join(comp, smallest.cls == comp.node, "left").select("cls", "low", F.coalesce("comp", "cls").alias("comp"))
-    low = group.groupBy("comp").agg(F.min("low").alias("component_id"))
+    group = known.select("cls", F.col("doc_id").alias("first")).join(comp, known.cls == comp.node, "left").select("cls", "first", F.coalesce("comp", "cls").alias("comp"))
+    low = group.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = group.join(low, "comp").select("cls", "component_id")
     return rows.join(named, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    for x in ("u", "v"):
+        pairs = pairs.join(sizes.select(F.col("cls").alias(x), F.col("n").alias(f"{x}n"), F.col("low").alias(f"{x}low")), x)
+    return pairs
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(shared.table(spark, sf_dir, "documents"))

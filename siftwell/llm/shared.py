@@ -45,6 +45,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     if not _written:
         atexit.register(_clean)
     _written.append((spark, path))
+    spark.sparkContext._jvm.System.gc()  # Spark removes shuffle files once the driver has collected what names them
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from . import shared
 
 #: Merged pre-tokens that a worker remembers; after that it starts afresh.
-REMEMBERED = 3 << 18
+REMEMBERED = 1 << 19
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
 

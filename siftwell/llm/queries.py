@@ -11,6 +11,9 @@ from .line_dedup import OP5_SQL, op5_line_dedup
 from .ngram_join import op1_ngram_jaccard_join
 from .packing import op3_packing
 from .quality import op2_quality_rules
+from .substring_dedup import op7_suffix_array_dedup
+from .url_reputation import OP8_SQL, op8_url_filter
+from .vector_search import op6_vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -18,5 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op6_vector_search": op6_vector_search,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_url_filter": op8_url_filter,
 }
-ORACLE_SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op8_url_filter": OP8_SQL}

@@ -81,7 +81,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", lines: int = LINES) -> Data
     later = windows.join(twice, "h").where(place != F.col("first"))
     later = later.select("k_id", "k_text", "w").distinct().groupBy("k_id", "k_text").agg(F.array_sort(F.collect_list("w")).alias("k_cut"))
     joined = keyed.join(later, ["k_id", "k_text"], "left").drop("k_id", "k_text")
-    frame = docs.schema.add("n_lines", "long").add("n_removed", "long")
+    frame = shared.widened(docs, "n_lines long, n_removed long")
     k = names.index(text)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -167,7 +167,7 @@ def below_cut(in_order: np.ndarray, level: np.ndarray) -> int:
 
 
 def _classes(docs: DataFrame, level, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, cls, low, need) of each row.
+    """(doc_id, k_text, n, cls, low, need) of each row.
 
     low: members below the cut. need: how many of them any linked set shares.
     """
@@ -175,17 +175,18 @@ def _classes(docs: DataFrame, level, words: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, cls, low, need = [], [], [], []
-            for grams in text_sets(b.column(1), words):
+            for grams in text_sets(b.column(2), words):
                 size = len(grams)
                 n.append(size)
                 cls.append(set_id(grams) if size else None)
                 low.append(below_cut(ordered(grams, level.value), level.value) if size else 0)
                 # an overlap is at least t n; the members above the cut give n - low of it
                 need.append(low[-1] - size - (-size * percent // 100) if low[-1] >= prefix_length(size, percent) else 0)
-            columns = [b.column(0).cast(pa.int64())] + [pa.array(x, pa.int64()) for x in (n, cls, low, need)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "low", "need"])
+            columns = [b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in (n, cls, low, need))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "k_text", "n", "cls", "low", "need"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, cls long, low long, need long")
+    keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k_text"), "text")
+    return keyed.mapInArrow(run, "doc_id long, k_text long, n long, cls long, low long, need long")
 
 
 def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> DataFrame:
@@ -294,7 +295,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, level, words: int, percent: int)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Each row's doc_id, n_shingles and component_id.
+    """Each row's doc_id, n_shingles and component_id, and a hash of its text.
 
     Similarity is that of the sets of distinct ``words``-word n-grams; a text
     with fewer words has its whole word sequence as its one member; a text
@@ -361,7 +362,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     low = group.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = group.join(low, "comp").select("cls", "component_id")
     return rows.join(named, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "k_text"
     )
 
 
@@ -371,5 +372,18 @@ def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return pairs
 
 
+def first_of_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates: the smallest doc_id.
+
+    Rows that repeat a doc_id and text count as one document; rows with a null
+    doc_id stay unless a group with an id has their text.
+    """
+    found = near_duplicates(docs, words, percent)
+    stay = found.where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("s_id"), F.col("k_text").alias("s_text")).distinct()
+    keyed = docs.withColumns({"k_id": F.col("doc_id").cast("long"), "k_text": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    kept = keyed.join(stay, F.col("k_id").eqNullSafe(F.col("s_id")) & (F.col("k_text") == F.col("s_text")), "left_semi")
+    return kept.dropDuplicates(["k_id", "k_text"]).select(*[f"`{c}`" for c in docs.columns])
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(shared.table(spark, sf_dir, "documents"))
+    return near_duplicates(shared.table(spark, sf_dir, "documents")).drop("k_text")

@@ -172,8 +172,7 @@ def score(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> Dat
     ours = [x.strip().split(" ")[0] for x in SCHEMA.split(",")]
     keep = [f for f in docs.schema.fields if f.name not in ours]
     frame = docs.select(*[f"`{f.name}`" for f in keep])
-    schema = frame.sparkSession.createDataFrame([], SCHEMA).schema
-    out = type(schema)(keep + list(schema.fields))
+    out = shared.widened(frame, SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_byte_level_bpe
+from .chat import op10_chat_formatting
+from .html_text import op9_html_extraction
 from .line_dedup import OP5_SQL, op5_line_dedup
 from .ngram_join import op1_ngram_jaccard_join
 from .packing import op3_packing
@@ -24,5 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_vector_search": op6_vector_search,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_url_filter": op8_url_filter,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLE_SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op8_url_filter": OP8_SQL}

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that the numpy kernels look at in one go.
 CHUNK = 2 << 20
@@ -81,6 +82,11 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     return [F.coalesce(F.col(id_col), low).alias("k_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("k_text")]
 
 
+def widened(df: DataFrame, more: str) -> T.StructType:
+    """The schema of ``df`` with the columns of the DDL string ``more`` after it."""
+    return T.StructType([*df.schema.fields, *T._parse_datatype_string(more).fields])
+
+
 def text_column(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -215,7 +216,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE) -> Dat
     docs = docs.select(*[f"`{c}`" for c in names])
     spans = repeated_spans(docs, text, size)
     joined = docs.select("*", *shared.row_key(text_col=text)).join(spans, ["k_id", "k_text"], "left").drop("k_id", "k_text")
-    schema = docs.schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
+    schema = shared.widened(docs, "n_bytes long, n_removed long, n_spans long, kept binary")
     k = names.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,6 +239,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE) -> Dat
     return joined.mapInArrow(cut, schema)
 
 
+@F.pandas_udf("string")
+def as_text(kept: pd.Series) -> pd.Series:
+    """Bytes as text; what is left of a character that was cut goes."""
+    return kept.map(lambda x: x.decode(errors="ignore"), na_action="ignore")
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(shared.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

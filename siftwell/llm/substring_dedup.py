@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
@@ -239,10 +239,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE) -> Dat
     return joined.mapInArrow(cut, schema)
 
 
-@F.pandas_udf("string")
-def as_text(kept: pd.Series) -> pd.Series:
-    """Bytes as text; what is left of a character that was cut goes."""
-    return kept.map(lambda x: x.decode(errors="ignore"), na_action="ignore")
+def as_text(kept: str) -> Column:
+    """A column of bytes as text; what is left of a character that was cut goes."""
+
+    def decode(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: x.decode(errors="ignore"), na_action="ignore")
+
+    return F.pandas_udf(decode, "string")(F.col(kept))
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,10 @@ from . import shared
 from .suffix_array import common_prefixes, suffix_array
 
 SIZE = 400
-GRAM = 64
+#: Longer grams keep strings apart that differ near their anchor, at the price of more regions.
+GRAM = 200
+#: Bits of the filter of repeated anchors; fixed, so what is broadcast doesn't grow.
+FILTER_BITS = 1 << 25
 #: Bytes of a shard (more only to keep an anchor's regions together).
 SHARD = 1 << 20
 #: Different regions of an anchor that share a shard.
@@ -34,7 +37,7 @@ TOGETHER = 2048
 def regions(raw: np.ndarray, offs: np.ndarray, size: int = SIZE, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(text, first and last start, anchor, hash of its bytes, tied) of each region.
 
-    tied: the anchor's hash is there more than once, so the region may repeat itself.
+    tied: the region holds a string twice.
     """
     n = len(raw)
     none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, bool),)
@@ -67,19 +70,21 @@ def regions(raw: np.ndarray, offs: np.ndarray, size: int = SIZE, gram: int = GRA
     begin = np.repeat(first, parts) + width * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
     last = np.minimum(begin + width - 1, np.repeat(last, parts))
     anchor = low[begin]
-    # where the anchors' hashes are: a table of their upper bits leaves few to look at
+    # Can a region repeat itself? Its anchor's hash must be there twice; a table
+    # of the anchors' upper bits leaves few places to look at.
     bits = 18
     known = np.zeros(1 << bits, bool)
     known[(anchor >> np.uint64(64 - bits)).astype(np.int64)] = True
     near = np.flatnonzero(known[(h >> np.uint64(64 - bits)).astype(np.int64)])
-    order = np.argsort(h[near], kind="stable")
-    near = near[order]  # by hash, then by place
+    near = near[np.argsort(h[near], kind="stable")]  # by hash, then by place
     value = h[near]
     lo, hi = np.searchsorted(value, anchor, "left"), np.searchsorted(value, anchor, "right")
     tied = np.zeros(len(begin), bool)
-    for i in np.flatnonzero(hi - lo > 1).tolist():
+    for i in np.flatnonzero((hi - lo > 1) & (last > begin)).tolist():
         places = near[lo[i] : hi[i]]
-        tied[i] = np.searchsorted(places, last[i] + width) - np.searchsorted(places, begin[i]) > 1
+        if np.searchsorted(places, last[i] + width) - np.searchsorted(places, begin[i]) > 1:
+            at = np.arange(begin[i], last[i] + 1)
+            tied[i] = len(np.unique(hashes.of(at, at + size))) < len(at)
     return text[begin], begin - offs[text[begin]], last - offs[text[begin]], anchor, hashes.of(begin, last + size), tied
 
 
@@ -108,9 +113,40 @@ def _runs(at: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(at[np.append(0, cut + 1)].tolist(), at[np.append(cut, len(at) - 1)].tolist(), strict=True))
 
 
+def _bit(v: np.ndarray) -> np.ndarray:
+    return (shared.mix(v.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _filter_of(anchors: DataFrame) -> np.ndarray:
+    """A bit for each anchor's slot: what it lets through is looked up afterwards."""
+    block = 1 << 16
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_BITS, bool)
+        for b in batches:
+            bits[_bit(b.column(0).to_numpy())] = True
+        packed = np.packbits(bits, bitorder="little")
+        used = [i for i in range(len(packed) // block) if packed[i * block : (i + 1) * block].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([packed[i * block : (i + 1) * block].tobytes() for i in used], pa.binary())], names=["at", "bits"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                got = np.frombuffer(x, np.uint8)
+                total[i] = total[i] | got if i in total else got
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["at", "bits"])
+
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for i, x in anchors.mapInArrow(shared.tidy(put), "at int, bits binary").repartition("at").mapInArrow(shared.tidy(join), "at int, bits binary").collect():  # FILTER_BITS in all
+        out[i * block : (i + 1) * block] = np.frombuffer(x, np.uint8)
+    return out
+
+
 def repeated_spans(docs: DataFrame, text: str, size: int) -> DataFrame:
     """(k_id, k_text, spans): byte spans of each text that repeated strings cover."""
     spark = docs.sparkSession
+    shared.small_batches(spark)
     keyed = docs.select(*shared.row_key(text_col=text), F.col(text).alias("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,9 +160,17 @@ def repeated_spans(docs: DataFrame, text: str, size: int) -> DataFrame:
                 )
 
     kind = "k_id long, k_text long, a long, b long, v long, r long, tied boolean"
-    found = shared.materialize(keyed.mapInArrow(find, kind), "regions")
+    found = shared.materialize(keyed.mapInArrow(shared.tidy(find), kind), "regions")
     many = found.groupBy("v").agg(F.count("*").alias("c"), F.max("tied").alias("t")).where("c > 1 or t").select("v")
-    found2 = shared.materialize(found.join(many, "v").select("k_id", "k_text", "a", "b", "v", "r", "tied"), "repeated")
+    many = shared.materialize(many, "anchors")
+    seen = spark.sparkContext.broadcast(_filter_of(many))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bit = _bit(b.column(4).to_numpy())
+            yield b.filter(pa.array((seen.value[bit >> 3] >> (bit & 7) & 1).astype(bool)))
+
+    found2 = shared.materialize(found.mapInArrow(shared.tidy(likely), kind).join(many, "v").select("k_id", "k_text", "a", "b", "v", "r", "tied"), "repeated")
     shared.discard(found)
     place = F.struct("k_id", "k_text", "a", "b")
     same = found2.groupBy("v", "r").agg(F.count("*").alias("c"), F.min(place).alias("p"), F.max("tied").alias("t"))
@@ -144,7 +188,7 @@ def repeated_spans(docs: DataFrame, text: str, size: int) -> DataFrame:
     by_text = differ.groupBy("k_id", "k_text").agg(F.collect_list(F.struct("a", "b", "v", "done", "salt")).alias("parts"))
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 128)):
             rows = []
             for k, t, parts, x in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 data = (x or "").encode()
@@ -155,7 +199,7 @@ def repeated_spans(docs: DataFrame, text: str, size: int) -> DataFrame:
             )
 
     one_each = keyed.join(by_text, ["k_id", "k_text"]).select("k_id", "k_text", "parts", "text")
-    pieces = one_each.mapInArrow(slices, "k_id long, k_text long, a long, b long, v long, done boolean, salt long, bytes binary")
+    pieces = one_each.mapInArrow(shared.tidy(slices), "k_id long, k_text long, a long, b long, v long, done boolean, salt long, bytes binary")
     pieces = pieces.dropDuplicates(["v", "k_id", "k_text", "a"])  # a document stated twice
     pieces = pieces.repartition("v", "salt").sortWithinPartitions("v", "salt")
 
@@ -173,7 +217,7 @@ def repeated_spans(docs: DataFrame, text: str, size: int) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held, key = [], 0, None
-        for b in batches:
+        for b in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if held >= SHARD and (row[4], row[6]) != key:
                     yield flush(rows)
@@ -184,7 +228,7 @@ def repeated_spans(docs: DataFrame, text: str, size: int) -> DataFrame:
         if rows:
             yield flush(rows)
 
-    results = shared.materialize(pieces.mapInArrow(search, "k_id long, k_text long, s long, e long, h long"), "spans")
+    results = shared.materialize(pieces.mapInArrow(shared.tidy(search), "k_id long, k_text long, s long, e long, h long"), "spans")
     strings = results.where("h is not null")
     at = F.struct("k_id", "k_text", "s")
     across = strings.groupBy("h").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo <> hi").select("h")
@@ -221,8 +265,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE) -> Dat
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
                 size_of, removed, runs, kept = [], [], [], []
                 for x, found in zip(part.column(k).to_pylist(), part.column(len(names)).to_pylist(), strict=True):
                     data = (x or "").encode()
@@ -236,7 +280,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE) -> Dat
                     [*part.columns[: len(names)], *(pa.array(x, pa.int64()) for x in (size_of, removed, runs)), pa.array(kept, pa.binary())], names=[*names, *ours]
                 )
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(shared.tidy(cut), schema)
 
 
 def as_text(kept: str) -> Column:

@@ -250,6 +250,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     repeated rows pass through.
     """
     names = [c for c in docs.columns if c != ids]
+    shared.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(path)
@@ -261,7 +262,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
                 yield pa.RecordBatch.from_arrays([c.slice(i, j - i) for c in b.columns] + [column], names=[*names, ids])
 
     frame = docs.select(*[f"`{c}`" for c in names])
-    return frame.mapInArrow(run, _with(frame.schema, ids, T.ArrayType(T.IntegerType())))
+    return frame.mapInArrow(shared.tidy(run), _with(frame.schema, ids, T.ArrayType(T.IntegerType())))
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -276,7 +277,7 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*names, out])
 
     frame = coded.select(*[f"`{c}`" for c in names])
-    return frame.mapInArrow(run, _with(frame.schema, out, T.BinaryType()))
+    return frame.mapInArrow(shared.tidy(run), _with(frame.schema, out, T.BinaryType()))
 
 
 def op4_byte_level_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

@@ -130,7 +130,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["conv_id", "part", "n_turns", "formatted", "loss"])
 
-    return ordered.mapInArrow(run, SCHEMA)
+    return ordered.mapInArrow(shared.tidy(run), SCHEMA)
 
 
 def read_turns(formatted: str) -> Iterator[tuple[str, str]]:
@@ -179,7 +179,7 @@ def read_back(parts: DataFrame) -> DataFrame:
             yield _digests([done()])
 
     ordered = parts.repartition("conv_id").sortWithinPartitions("conv_id", "part")
-    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return ordered.mapInArrow(shared.tidy(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def _digests(rows: list[tuple]) -> pa.RecordBatch:

@@ -197,6 +197,7 @@ def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> Data
     blocks are joined by one. A column named like ``out`` is replaced.
     """
     names = [c for c in pages.columns if c != out]
+    shared.small_batches(pages.sparkSession)
     frame = pages.select(*[f"`{c}`" for c in names])
     k = names.index(html_col)
 
@@ -207,7 +208,7 @@ def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> Data
                 texts = [main_text(x.as_py()) for x in part.column(k)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, out])
 
-    return frame.mapInArrow(run, shared.widened(frame, f"{out} string"))
+    return frame.mapInArrow(shared.tidy(run), shared.widened(frame, f"{out} string"))
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

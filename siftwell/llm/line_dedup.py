@@ -63,6 +63,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", lines: int = LINES) -> Data
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "k_id", "k_text")]
     docs = docs.select(*[f"`{c}`" for c in names])
+    shared.small_batches(docs.sparkSession)
     keyed = docs.select("*", *shared.row_key(text_col=text))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +75,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", lines: int = LINES) -> Data
                     [b.column(0).take(rows), b.column(1).take(rows), pa.array(number.astype(np.int32)), pa.array(key.view(np.int64))], names=["k_id", "k_text", "w", "h"]
                 )
 
-    windows = keyed.select("k_id", "k_text", F.col(text)).mapInArrow(cut, "k_id long, k_text long, w int, h long")
+    windows = keyed.select("k_id", "k_text", F.col(text)).mapInArrow(shared.tidy(cut), "k_id long, k_text long, w int, h long")
     windows = shared.materialize(windows, "windows")
     place = F.struct("k_id", "k_text", "w")
     twice = windows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
@@ -96,7 +97,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", lines: int = LINES) -> Data
             columns[k] = pa.array(texts, columns[k].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(count, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "n_lines", "n_removed"])
 
-    return joined.mapInArrow(apply, frame)
+    return joined.mapInArrow(shared.tidy(apply), frame)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,6 +146,8 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
     null. Other columns are left out.
     """
 
+    shared.small_batches(docs.sparkSession)
+
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
         ids, docs, tokens = [], [], 0
         encode = _encoding(path).encode_ordinary
@@ -178,7 +180,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
                 names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")).mapInArrow(shared.tidy(run), SCHEMA)
 
 
 def digests(pieces: DataFrame) -> DataFrame:

@@ -172,6 +172,7 @@ def score(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> Dat
     ours = [x.strip().split(" ")[0] for x in SCHEMA.split(",")]
     keep = [f for f in docs.schema.fields if f.name not in ours]
     frame = docs.select(*[f"`{f.name}`" for f in keep])
+    shared.small_batches(docs.sparkSession)
     out = shared.widened(frame, SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +180,7 @@ def score(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> Dat
             got = measure(b.column(b.schema.get_field_index(text)), limits)
             yield pa.RecordBatch.from_arrays(b.columns + [pa.array(got[k]) for k in ours], names=b.schema.names + ours)
 
-    return frame.mapInArrow(run, out)
+    return frame.mapInArrow(shared.tidy(run), out)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

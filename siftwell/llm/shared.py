@@ -7,9 +7,12 @@ driver and executors share, so a lost executor costs a re-read and no more.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that the numpy kernels look at in one go.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -27,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Few rows at a time between the JVM and Python: texts are long, and both sides hold a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; where none is set (tests), one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -72,6 +80,21 @@ def _clean() -> None:
             return
 
 
+def tidy(fn: Callable) -> Callable:
+    """``fn`` for mapInArrow, giving memory back at its end: workers live on between stages."""
+
+    @functools.wraps(fn)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """Two columns that stand for a document: its id and a hash of its text.
 

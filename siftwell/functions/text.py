@@ -50,7 +50,7 @@ def clean_space(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, _WHITE + "+", " "))
 
 
-def _bound(c: Column, f: Callable[[Column], Column]) -> Column:
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
     """``f`` of ``c``, with ``c`` computed once however often ``f`` uses it."""
     return F.get(F.transform(F.array(c), f), 0)
 
@@ -72,8 +72,10 @@ def normalize(c: Column) -> Column:
     def plain(x: Column) -> Column:
         return F.when(x.rlike(other), F.when(x.rlike("[" + "".join(more) + "]"), spelled(x)).otherwise(F.regexp_replace(x, other + "+", ""))).otherwise(x)
 
-    c = F.coalesce(c, F.lit(""))
-    return clean_space(F.lower(F.when(c.rlike(other), _bound(F.translate(c, one, to), plain)).otherwise(c)))
+    def lower(x: Column) -> Column:
+        return clean_space(F.lower(F.when(x.rlike(other), bound(F.translate(x, one, to), plain)).otherwise(x)))
+
+    return bound(F.coalesce(c, F.lit("")), lower)
 
 
 def not_empty(c: Column) -> Column:
@@ -102,11 +104,16 @@ def url_origin(url: Column) -> Column:
 
 def percent_decode(c: Column) -> Column:
     """Percent escapes as UTF-8; broken escapes stay, broken UTF-8 becomes U+FFFD."""
-    parts = F.regexp_extract_all(c, F.lit(r"((?:%[0-9A-Fa-f]{2})+|[^%]+|%)"), F.lit(1))
-    text = F.transform(
-        parts, lambda p: F.when(p.rlike("^%[0-9A-Fa-f]{2}"), F.make_valid_utf8(F.unhex(F.replace(p, F.lit("%"), F.lit(""))).cast("string"))).otherwise(p)
-    )
-    return F.when(F.contains(c, F.lit("%")), F.array_join(text, "")).otherwise(c)
+
+    def piece(p: Column) -> Column:
+        raw = F.unhex(F.replace(p, F.lit("%"), F.lit("")))
+        return F.when(p.rlike("^%[0-9A-Fa-f]{2}"), F.make_valid_utf8(raw.cast("string"))).otherwise(p)
+
+    def decode(x: Column) -> Column:
+        pieces = F.regexp_extract_all(x, F.lit(r"((?:%[0-9A-Fa-f]{2})+|[^%]+|%)"), F.lit(1))
+        return F.when(F.contains(x, F.lit("%")), F.array_join(F.transform(pieces, piece), "")).otherwise(x)
+
+    return bound(c, decode)
 
 
 def slug_title(url: Column) -> Column:

@@ -101,52 +101,64 @@ class Rules:
 
         Null titles and sections are allowed; columns already there pass through.
         """
-        d = candidates.withColumn("r_head", t.join_parts(F.col("title"), t.slug_title(F.col("url"))))
-        d = d.withColumns({"r_section": t.normalize(F.col("section")), "r_head": t.normalize(F.col("r_head")), "r_raw": t.raw_path(F.col("url")), "r_path": t.normalized_path(F.col("url"))})
-        head, path = F.col("r_head"), F.col("r_path")
-        d = d.withColumns({"r_focus": self.focus.count(head), "r_core": self.core.count(head), "r_brazil": self.brazil.count(head)})
-        focus, core, brazil = F.col("r_focus"), F.col("r_core"), F.col("r_brazil")
-        strict = self.strict(F.col("r_section"))
-        least = F.when(strict, self.words.least_score_strict_early).otherwise(self.words.least_score)
-        reason = first_reason(
-            ("section", self.denied_section(F.col("r_section"))),
-            ("path", self.denied_path(F.col("r_raw"))),
-            ("company_results", self.company_results(head, path)),
-            ("exterior_only", self.exterior_only(F.concat_ws(" ", head, path))),
-            ("generic_title", self.generic_title(head)),
-            ("no_signal", (focus == 0) & (core == 0)),
-            ("roundup", self.roundup_path(path) & (focus + brazil < 2)),
-            ("low_score", ~self.roundup_path(path) & (relevance_score(core, brazil, focus) < least)),
-        )
-        return d.withColumn("reject_reason", reason).drop("r_head", "r_section", "r_raw", "r_path", "r_focus", "r_core", "r_brazil")
+        url = F.col("url")
+        surface = F.struct(
+            t.normalize(t.join_parts(F.col("title"), t.slug_title(url))).alias("head"), t.normalize(F.col("section")).alias("section"),
+            t.raw_path(url).alias("raw"), t.normalized_path(url).alias("path"),
+        )
+
+        def judge(x: Column, n: Column) -> Column:
+            focus, core, brazil, path = n["focus"], n["core"], n["brazil"], x["path"]
+            least = F.when(self.strict(x["section"]), self.words.least_score_strict_early).otherwise(self.words.least_score)
+            return first_reason(
+                ("section", self.denied_section(x["section"])),
+                ("path", self.denied_path(x["raw"])),
+                ("company_results", self.company_results(x["head"], path)),
+                ("exterior_only", self.exterior_only(F.concat_ws(" ", x["head"], path))),
+                ("generic_title", self.generic_title(x["head"])),
+                ("no_signal", (focus == 0) & (core == 0)),
+                ("roundup", self.roundup_path(path) & (focus + brazil < 2)),
+                ("low_score", ~self.roundup_path(path) & (relevance_score(core, brazil, focus) < least)),
+            )
+
+        def counted(x: Column) -> Column:
+            hits = F.struct(self.focus.count(x["head"]).alias("focus"), self.core.count(x["head"]).alias("core"), self.brazil.count(x["head"]).alias("brazil"))
+            return t.bound(hits, lambda n: judge(x, n))
+
+        # bound, so that a filter on the reason doesn't multiply what it is made of
+        return candidates.withColumn("reject_reason", t.bound(surface, counted))
 
     def record_reason(self, records: DataFrame) -> DataFrame:
         """Adds ``reject_reason`` to records (url, title, description, section, tags, core_hits, brazil_hits)."""
-        tags = F.array_join(F.col("tags"), " ")
-        d = records.withColumns(
-            {
-                "r_section": t.normalize(F.col("section")), "r_title": t.normalize(F.col("title")), "r_raw": t.raw_path(F.col("url")), "r_path": t.normalized_path(F.col("url")),
-                "r_all": t.normalize(t.join_parts(F.col("title"), F.col("description"), tags)), "r_head": t.normalize(t.join_parts(F.col("title"), tags)),
-            }
+        url, tags = F.col("url"), F.array_join(F.col("tags"), " ")
+        surface = F.struct(
+            t.normalize(F.col("section")).alias("section"), t.normalize(F.col("title")).alias("title"), t.raw_path(url).alias("raw"), t.normalized_path(url).alias("path"),
+            t.normalize(t.join_parts(F.col("title"), F.col("description"), tags)).alias("all"), t.normalize(t.join_parts(F.col("title"), tags)).alias("head"),
+            F.col("core_hits").alias("core"), F.col("brazil_hits").alias("brazil"),
         )
-        d = d.withColumns({"r_focus": self.focus.count(F.col("r_all")), "r_head_focus": self.focus.count(F.col("r_head"))})
-        title, path, everything, section = F.col("r_title"), F.col("r_path"), F.col("r_all"), F.col("r_section")
-        core, brazil, focus = F.col("core_hits"), F.col("brazil_hits"), F.col("r_focus")
-        reason = first_reason(
-            ("section", self.denied_section(section)),
-            ("path", self.denied_path(F.col("r_raw"))),
-            ("company_results", self.company_results(title, path)),
-            ("exterior_only", self.exterior_only(everything)),
-            ("roundup", self.roundup_record(title, path, core, brazil)),
-            ("generic_title", self.generic_title(title)),
-            ("no_home_context", ~self.home_context(everything)),
-            ("no_signal", (focus == 0) & (core == 0)),
-            ("strict_section", self.strict(section) & (F.col("r_head_focus") == 0) & (focus < 2)),
-            ("low_score", relevance_score(core, brazil, focus) < self.least_score(section)),
-        )
-        return d.withColumn("reject_reason", reason).drop("r_section", "r_title", "r_raw", "r_path", "r_all", "r_head", "r_focus", "r_head_focus")
+
+        def judge(x: Column, n: Column) -> Column:
+            core, brazil, focus, section = x["core"], x["brazil"], n["focus"], x["section"]
+            return first_reason(
+                ("section", self.denied_section(section)),
+                ("path", self.denied_path(x["raw"])),
+                ("company_results", self.company_results(x["title"], x["path"])),
+                ("exterior_only", self.exterior_only(x["all"])),
+                ("roundup", self.roundup_record(x["title"], x["path"], core, brazil)),
+                ("generic_title", self.generic_title(x["title"])),
+                ("no_home_context", ~self.home_context(x["all"])),
+                ("no_signal", (focus == 0) & (core == 0)),
+                ("strict_section", self.strict(section) & (n["head_focus"] == 0) & (focus < 2)),
+                ("low_score", relevance_score(core, brazil, focus) < self.least_score(section)),
+            )
+
+        def counted(x: Column) -> Column:
+            hits = F.struct(self.focus.count(x["all"]).alias("focus"), self.focus.count(x["head"]).alias("head_focus"))
+            return t.bound(hits, lambda n: judge(x, n))
+
+        return records.withColumn("reject_reason", t.bound(surface, counted))
 
     def signal_counts(self, text: Column) -> dict[str, Column]:
         """core_hits and brazil_hits of a text that isn't normalised yet."""
-        normal = t.normalize(text)
-        return {"core_hits": self.core.count(normal), "brazil_hits": self.brazil.count(normal)}
+        hits = t.bound(t.normalize(text), lambda n: F.struct(self.core.count(n).alias("core"), self.brazil.count(n).alias("brazil")))
+        return {"core_hits": hits["core"], "brazil_hits": hits["brazil"]}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from siftwell.llm import line_dedup, ngram_join, packing, quality, shared, substring_dedup
 
 #: A text with a word in it.
-_WORDED = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+_WORDED = r"text rlike r'[^\x20\x09-\x0D]'"
 
 
 def _same_columns(after: DataFrame, before: DataFrame) -> DataFrame:

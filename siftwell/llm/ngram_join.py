@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import graph, shared
@@ -32,6 +32,10 @@ PERCENT = 75
 SKETCH = 1 << 20
 #: Share of the hashes below the cut; above 1 - t, so that the bound bites.
 CUT = 0.35
+#: Members that fewer sets hold are joined; that adds at most so many rows for each.
+FEW = 32
+#: Sets that meet in one task, on either side.
+BLOCK = 4096
 #: Entries that a map task holds before it ships them.
 FLUSH = 1 << 21
 #: Sketch level (log2 of a count against the mean counter) from which an n-gram
@@ -153,7 +157,7 @@ def _sketch_levels(docs: DataFrame, words: int) -> np.ndarray:
                 total[i] = total[i] + got if i in total else got
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["at", "block"])
 
-    summed = docs.select("text").mapInArrow(count, "at int, block binary").repartition("at").mapInArrow(add, "at int, block binary")
+    summed = docs.select("text").mapInArrow(shared.tidy(count), "at int, block binary").repartition("at").mapInArrow(shared.tidy(add), "at int, block binary")
     counts = np.zeros(SKETCH, np.float64)
     for i, x in summed.collect():  # SKETCH counters in all, however large the corpus
         counts[i * block : (i + 1) * block] += np.frombuffer(x, np.uint64)
@@ -186,7 +190,7 @@ def _classes(docs: DataFrame, level, words: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "k_text", "n", "cls", "low", "need"])
 
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k_text"), "text")
-    return keyed.mapInArrow(run, "doc_id long, k_text long, n long, cls long, low long, need long")
+    return keyed.mapInArrow(shared.tidy(run), "doc_id long, k_text long, n long, cls long, low long, need long")
 
 
 def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> DataFrame:
@@ -239,7 +243,7 @@ def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> Da
                     grams, cls, held = [], [], 0
         yield from rows(grams, cls)
 
-    return docs.select("text").mapInArrow(run, "bucket int, gram long, cls long, grams binary, classes binary")
+    return docs.select("text").mapInArrow(shared.tidy(run), "bucket int, gram long, cls long, grams binary, classes binary")
 
 
 def _postings(packed: DataFrame, any_heavy: bool) -> DataFrame:
@@ -267,7 +271,7 @@ def _postings(packed: DataFrame, any_heavy: bool) -> DataFrame:
             gram = gram[many] + (np.uint64(i) << np.uint64(32))
             yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(cls[many])], names=["gram", "cls"])
 
-    light = packed.where("bucket >= 0").select("bucket", "grams", "classes").repartition("bucket").mapInArrow(shared_members, "gram long, cls long")
+    light = packed.where("bucket >= 0").select("bucket", "grams", "classes").repartition("bucket").mapInArrow(shared.tidy(shared_members), "gram long, cls long")
     return light.union(packed.where("bucket < 0").select("gram", "cls").distinct()) if any_heavy else light
 
 
@@ -291,7 +295,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, level, words: int, percent: int)
     right = texts.select(F.col("cls").alias("v"), F.col("text").alias("vt"))
     left = texts.select(F.col("cls").alias("u"), F.col("text").alias("ut"))
     both = pairs.select("u", "v").join(right, "v").join(left, "u").select("u", "v", "ut", "vt")
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(shared.tidy(run), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -305,6 +309,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     an id; repeated rows each get their row. Other columns are ignored.
     """
     spark = docs.sparkSession
+    shared.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     level = spark.sparkContext.broadcast(_sketch_levels(docs, words))
     rows = shared.materialize(_classes(docs, level, words, percent), "classes")
@@ -314,47 +319,58 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     # Sets that share too few of their members below the cut have no partner.
     enough = shared.materialize(
-        found.groupBy("cls").agg(F.count("*").alias("k")).join(known, "cls").where("k >= need and doc_id is not null").drop("k", "need"), "enough"
+        found.groupBy("cls").agg(F.count("*").alias("k")).join(known, "cls").where("k + 1 >= need and doc_id is not null").drop("k", "need"), "enough"
     )
     posts = found.join(enough.select("cls"), "cls")
-    held = posts.groupBy("gram").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
-    posts = shared.materialize(posts.join(held, "gram").select("gram", "cls", "lo", "hi"), "posts")
+    held = posts.groupBy("gram").agg(F.min("cls").alias("lo"), F.count("*").alias("m")).where("m > 1")
+    posts = shared.materialize(posts.join(held, "gram").select("gram", "cls", "lo", "m"), "posts")
     shared.discard(found)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            same = [len(g) > 0 and set_id(g) == want for want, g in zip(b.column(0).to_pylist(), text_sets(b.column(1), words), strict=True)]
-            yield b.filter(pa.array(same, pa.bool_()))
-
-    carriers = enough.select("doc_id", "cls").join(posts.select("cls").distinct(), "cls")
-    texts = docs.join(carriers, "doc_id").select("cls", "text").mapInArrow(load, "cls long, text string")
+            keep, short = [], []
+            for i, (want, grams) in enumerate(zip(b.column(0).to_pylist(), text_sets(b.column(1), words), strict=True)):
+                if len(grams) and set_id(grams) == want:
+                    grams = ordered(grams, level.value)
+                    keep.append(i)
+                    short.append(_short_hashes(grams).tobytes())
+            part = b.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(short, pa.binary())], names=["cls", "text", "n", "low", "hashes"])
+
+    carriers = enough.join(posts.select("cls").distinct(), "cls")
+    texts = docs.join(carriers, "doc_id").select("cls", "text", "n", "low").mapInArrow(shared.tidy(load), "cls long, text string, n long, low long, hashes binary")
     texts = shared.materialize(texts, "texts")
-    sizes = shared.materialize(texts.select("cls").join(enough.drop("doc_id"), "cls").dropDuplicates(["cls"]), "sizes")
-    texts = texts.dropDuplicates(["cls"]) if texts.count() > sizes.count() else texts
-
-    # Each class and the pivot with which it shares most.
-    star = posts.select(F.col("cls").alias("v"), F.explode(F.array("lo", "hi")).alias("u")).where("u <> v")
+    if texts.count() > texts.select("cls").distinct().count():  # rows that repeat a doc_id and text
+        texts = shared.materialize(texts.dropDuplicates(["cls"]), "texts")
+    sizes = texts.select("cls", "n", "low")
+
+    # Each class and the pivot with which it shares most: of each member, the
+    # class that shares most in all, and the first.
+    central = posts.groupBy("cls").agg(F.sum("m").alias("m")).join(sizes, "cls").select("cls", (F.col("m") / F.greatest("low", F.lit(1))).alias("share"))
+    central = shared.materialize(central, "central")
+    top = posts.select("gram", "cls").join(central, "cls").groupBy("gram").agg(F.max(F.struct("share", "cls")).getField("cls").alias("top"))
+    star = posts.select("gram", "cls", "lo").join(top, "gram").select(F.col("cls").alias("v"), F.explode(F.array("lo", "top")).alias("u")).where("u <> v")
     star = star.groupBy("v", "u").agg(F.count("*").alias("k")).groupBy("v").agg(F.max(F.struct("k", "u")).alias("best"))
     star = star.select(F.least("v", "best.u").alias("u"), F.greatest("v", "best.u").alias("v")).distinct()
     star = _sized(star, sizes).where(f"least(un, vn) * 100 >= greatest(un, vn) * {percent}")
     links = shared.materialize(_verify(star, texts, level, words, percent), "links")
     comp = shared.materialize(graph.components(links), "comp")
 
-    # Members whose classes are still apart: the classes outside the member's
-    # largest component against the others, if what they share below the cut
-    # leaves the similarity possible.
-    placed = posts.join(comp, posts.cls == comp.node, "left").select("gram", "cls", F.coalesce("comp", "cls").alias("comp"))
-    placed = shared.materialize(placed, "placed")
-    by_comp = placed.groupBy("gram", "comp").agg(F.count("*").alias("k"))
-    main = by_comp.groupBy("gram").agg(F.max(F.struct("k", "comp")).getField("comp").alias("main"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
-    sized = placed.join(main, "gram").join(sizes.select("cls", "n"), "cls")
-    apart = sized.where("comp <> main").select("gram", F.col("cls").alias("u"), F.col("comp").alias("uc"), F.col("n").alias("un"))
-    others = sized.select("gram", F.col("cls").alias("v"), F.col("comp").alias("vc"), F.col("n").alias("vn"), (F.col("comp") == F.col("main")).alias("in_main"))
-    rest = apart.join(others, "gram").where(f"uc <> vc and (in_main or u < v) and least(un, vn) * 100 >= greatest(un, vn) * {percent}")
-    rest = rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).groupBy("u", "v").agg(F.count("*").alias("k"))
-    rest = _sized(rest, sizes).where(
-        f"(k + least(un - ulow, vn - vlow)) * {100 + percent} >= {percent} * (un + vn)"
-    )
+    def still_apart() -> DataFrame:
+        """Rows of members that several components hold, of sets that may have a partner elsewhere."""
+        rows = posts.select("gram", "cls").join(comp, posts.cls == comp.node, "left").select("gram", "cls", F.coalesce("comp", "cls").alias("comp"))
+        for _ in range(2):  # a set that shares too few of them with other components has none; then some members are shared no more
+            mixed = rows.groupBy("gram").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("gram")
+            rows = shared.materialize(rows.join(mixed, "gram"), "apart")
+            able = rows.groupBy("cls").agg(F.count("*").alias("k")).join(sizes, "cls").where(f"k + 1 >= {_need(percent)}").select("cls")
+            rows = rows.join(able, "cls")
+        held = rows.groupBy("gram").agg(F.count("*").alias("held"))
+        return shared.materialize(rows.join(held, "gram").select("gram", "cls", "held", "comp"), "apart")
+
+    apart = still_apart()
+    # All that are apart yet: under members that few sets hold, pairs; under
+    # common ones, blocks.
+    rest = _few(apart, sizes, percent).union(_possible(apart, texts, percent)).distinct()
     more = shared.materialize(_verify(rest, texts, level, words, percent), "links")
     comp = graph.components(links.union(more)) if not more.isEmpty() else comp
 
@@ -366,6 +382,117 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def _few(apart: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components that share a member which under FEW sets hold.
+
+    What they share of such members is counted; they may share all common members
+    below the cut, and all above it, that either has.
+    """
+    small = apart.where(f"held < {FEW}")
+    left = small.select("gram", F.col("cls").alias("u"), F.col("comp").alias("uc"))
+    right = small.select("gram", F.col("cls").alias("v"), F.col("comp").alias("vc"))
+    pairs = left.join(right, "gram").where("u < v and uc <> vc").groupBy("u", "v").agg(F.count("*").alias("k"))
+    pairs = _sized(pairs, sizes)
+    common = apart.where(f"held >= {FEW}").groupBy("cls").agg(F.count("*").alias("common"))
+    for x in ("u", "v"):
+        pairs = pairs.join(common.select(F.col("cls").alias(x), F.col("common").alias(f"{x}m")), x, "left").fillna(0, [f"{x}m"])
+    return pairs.where(
+        f"least(un, vn) * 100 >= greatest(un, vn) * {percent} and (k + 1 + least(um, vm) + least(un - ulow, vn - vlow)) * {100 + percent} >= {percent} * (un + vn)"
+    ).select("u", "v")
+
+
+def _possible(apart: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components that may have the similarity.
+
+    Of two sets, the one with fewer members (ties: the smaller id) shares one of
+    its rarest members below the cut with the other: as many of them as it may
+    lack, and one more. Under each member, the sets that have it among these meet
+    all sets that hold it, in blocks of BLOCK by BLOCK sets. What they share is
+    counted on 16-bit hashes of all members, which never tell too little. Only
+    pairs that pass are rows.
+    """
+    order = Window.partitionBy("cls").orderBy("held", "gram")
+    need = F.ceil(F.col("n") * (2 * percent) / (100 + percent))
+    rows = apart.join(texts.select("cls", "n", "low"), "cls")
+    # Its rarest are first those that no set of another component has. One is
+    # added, as two of a set's members may fall together in the index. A set that
+    # is indexed beyond the cut meets under all of its members.
+    alone = F.greatest(F.col("low") - F.count("*").over(Window.partitionBy("cls")), F.lit(0))
+    beyond = F.col("low") < F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rows = rows.withColumn("short", beyond | (F.row_number().over(order) + alone <= F.col("n") - need + 2))
+    # members that lead somewhere: some set has it among its rarest, and the sizes fit
+    rows = rows.where(f"held >= {FEW}")
+    asked = rows.where("short").groupBy("gram").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
+    rows = rows.join(asked, "gram").where(f"n >= n0 and {percent} * n <= 100 * n1").drop("n0", "n1")
+    rows = rows.join(texts.select("cls", "hashes"), "cls")
+    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("cls"), blocks).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    columns = ["gram", "cls", "comp", "n", "hashes"]
+    left = rows.where("short").select(*columns, mine.alias("i"), every.alias("j"), F.lit(True).alias("probe"))
+    right = rows.select(*columns, mine.alias("j"), every.alias("i"), F.lit(False).alias("probe")).select(left.columns)
+    dealt = left.union(right).repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
+
+    def meet(group: list[tuple]) -> tuple[list[int], list[int]]:
+        us: list[int] = []
+        vs: list[int] = []
+        probes, held = [r for r in group if r[7]], [r for r in group if not r[7]]
+        if not probes or len({r[2] for r in held} | {r[2] for r in probes}) < 2:
+            return us, vs
+        cls, comp, n = (np.array([r[k] for r in held], np.int64) for k in (1, 2, 3))
+        flat = np.concatenate([_narrow(r[4], r[3]) for r in held])
+        ends = np.cumsum(n)
+        there = np.zeros(1 << 16, bool)
+        for _, c, k, size, hashes, *_ in probes:
+            other = np.flatnonzero((comp != k) & ((n > size) | ((n == size) & (cls > c))) & (100 * size >= percent * n))
+            if not len(other):
+                continue
+            own = _narrow(hashes, size)
+            there[own] = True
+            if len(other) * 4 < len(n):  # few: look at theirs alone
+                part = np.concatenate([flat[ends[i] - n[i] : ends[i]] for i in other.tolist()])
+                stop = np.cumsum(n[other])
+            else:
+                part, stop = flat, ends[other]
+            hit = np.zeros(len(part) + 1, np.int64)
+            np.cumsum(there[part], out=hit[1:])
+            there[own] = False
+            at_most = hit[stop] - hit[stop - n[other]]
+            for v in cls[other[at_most * (100 + percent) >= percent * (size + n[other])]].tolist():
+                us.append(min(c, v))
+                vs.append(max(c, v))
+        return us, vs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for b in batches:
+            us, vs = [], []
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if group and (row[0], row[5], row[6]) != (group[0][0], group[0][5], group[0][6]):
+                    u, v = meet(group)
+                    us, vs, group = us + u, vs + v, []
+                group.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+        if group:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in meet(group)], names=["u", "v"])
+
+    return dealt.mapInArrow(shared.tidy(run), "u long, v long").distinct()
+
+
+def _short_hashes(grams: np.ndarray) -> np.ndarray:
+    return shared.mix(grams).astype(np.uint16)
+
+
+def _narrow(hashes: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(hashes, np.uint16, n)
+
+
+def _need(percent: int) -> str:
+    """How many members below the cut a set (n, low) shares with any partner, at least."""
+    least_overlap = f"ceil(n * {percent} / 100)"
+    return f"(CASE WHEN low >= n - {least_overlap} + 1 THEN low - n + {least_overlap} ELSE 0 END)"
+
+
 def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     for x in ("u", "v"):
         pairs = pairs.join(sizes.select(F.col("cls").alias(x), F.col("n").alias(f"{x}n"), F.col("low").alias(f"{x}low")), x)

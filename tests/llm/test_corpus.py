@@ -40,10 +40,10 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_duplicates_equal_all_pairs(spark, seed, monkeypatch):
-    monkeypatch.setattr(ngram_join, "LARGE", 4)
+@pytest.mark.parametrize(("seed", "few"), [(1, 2), (2, 4), (3, 32)])
+def test_near_duplicates_equal_all_pairs(spark, seed, few, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 5)
+    monkeypatch.setattr(ngram_join, "FEW", few)
     rows = corpus(seed)
     sets = [(k, shingles(x)) for k, x in rows if k is not None]
     parent = {k: k for k, _ in sets}

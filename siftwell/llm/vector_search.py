@@ -132,7 +132,7 @@ def nearest(vectors: DataFrame, every: int = 100, settings: Settings = Settings(
             v = np.array(b.column(1).flatten()).reshape(-1, dims)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_nearest(v @ turn, centre, 1)[:, 0].astype(np.int32))], names=["id", "v", "list"])
 
-    index = shared.materialize(rows.mapInArrow(coded, "id long, v array<double>, list int"), "lists")
+    index = shared.materialize(rows.mapInArrow(shared.tidy(coded), "id long, v array<double>, list int"), "lists")
     # how many tiles each list has: as many rows as there are lists
     sizes = {r["list"]: -(-r["count"] // s.tile) for r in index.groupBy("list").count().toLocalIterator()}
     asked = index.where(F.col("id") % every == 0).select("id", "v")
@@ -155,7 +155,7 @@ def nearest(vectors: DataFrame, every: int = 100, settings: Settings = Settings(
             )
 
     kind = "list int, tile int, group int, query boolean, id long, v array<double>"
-    queries = asked.mapInArrow(probes, kind)
+    queries = asked.mapInArrow(shared.tidy(probes), kind)
     tile_of = F.create_map(*[F.lit(x) for c, n in sorted(sizes.items()) for x in (c, n)])
     candidates = index.select(
         "list", F.pmod(F.xxhash64("id"), tile_of[F.col("list")]).cast("int").alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),

@@ -165,3 +165,18 @@ class _Session:
 def store(bronze_path: str, fetched: DataFrame) -> None:
     """Append what was read to the bronze table, one row for each URL."""
     fetched.where("status = 'ok'").dropDuplicates(["url_key"]).drop("status").write.mode("append").parquet(bronze_path)
+
+
+def cached(spark, bronze_path: str, live: HttpFetcher):
+    """A fetch function that reads the bronze table, and over HTTP only what it lacks, which it then keeps."""
+    from .jsonl import exists
+
+    def fetch(urls: DataFrame) -> DataFrame:
+        if not exists(spark, bronze_path):
+            wanted = urls
+        else:
+            wanted = missing(urls.where("url is not null"), spark.read.parquet(bronze_path))
+        store(bronze_path, live(wanted))
+        return stored(spark.read.parquet(bronze_path))(urls)
+
+    return fetch

@@ -194,3 +194,26 @@ def test_stream_appends_what_is_new(spark, tmp_path):
         q = incremental(spark, inbox, str(tmp_path / "state"), _web(spark), config)
         q.awaitTermination()
     assert spark.read.json(out).count() == 1
+
+
+def test_arguments():
+    from siftwell.__main__ import arguments
+
+    config, bronze = arguments(["--start-date", "2025-01-01", "--end-date", "2025-01-31", "--resume", "--cache-dir", "b"])
+    assert (config.start_date, config.end_date, config.resume, bronze) == ("2025-01-01", "2025-01-31", True, "b")
+    with pytest.raises(ValueError):
+        arguments(["--start-date", "2025-02-01", "--end-date", "2025-01-31"])
+
+
+def test_cached_fetches_once(spark, tmp_path):
+    asked = []
+
+    def live(urls):
+        asked.extend(x.url for x in urls.collect())
+        return urls.selectExpr("sha1(url) AS url_key", "url", "url AS final_url", "'t' AS text", "'ok' AS status")
+
+    fetch = fetching.cached(spark, str(tmp_path / "bronze"), live)
+    one = spark.createDataFrame([("u1",)], "url string")
+    two = spark.createDataFrame([("u1",), ("u2",)], "url string")
+    assert fetch(one).count() == 1 and sorted(x.url for x in fetch(two).collect()) == ["u1", "u2"]
+    assert asked == ["u1", "u2"]

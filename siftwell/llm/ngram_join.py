@@ -437,7 +437,7 @@ def _possible(apart: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         us: list[int] = []
         vs: list[int] = []
         probes, held = [r for r in group if r[7]], [r for r in group if not r[7]]
-        if not probes or len({r[2] for r in held} | {r[2] for r in probes}) < 2:
+        if not probes or not held or len({r[2] for r in held} | {r[2] for r in probes}) < 2:
             return us, vs
         cls, comp, n = (np.array([r[k] for r in held], np.int64) for k in (1, 2, 3))
         flat = np.concatenate([_narrow(r[4], r[3]) for r in held])

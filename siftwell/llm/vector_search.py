@@ -76,20 +76,26 @@ def scan(query: np.ndarray, rotated: np.ndarray, ids: np.ndarray, own: int, s: S
     dims, k = len(query), s.neighbours
     if len(rows) <= 4 * k:
         return rows
-    # the tenth distance so far: from a first few rows, compared in full
-    head = rows[: 8 * k]
-    limit = np.partition(((rotated[head] - query) ** 2).sum(1), k - 1)[k - 1]
+    # what rounding in the rotation can add to a distance; beyond the query's own norm it is a share of the distance
+    noise = 8 * dims**1.5 * np.finfo(float).eps * np.sqrt(query @ query)
+    loose = lambda x: (np.sqrt(x) * (1 + 1e-9) + noise) ** 2
+    # the tenth distance so far: from a first few rows, compared in full; the ten that set it stay
+    head = ((rotated[rows[: 8 * k]] - query) ** 2).sum(1)
+    best = np.argpartition(head, k - 1)[:k]
+    limit = loose(head[best].max())
+    safe = np.zeros(len(rows), bool)
+    safe[best] = True
     partial = np.zeros(len(rows))
     for at in range(0, dims, s.block):
         part = rotated[rows, at : at + s.block] - query[at : at + s.block]
         partial += np.einsum("ij,ij->i", part, part)
         done = min(at + s.block, dims)
-        bound = limit * (1 + s.slack / np.sqrt(done)) ** 2 * done / dims if done < dims else limit * (1 + 1e-9)
-        stay = partial <= bound
-        rows, partial = rows[stay], partial[stay]
+        bound = limit * (1 + s.slack / np.sqrt(done)) ** 2 * done / dims + noise**2 if done < dims else limit
+        stay = safe | (partial <= bound)
+        rows, partial, safe = rows[stay], partial[stay], safe[stay]
     if len(rows) > 4 * k:
         cut = np.partition(partial, k - 1)[k - 1]
-        rows = rows[partial <= cut * (1 + 1e-9) + 1e-12]
+        rows = rows[partial <= loose(cut)]
     return rows
 
 

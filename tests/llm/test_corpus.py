@@ -160,6 +160,22 @@ def test_vector_search(spark):
     assert vector_search.nearest(spark.createDataFrame(bad[:3], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize(("copies", "scale"), [(30, 1.0), (300, 1.0), (300, 1e6), (3000, 1.0)])
+def test_vector_scan_keeps_exact_copies(copies, scale):
+    """The rows that set the limit are copies of the query, so that limit is rounding alone."""
+    rng = np.random.default_rng(copies)
+    s, turn = vector_search.Settings(), vector_search.rotation(64, 11)
+    for _ in range(100):
+        v = scale * rng.standard_normal((copies + 500, 64)).astype(np.float32).astype(float)
+        at = rng.permutation(len(v))[: copies + 1]
+        v[at] = v[at[0]]
+        ids = np.arange(len(v))
+        q = int(at[0])
+        rows = vector_search.scan(v[q] @ turn, v @ turn, ids, q, s)
+        score = vector_search.exact(v[q], v[rows])
+        assert rows[np.lexsort((rows, score))][:10].tolist() == sorted(set(at.tolist()) - {q})[:10]
+
+
 def test_url_rules(spark):
     cases = {
         "https://A.Example.com/en/7x?y": ("a.example.com", "/en/7x", "example.com/en/7", "allow"), "http://b.com/en/1": ("b.com", "/en/1", "com/en/", "block"),

@@ -1,11 +1,14 @@
 """Packing of tokenized texts into sequences, next to texts they share words with.
 
-A map task indexes the texts of a shard (a run of its input) for BM25: an
-inverted index over token ids. Whole sequences are cut off long texts; each
-remainder in turn is a seed, and the index returns its best unused neighbours,
-which fill the seed's window; the last one is cut to fit. What is left at a
-shard's end goes into sequences whose lengths are powers of two, so nothing is
-padded. There is no shuffle: a shard has a fixed size, whatever the corpus.
+Whole sequences are cut off long texts. The remainders are dealt to shards by
+content: a tree of splits along the main directions of a bounded sample of
+projected texts, cut where a shard is small enough, so that texts with the same
+words share a shard wherever they stand in the input. A shard is indexed for
+BM25, an inverted index over token ids with frequencies and lengths of the whole
+corpus. Each remainder in turn is a seed, and the index returns its best unused
+neighbours, which fill the seed's window; the last one is cut to fit. What is
+left at a shard's end goes into sequences whose lengths are powers of two, so
+nothing is padded. A shard has a fixed size, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -24,9 +27,12 @@ from .bpe import read_ranks
 
 WINDOW = 1024
 END = 0  #: id that follows each document
-#: A shard ends at so many remainders or tokens.
+#: A shard holds about so many remainders, or tokens of them, at most.
 SHARD_ITEMS = 2048
 SHARD_TOKENS = 1 << 21
+SAMPLE = 16_384  #: remainders that fit the tree, about
+PLANES = 32  #: dimensions that texts are projected to
+DEPTH = 12  #: of the tree, at most
 _K1, _B = 1.2, 0.75  # fixed values: usual BM25 parameters
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -39,10 +45,17 @@ def _encoding(path: str):
     return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
 
 
+def _idf(df: np.ndarray, n: int) -> np.ndarray:
+    return np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)  # 0: a term of more than half the items says nothing
+
+
 class Index:
-    """BM25 over the remainders of a shard; terms are token ids."""
+    """BM25 over the remainders of a shard; terms are token ids.
 
-    def __init__(self, items: list[np.ndarray]):
+    ``corpus`` has the idf of every term and the mean length, over more than these items.
+    """
+
+    def __init__(self, items: list[np.ndarray], corpus: tuple[np.ndarray, float] | None = None):
         n = self.n = len(items)
         length = np.array([len(x) for x in items])
         owner = np.repeat(np.arange(n, dtype=np.int64), length)
@@ -50,9 +63,8 @@ class Index:
         both, tf = np.unique((owner << 32) | terms, return_counts=True)
         self.item, self.term = both >> 32, both & 0xFFFFFFFF
         size = int(self.term.max()) + 1
-        df = np.bincount(self.term, minlength=size)
-        idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)  # 0: a term of more than half the items says nothing
-        weight = idf[self.term] * tf * (_K1 + 1) / (tf + _K1 * (1 - _B + _B * length[self.item] / length.mean()))
+        idf, mean = corpus or (_idf(np.bincount(self.term, minlength=size), n), length.mean())
+        weight = idf[self.term] * tf * (_K1 + 1) / (tf + _K1 * (1 - _B + _B * length[self.item] / mean))
         says = weight > 0
         self.item, self.term, weight = self.item[says], self.term[says], weight[says]
         self.first = np.searchsorted(self.item, np.arange(n + 1))
@@ -68,7 +80,7 @@ class Index:
         return np.bincount(self.posting[step], self.weight[step], minlength=self.n)
 
 
-def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
+def pack(docs: list[np.ndarray], window: int = WINDOW, corpus: tuple[np.ndarray, float] | None = None) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences of (document, start, length); every id lies in exactly one piece."""
     owner, start = [], []
     for d, ids in enumerate(docs):
@@ -80,7 +92,7 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[in
             start.append(whole)
     if not owner:
         return
-    index = Index([docs[d][s:] for d, s in zip(owner, start, strict=True)])
+    index = Index([docs[d][s:] for d, s in zip(owner, start, strict=True)], corpus)
     n = len(owner)
     unused = np.ones(n, bool)
     nxt = 0  # items before it are used
@@ -137,50 +149,193 @@ def _cut(pieces: list[tuple[int, int, int]], size: int) -> list[tuple[int, int,
     return out
 
 
+@functools.cache
+def _planes(terms: int) -> np.ndarray:
+    return np.random.default_rng(3).standard_normal((terms, PLANES)).astype(np.float32)
+
+
+def project(items: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """Unit vectors that are close where texts share telling words; zero where no word tells."""
+    plane = _planes(len(idf)) * idf[:, None].astype(np.float32)
+    out = np.zeros((len(items), PLANES), np.float32)
+    for i, x in enumerate(items):
+        terms, tf = np.unique(x, return_counts=True)
+        out[i] = (np.sqrt(tf)[:, None] * plane[terms]).sum(0)
+    return out / np.maximum(np.sqrt((out * out).sum(1, keepdims=True)), 1e-9)
+
+
+def tree(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and thresholds of a binary tree, node i over 2i+1 and 2i+2.
+
+    A node is split along its main direction, at the widest gap near the median;
+    one that can't be split sends everything left.
+    """
+    way, cut = np.zeros((2**depth - 1, PLANES), np.float32), np.full(2**depth - 1, np.inf)
+    rows = {0: np.arange(len(sample))}
+    for i in range(2**depth - 1):
+        at = rows.pop(i, None)
+        if at is None or len(at) < 4:
+            continue
+        x = sample[at].astype(float)
+        way[i] = np.linalg.eigh(np.cov(x.T))[1][:, -1]
+        along = (sample[at] * way[i]).sum(1)
+        order = np.sort(along)
+        gaps = np.diff(order)
+        lo, hi = int(0.4 * len(gaps)), int(0.6 * len(gaps)) + 1
+        j = lo + int(np.argmax(gaps[lo:hi]))
+        if gaps[j] <= 1e-6:  # copies; the widest gap anywhere
+            j = int(np.argmax(gaps))
+        if gaps[j] <= 1e-6:
+            continue
+        cut[i] = (order[j] + order[j + 1]) / 2
+        rows[2 * i + 1], rows[2 * i + 2] = at[along <= cut[i]], at[along > cut[i]]
+    return way, cut
+
+
+def leaves(vectors: np.ndarray, way: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    at = np.zeros(len(vectors), np.int64)
+    while len(at) and at[0] < len(cut):
+        at = 2 * at + 1 + ((vectors * way[at]).sum(1) > cut[at])
+    return at - len(cut)
+
+
+def deal(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First shard of each leaf, and how many its rows are dealt to. ``sizes``: items and tokens by leaf.
+
+    Leaves below one node share a shard where they fit.
+    """
+    first, parts = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
+    shard, todo = 0, [(0, len(sizes))]
+    while todo:
+        lo, hi = todo.pop()
+        items, tokens = sizes[lo:hi].sum(0).tolist()
+        need = max(1, -(-items // SHARD_ITEMS), -(-tokens // SHARD_TOKENS))
+        if need > 1 and hi - lo > 1:
+            todo += [((lo + hi) // 2, hi), (lo, (lo + hi) // 2)]
+            continue
+        first[lo:hi], parts[lo:hi] = shard, need
+        shard += need
+    return first, parts
+
+
 def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str = "text") -> DataFrame:
     """The pieces of SCHEMA; ``ids`` holds a piece's ids, 4 bytes each, little-endian.
 
     A document is its ids under the tokenizer in ``path`` (a file that every
     worker can read; no special tokens in texts), then id 0. Null and empty
     texts are that id alone. Repeated rows are packed each; a null doc_id stays
-    null. Other columns are left out.
+    null. Other columns are left out. Which pieces share a sequence depends on
+    the rows, not on their order or partitions.
     """
+    spark = docs.sparkSession
+    shared.small_batches(spark)
 
-    shared.small_batches(docs.sparkSession)
-
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-        ids, docs, tokens = [], [], 0
-        encode = _encoding(path).encode_ordinary
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = _encoding(path)
+        kind = np.dtype(np.uint16 if enc.max_token_value < 1 << 16 else np.uint32)
         for b in batches:
-            for i in range(b.num_rows):
-                got = encode(b.column(1)[i].as_py() or "")
+            total, whole, rest = [], [], []
+            for x in b.column(1):
+                got = enc.encode_ordinary(x.as_py() or "")
                 got.append(END)
-                ids.append(b.column(0)[i].as_py())
-                docs.append(np.array(got, np.uint32))
-                tokens += len(got)
-                if len(docs) >= SHARD_ITEMS or tokens >= SHARD_TOKENS:
-                    yield ids, docs
-                    ids, docs, tokens = [], [], 0
-        if docs:
-            yield ids, docs
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sequence = TaskContext.get().partitionId() << 40
-        for ids, docs in shards(batches):
-            rows = []
-            for pieces in pack(docs, window):
-                offset = 0
-                for d, s, n in pieces:
-                    rows.append((ids[d], s, n, len(docs[d]), sequence, offset, docs[d][s : s + n].tobytes()))
-                    offset += n
-                sequence += 1
-            columns = list(zip(*rows, strict=True))
+                ids = np.array(got, kind)
+                cut = len(ids) // window * window
+                total.append(len(ids))
+                whole.append(ids[:cut].tobytes())
+                rest.append(ids[cut:].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.binary())],
-                names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
+                [b.column(0), pa.array(total, pa.int64()), pa.array([kind.itemsize] * len(total), pa.int32()), pa.array(whole, pa.binary()), pa.array(rest, pa.binary())],
+                names=["doc_id", "doc_tokens", "width", "whole", "rest"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")).mapInArrow(shared.tidy(run), SCHEMA)
+    source = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string"))
+    table = shared.materialize(source.mapInArrow(shared.tidy(encoded), "doc_id long, doc_tokens long, width int, whole binary, rest binary"), "encoded")
+    key = F.xxhash64(F.coalesce("doc_id", F.lit(-(2**63)).cast("long")), "rest", "doc_tokens").alias("h")
+    rests = table.where(F.length("rest") > 0).select("doc_id", "doc_tokens", "width", "rest", key)
+
+    def read(rows: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_py(), f"<u{w.as_py()}") for x, w in zip(rows.column("rest"), rows.column("width"), strict=True)]
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = np.zeros(1, np.int64), 0, 0
+        for b in batches:
+            for x in read(b):
+                terms = np.unique(x)
+                if terms[-1] >= len(df):
+                    df = np.pad(df, (0, max(int(terms[-1]) + 1, 2 * len(df)) - len(df)))
+                df[terms] += 1
+                n, tokens = n + 1, tokens + len(x)
+        terms = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *terms.tolist()], pa.int64()), pa.array([n, tokens, *df[terms].tolist()], pa.int64())], names=["term", "n"])
+
+    # as many rows as the tokenizer has ids
+    df = {r["term"]: r["n"] for r in rests.mapInArrow(shared.tidy(counts), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator()}
+    n, tokens = df.pop(-1, 0), df.pop(-2, 0)
+    frequency = np.zeros(max(df, default=0) + 1, np.int64)
+    frequency[list(df)] = list(df.values())
+    corpus = spark.sparkContext.broadcast((_idf(frequency, n), tokens / max(n, 1)))
+
+    def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v = project(read(b), corpus.value[0])
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.names.index("h")), pa.array(list(v), pa.list_(pa.float32()))], names=["h", "v"])
+
+    depth = min(DEPTH, max(0, (max(n // SHARD_ITEMS, tokens // SHARD_TOKENS)).bit_length() + 2)) if n > SHARD_ITEMS or tokens > SHARD_TOKENS else 0
+    sample = np.zeros((0, PLANES), np.float32)
+    if depth:
+        # the same rows each time: those with a small hash
+        some = rests.where(F.pmod("h", F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))).limit(2 * SAMPLE)
+        got = sorted((r["h"], r["v"]) for r in some.mapInArrow(shared.tidy(projected), "h long, v array<float>").toLocalIterator())
+        sample = np.array([v for _, v in got], np.float32).reshape(-1, PLANES)
+    nodes = spark.sparkContext.broadcast(tree(sample, depth))
+
+    def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            items = read(b)
+            at = leaves(project(items, corpus.value[0]), *nodes.value) if depth else np.zeros(len(items), np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at), pa.array([len(x) for x in items], pa.int64())], names=[*b.schema.names, "leaf", "n"])
+
+    kind = "doc_id long, doc_tokens long, width int, rest binary, h long, leaf long, n long"
+    placed = rests.mapInArrow(shared.tidy(leaf), kind)
+    sizes = np.zeros((2**depth, 2), np.int64)
+    for r in placed.groupBy("leaf").agg(F.count("*").alias("items"), F.sum("n").alias("tokens")).toLocalIterator():
+        sizes[r["leaf"]] = r["items"], r["tokens"]
+    first, parts = deal(sizes)
+    at = lambda x: F.element_at(F.lit(x.tolist()), (F.col("leaf") + 1).cast("int"))
+    dealt = placed.withColumn("shard", at(first) + F.pmod("h", at(parts)))
+
+    def shard(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("leaf", "ascending"), ("h", "ascending")])
+        items = read(rows)
+        ids, total = rows.column("doc_id").to_pylist(), rows.column("doc_tokens").to_pylist()
+        sequence = rows.column("shard")[0].as_py() << 40
+        out = []
+        for pieces in pack(items, window, corpus.value):
+            offset = 0
+            for d, s, n in pieces:
+                out.append((ids[d], total[d] - len(items[d]) + s, n, total[d], sequence, offset, items[d][s : s + n].astype("<u4").tobytes()))
+                offset += n
+            sequence += 1
+        return _pieces(out)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sequence = (1 << 62) + (TaskContext.get().partitionId() << 40)  # beyond those of shards
+        for b in batches:
+            for i in range(b.num_rows):
+                ids = np.frombuffer(b.column("whole")[i].as_py(), f"<u{b.column('width')[i].as_py()}")
+                doc, total = b.column("doc_id")[i].as_py(), b.column("doc_tokens")[i].as_py()
+                out = [(doc, s, window, total, sequence + s // window, 0, ids[s : s + window].astype("<u4").tobytes()) for s in range(0, len(ids), window)]
+                sequence += len(out)
+                yield from _pieces(out).to_batches()
+
+    cut = table.where(F.length("whole") > 0).select("doc_id", "doc_tokens", "width", "whole").mapInArrow(shared.tidy(whole), SCHEMA)
+    return cut.union(dealt.groupBy("shard").applyInArrow(shard, SCHEMA))
+
+
+def _pieces(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True))
+    names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
+    return pa.table([pa.array(c, pa.binary() if k == "ids" else pa.int64()) for k, c in zip(names, columns, strict=True)], names=names)
 
 
 def digests(pieces: DataFrame) -> DataFrame:

@@ -151,6 +151,33 @@ def test_packing_prefers_lexical_neighbours():
     assert [d for d, _, _ in first][:2] == [0, 2]
 
 
+def test_packing_finds_neighbours_across_the_input(spark, monkeypatch):
+    """Texts of one topic stand far apart; the result does not depend on partitions."""
+    monkeypatch.setattr(packing, "SHARD_ITEMS", 64)
+    rnd = random.Random(11)
+    words = [["".join(rnd.choice("bcdfgklmnprst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(30)] for _ in range(20)]
+    rows = [(i, " ".join(rnd.choice(words[i % 20]) for _ in range(20))) for i in range(1000)]
+    seen = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        sequences = defaultdict(list)
+        for x in packing.pack_documents(df, JSON, 256).collect():
+            sequences[x.sequence_id].append((x.offset, x.doc_id, x.start, x.length))
+        seen.append(sorted(sorted(v) for v in sequences.values()))
+        pairs = [(a[1] % 20, b[1] % 20) for v in sequences.values() for a, b in zip(sorted(v), sorted(v)[1:])]
+        assert sum(a == b for a, b in pairs) > 0.8 * len(pairs)
+    assert seen[0] == seen[1]
+
+
+def test_packing_counts_over_the_corpus():
+    """A term that is rare in the corpus tells, though each item of the shard has it."""
+    items = [np.array([5, 6 + i], np.uint32) for i in range(4)]
+    df = np.ones(20, np.int64)
+    df[5] = 4
+    assert packing.Index(items).scores(0)[1] == 0
+    assert packing.Index(items, (packing._idf(df, 1000), 2.0)).scores(0)[1] > 0
+
+
 # --- suffix arrays -----------------------------------------------------------------
 
 

@@ -3,8 +3,9 @@
 A page is read as blocks of text, each under the path of block tags from the
 root. Per path, text length and punctuation are summed over the page and
 divided by the path's blocks; both series are smoothed over the paths in page
-order and fused. Paths above a share of the page's spread are content, as are
-the other paths (headings, short lists) beneath the element that holds them.
+order and fused. Paths above a share of the page's spread are content, beneath
+the element that holds them. A list or table counts as one block, so short items
+and cells stand or fall together; a heading goes with the block after it.
 What is marked as menu, header, footer, aside, notice, advert, form, comment or
 code never enters. A page is handled alone, so there is no shuffle.
 """
@@ -48,7 +49,10 @@ _MARKS = {
     "disclaimer",
 }
 _SMOOTH = np.array([0.25, 0.5, 0.25])
-_SHARE = 0.15  #: of the spread of the fused ratios
+_SHARE = 0.5  #: of the spread of the fused ratios
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_HOLD_ITEMS = {"table", "ul", "ol", "dl"}
+_ITEMS = _HOLD_ITEMS | {"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "li", "dt", "dd"}
 
 
 def _marked(attributes: str) -> bool:
@@ -147,24 +151,36 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     return out
 
 
-def content_paths(found: list[tuple[tuple[str, ...], str, int]]) -> set[tuple[str, ...]]:
-    """Paths whose fused ratio of length and punctuation is high, and what goes with them."""
-    order = list(dict.fromkeys(p for p, _, _ in found))
+def _unit(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The path that a block's ratio is taken under: its own, or that of the list or table it is an item of."""
+    i = len(path)
+    while i and path[i - 1] in _ITEMS:
+        i -= 1
+    holder = next((j for j in range(i, len(path)) if path[j] in _HOLD_ITEMS), None)
+    return path if holder is None else path[: holder + 1]
+
+
+def content_blocks(found: list[tuple[tuple[str, ...], str, int]]) -> list[bool]:
+    """Which blocks stay: those of paths whose fused ratio of length and punctuation is high, and their headings."""
+    units = [_unit(p) for p, _, _ in found]
+    order = list(dict.fromkeys(units))
     at = {p: i for i, p in enumerate(order)}
     length, marks, count, linked = (np.zeros(len(order)) for _ in range(4))
-    for p, text, links in found:
-        i = at[p]
+    before = None
+    for (p, text, links), unit in zip(found, units, strict=True):
+        i = at[unit]
         length[i] += len(text)
         marks[i] += len(_PUNCTUATION.findall(text))
-        count[i] += 1
+        count[i] += p == unit or unit != before
         linked[i] += links
+        before = unit
     prose = 1 - np.minimum(linked / np.maximum(length, 1), 1)
     ratios = [np.convolve(np.pad(x / count * prose, 1, mode="edge"), _SMOOTH, "valid") for x in (length, marks + 1)]
     fused = np.sqrt(ratios[0] * ratios[1])
     rich = fused >= _SHARE * max(float(fused.std()), float(fused.max()) / 4)
     good = rich & (prose > 0.4)
     if not good.any():
-        return set()
+        return [False] * len(found)
     # the element that holds the best path; an article or main element where there is one
     inside = [p for p in order if _CONTENT.intersection(p)]
     if inside:
@@ -175,18 +191,25 @@ def content_paths(found: list[tuple[tuple[str, ...], str, int]]) -> set[tuple[st
     else:
         best = order[int(np.argmax(np.where(good, length * prose, -1)))]
         held = {best[:-1] if best and best[-1] not in ("div", "body", "section") else best}
-    within = lambda p: any(p[: len(h)] == h for h in held)
-    return {p for p, ok in zip(order, good.tolist(), strict=True) if ok and (within(p) or not inside)} | {
-        p for p in order if within(p) and (prose[at[p]] > 0.4 or p[-1:] in (("h1",), ("h2",), ("h3",)))
-    }
+    within = [any(p[: len(h)] == h for h in held) for p in order]
+    stays = [ok and (w or not inside) for ok, w in zip(good.tolist(), within, strict=True)]
+    heading = [bool(_HEADINGS.intersection(p[-1:])) for p in order]
+    keep = [stays[at[u]] for u in units]
+    # from the end: a heading goes with what comes after it; a page of headings alone is its own text
+    after, alone = False, not any(k and not heading[at[u]] for k, u in zip(keep, units, strict=True))
+    for j in range(len(keep) - 1, -1, -1):
+        if not heading[at[units[j]]]:
+            after = keep[j]
+        elif not alone:
+            keep[j] = after and (within[at[units[j]]] or keep[j])
+    return keep
 
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    keep = content_paths(found)
-    return " ".join(text for p, text, _ in found if p in keep)
+    return " ".join(text for (_, text, _), k in zip(found, content_blocks(found), strict=True) if k)
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -228,6 +228,18 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+_LONG = "<p>" + "A sentence of the text, with commas, and so on. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize(("open_", "close"), [("<article>", "</article>"), ("<body>", "</body>")])
+def test_ratios_decide_inside_the_held_element(open_, close):
+    """A short line without punctuation goes, with its heading; lists, tables and headings of text stay."""
+    data = "<table>" + "".join(f"<tr><td>cell {i}</td><td>{i}.5</td></tr>" for i in range(12)) + "</table>"
+    page = f"{open_}<h1>Title</h1>{_LONG * 3}<h2>Data</h2>{data}<section><h5>More</h5><div>Read on</div></section>{close}"
+    text = html_text.main_text(page)
+    assert text.startswith("Title A sentence") and "Data cell 0 0.5" in text and text.endswith("cell 11 11.5")
+
+
 def test_extract_keeps_rows(spark):
     rows = [(1, "<p>a</p>", "old"), (1, None, None), (None, "<p>" + "b " * 50_000, "x")]
     out = html_text.extract(spark.createDataFrame(rows, "page_id long, html string, text string")).collect()

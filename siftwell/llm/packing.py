@@ -102,12 +102,10 @@ def pack(docs: list[np.ndarray], window: int = WINDOW, corpus: tuple[np.ndarray,
         unused[seed] = False
         d = owner[seed]
         pieces, room = [(d, start[seed], len(docs[d]) - start[seed])], window - len(docs[d]) + start[seed]
-        scores = np.where(unused, index.scores(seed), -1.0)
-        best = np.argsort(-scores, kind="stable")[:64] if n <= 64 else _best(scores, 64)
-        ranked = iter(best.tolist())
+        ranked = _ranked(np.where(unused, index.scores(seed), 0.0))
         while room:
             i = next(ranked, None)
-            if i is None or not unused[i]:
+            if i is None:
                 while nxt < n and not unused[nxt]:
                     nxt += 1
                 if nxt == n:
@@ -131,9 +129,15 @@ def pack(docs: list[np.ndarray], window: int = WINDOW, corpus: tuple[np.ndarray,
                 yield _cut(pieces, 1 << bit)
 
 
-def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    top = np.argpartition(-scores, k)[:k]
-    return top[np.lexsort((top, -scores[top]))]
+def _ranked(scores: np.ndarray, k: int = 64) -> Iterator[int]:
+    """Items with a positive score, best first; ``k`` are ranked at a time. ``scores`` is changed."""
+    while True:
+        top = np.argpartition(-scores, k)[:k] if len(scores) > k else np.arange(len(scores))
+        top = top[scores[top] > 0]
+        if not len(top):
+            return
+        yield from top[np.lexsort((top, -scores[top]))].tolist()
+        scores[top] = 0
 
 
 def _cut(pieces: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, int]]:

@@ -169,6 +169,13 @@ def test_packing_finds_neighbours_across_the_input(spark, monkeypatch):
     assert seen[0] == seen[1]
 
 
+def test_packing_ranks_all_neighbours():
+    """100 short neighbours fit a window; items that share nothing come first in the input."""
+    docs = [np.array(x, np.uint32) for x in ([7, 1], *([1000 + 8 * i + j for j in range(8)] for i in range(150)), *([7, *(5000 + 8 * i + j for j in range(7))] for i in range(100)))]
+    first = next(iter(packing.pack(docs)))
+    assert sorted(d for d, _, _ in first[1:101]) == list(range(151, 251))
+
+
 def test_packing_counts_over_the_corpus():
     """A term that is rare in the corpus tells, though each item of the shard has it."""
     items = [np.array([5, 6 + i], np.uint32) for i in range(4)]

@@ -232,6 +232,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte[c] for c in k): v for k, v in found["model"]["vocab"].items() if k not in special}
 
 
+def read_added(path: str) -> dict[str, int]:
+    """Added tokens of a ``.json`` tokenizer file -> id."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, "rb") as f:
+        return {x["content"]: x["id"] for x in json.load(f).get("added_tokens", [])}
+
+
 @functools.cache
 def load(path: str) -> Codec:
     return Codec(read_ranks(path))

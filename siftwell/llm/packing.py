@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
-from .bpe import read_ranks
+from .bpe import read_added, read_ranks
 
 WINDOW = 1024
 END = 0  #: id that follows each document
@@ -42,7 +42,7 @@ def _encoding(path: str):
     import public_tokenizers
     import tiktoken
 
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path), special_tokens=read_added(path))
 
 
 def _idf(df: np.ndarray, n: int) -> np.ndarray:
@@ -226,8 +226,8 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
     """The pieces of SCHEMA; ``ids`` holds a piece's ids, 4 bytes each, little-endian.
 
     A document is its ids under the tokenizer in ``path`` (a file that every
-    worker can read; no special tokens in texts), then id 0. Null and empty
-    texts are that id alone. Repeated rows are packed each; a null doc_id stays
+    worker can read; its added tokens are matched in texts, none is added), then
+    id 0. Null and empty texts are that id alone. Repeated rows are packed each; a null doc_id stays
     null. Other columns are left out. Which pieces share a sequence depends on
     the rows, not on their order or partitions.
     """
@@ -240,7 +240,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
         for b in batches:
             total, whole, rest = [], [], []
             for x in b.column(1):
-                got = enc.encode_ordinary(x.as_py() or "")
+                got = enc.encode(x.as_py() or "", allowed_special="all")
                 got.append(END)
                 ids = np.array(got, kind)
                 cut = len(ids) // window * window

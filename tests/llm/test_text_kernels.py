@@ -176,6 +176,18 @@ def test_packing_ranks_all_neighbours():
     assert sorted(d for d, _, _ in first[1:101]) == list(range(151, 251))
 
 
+def test_packing_ids_equal_the_tokenizers_library(spark):
+    import tokenizers
+
+    rows = ["ab <|endoftext|> cd", "<|endoftext|><|endoftext|>x", "  <|endoftext|>\n\n a", "<|endoftext", *[x for x in texts(13, 30) if x]]
+    lib = tokenizers.Tokenizer.from_file(JSON)
+    want = {i: [*x.ids, packing.END] for i, x in enumerate(lib.encode_batch(rows, add_special_tokens=False))}
+    got = defaultdict(list)
+    for x in packing.pack_documents(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), JSON).orderBy("doc_id", "start").collect():
+        got[x.doc_id] += np.frombuffer(x.ids, "<u4").tolist()
+    assert got == want
+
+
 def test_packing_counts_over_the_corpus():
     """A term that is rare in the corpus tells, though each item of the shard has it."""
     items = [np.array([5, 6 + i], np.uint32) for i in range(4)]

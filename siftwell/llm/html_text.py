@@ -55,18 +55,26 @@ _HOLD_ITEMS = {"table", "ul", "ol", "dl"}
 _ITEMS = _HOLD_ITEMS | {"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "li", "dt", "dd"}
 
 
-def _marked(attributes: str) -> bool:
-    if "=" not in attributes:
-        return bool(re.search(r"\bhidden\b", attributes))
+#: A class that starts so says that something is missing, or is about the whole.
+_ABOUT = {"no", "not", "without", "has", "have", "with"}
+
+
+def _marked(attributes: str, inside: bool) -> bool:
+    """Whether a name in class, id or role has a word of _MARKS; ``inside`` an article, whether it is or starts with one, headers aside."""
     for m in _NAMED.finditer(attributes):
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", m[1] or m[2] or m[3] or "")
-        if _MARKS.intersection(re.split(r"[^a-z]+", value.lower())):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|$)|aria-hidden\s*=\s*.?true|display\s*:\s*none", attributes))
+        for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", m[1] or m[2] or m[3] or "").lower().split():
+            words = [w for w in re.split(r"[^a-z]+", name) if w]
+            if words and words[0] not in _ABOUT and _MARKS.intersection(words[:1] if inside else words) and not (inside and words[0] == "header"):
+                return True
+    return False
+
 
+def _unseen(attributes: str) -> bool:
+    return bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)|aria-hidden\s*=\s*.?true|display\s*:\s*none", attributes))
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """(path of block tags, text, characters of it in links) in page order."""
+
+def blocks(page: str, marks: bool = True) -> list[tuple[tuple[str, ...], str, int]]:
+    """(path of block tags, text, characters of it in links) in page order. ``marks``: whether marked elements are left out."""
     out: list[tuple[tuple[str, ...], str, int]] = []
     stack: list[tuple[str, bool]] = []  # element, and whether it or one around it is left out
     parts: list[str] = []
@@ -146,7 +154,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         if m[3].rstrip().endswith("/") and tag not in _BLOCK:
             continue
         never = tag in _NEVER and not (tag == "header" and any(t in _CONTENT for t, _ in stack) and not left_out)
-        stack.append((tag, left_out or never or (tag not in _CONTENT | {"html", "body"} and _marked(m[3]))))
+        stack.append((tag, left_out or never or (tag not in _CONTENT | {"html", "body"} and (_unseen(m[3]) or (marks and _marked(m[3], any(t in _CONTENT for t, _ in stack)))))))
     end_block()
     return out
 
@@ -175,10 +183,11 @@ def content_blocks(found: list[tuple[tuple[str, ...], str, int]]) -> list[bool]:
         linked[i] += links
         before = unit
     prose = 1 - np.minimum(linked / np.maximum(length, 1), 1)
-    ratios = [np.convolve(np.pad(x / count * prose, 1, mode="edge"), _SMOOTH, "valid") for x in (length, marks + 1)]
+    telling = np.where([bool(_CONTENT.intersection(p)) for p in order], 1.0, prose)  # links in an article are its own
+    ratios = [np.convolve(np.pad(x / count * telling, 1, mode="edge"), _SMOOTH, "valid") for x in (length, marks + 1)]
     fused = np.sqrt(ratios[0] * ratios[1])
     rich = fused >= _SHARE * max(float(fused.std()), float(fused.max()) / 4)
-    good = rich & (prose > 0.4)
+    good = rich & (telling > 0.4)
     if not good.any():
         return [False] * len(found)
     # the element that holds the best path; an article or main element where there is one
@@ -205,11 +214,19 @@ def content_blocks(found: list[tuple[tuple[str, ...], str, int]]) -> list[bool]:
     return keep
 
 
+def _kept(found: list[tuple[tuple[str, ...], str, int]]) -> str:
+    return " ".join(text for (_, text, _), k in zip(found, content_blocks(found), strict=True) if k) if found else ""
+
+
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
-    if not found:
-        return ""
-    return " ".join(text for (_, text, _), k in zip(found, content_blocks(found), strict=True) if k)
+    text = _kept(found)
+    if page and not any(_CONTENT.intersection(p) for p, _, _ in found) and _NAMED.search(page):
+        # without an article, a marked element that holds nearly all of the text is the text
+        whole = _kept(blocks(page, False))
+        if len(text) < 0.2 * len(whole):
+            return whole
+    return text
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -259,6 +259,18 @@ def test_ratios_decide_inside_the_held_element(open_, close):
     assert text.startswith("Title A sentence") and "Data cell 0 0.5" in text and text.endswith("cell 11 11.5")
 
 
+@pytest.mark.parametrize("name", ["content no-sidebar", "has-header", "legal-news", "search-result"])
+def test_marks_do_not_take_the_main_text(name):
+    assert html_text.main_text(f"<body><div class='{name}'>{_LONG * 3}</div><div class='site-footer'>Imprint, terms.</div></body>").startswith("A sentence")
+
+
+def test_article_keeps_its_header_and_links():
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>Source number {i}, with a title.</a></li>" for i in range(4)) + "</ul>"
+    page = f"<article><div class='article-header'><h1>Title</h1></div>{_LONG}{links}<div class='share-bar'>Share this, please.</div></article>"
+    text = html_text.main_text(page)
+    assert text.startswith("Title A sentence") and text.endswith("Source number 3, with a title.")
+
+
 def test_extract_keeps_rows(spark):
     rows = [(1, "<p>a</p>", "old"), (1, None, None), (None, "<p>" + "b " * 50_000, "x")]
     out = html_text.extract(spark.createDataFrame(rows, "page_id long, html string, text string")).collect()

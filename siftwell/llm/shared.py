@@ -95,14 +95,18 @@ def tidy(fn: Callable) -> Callable:
     return run
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+#: Names of key columns beside a caller's own.
+RESERVED = ("__siftwell_id", "__siftwell_text")
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("k_id", "k_text")) -> list[Column]:
     """Two columns that stand for a document: its id and a hash of its text.
 
     Rows with the same id and text are one document stated twice and always get
     the same result. A null id is a value of its own.
     """
     low = F.lit(-(2**63)).cast("long")
-    return [F.coalesce(F.col(id_col), low).alias("k_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("k_text")]
+    return [F.coalesce(F.col(id_col).cast("long"), low).alias(names[0]), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias(names[1])]
 
 
 def widened(df: DataFrame, more: str) -> T.StructType:
@@ -123,7 +127,13 @@ def text_chunks(column: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, int,
 
     A run holds at most ``most`` bytes, or one text that is longer.
     """
-    column = text_column(column)
+    yield from byte_chunks(text_column(column), most)
+
+
+def byte_chunks(column: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The same of a column of bytes or large strings without nulls."""
+    if pa.types.is_binary(column.type):
+        column = column.cast(pa.large_binary())
     if not len(column):
         return
     offs = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1 + column.offset)[column.offset :]

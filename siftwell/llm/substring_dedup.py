@@ -1,17 +1,22 @@
 """Removal of long repeated byte strings by sharded suffix arrays.
 
-Each string of ``size`` bytes has an anchor: the smallest hash among its
-GRAM-byte grams. Equal strings have equal anchors, so runs of strings with one
-anchor ("regions", at most some 700 bytes) are all that must be brought
-together. Regions whose anchor occurs once repeat nothing. Of the others, equal
-regions are one; where an anchor's regions differ, their bytes go into a shard,
-whose suffix array and permuted common prefixes tell which strings repeat. An
-anchor with very many different regions is dealt to several shards; its strings
-are then matched between shards by hash.
+Each string of ``size`` bytes has an anchor: the smallest hash among its grams
+of half its size. Equal strings have equal anchors, so runs of strings with one
+anchor ("regions") are all that must be brought together. Regions whose anchor
+occurs once repeat nothing. Of the others, equal regions are one; where an
+anchor's regions differ, their bytes go into a shard, whose suffix array and
+permuted common prefixes tell which strings repeat.
+
+An anchor with more different regions than a shard takes is cut finer: its
+regions are split by the smallest hash among longer grams, which drops and
+merges most of what is left, and so on until every anchor's regions fit a shard.
+At grams of ``size`` bytes a region is one string, so equal ones are one and
+nothing is left over.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,22 +29,32 @@ from . import shared
 from .suffix_array import common_prefixes, suffix_array
 
 SIZE = 400
-#: Longer grams keep strings apart that differ near their anchor, at the price of more regions.
-GRAM = 200
 #: Bits of the filter of repeated anchors; fixed, so what is broadcast doesn't grow.
 FILTER_BITS = 1 << 25
 #: Bytes of a shard (more only to keep an anchor's regions together).
 SHARD = 1 << 20
-#: Different regions of an anchor that share a shard.
+#: Different regions of an anchor that a shard takes; those of more are cut finer.
 TOGETHER = 2048
+#: Bytes of a text that are looked at in one go.
+LONG = 1 << 20
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def regions(raw: np.ndarray, offs: np.ndarray, size: int = SIZE, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def gram_sizes(size: int) -> list[int]:
+    """Gram lengths of the levels: each leaves a quarter of the strings that may share an anchor side by side."""
+    out, window = [], size - size // 2 + 1
+    while window > 1:
+        out.append(size - window + 1)
+        window = -(-window // 4)
+    return [*out, size]
+
+
+def regions(raw: np.ndarray, offs: np.ndarray, size: int = SIZE, gram: int | None = None) -> tuple[np.ndarray, ...]:
     """(text, first and last start, anchor, hash of its bytes, tied) of each region.
 
     tied: the region holds a string twice.
     """
-    n = len(raw)
+    n, gram = len(raw), gram or gram_sizes(size)[0]
     none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, bool),)
     if n < size:
         return none
@@ -143,98 +158,128 @@ def _filter_of(anchors: DataFrame) -> np.ndarray:
     return out
 
 
-def repeated_spans(docs: DataFrame, text: str, size: int) -> DataFrame:
-    """(k_id, k_text, spans): byte spans of each text that repeated strings cover."""
-    spark = docs.sparkSession
-    shared.small_batches(spark)
-    keyed = docs.select(*shared.row_key(text_col=text), F.col(text).alias("text"))
+_KEY = "k_id long, k_text long, base long"
+_PIECE = f"{_KEY}, v long, d long, done boolean, bytes binary"
+
+
+def _regions_of(source: DataFrame, size: int, gram: int) -> DataFrame:
+    """(key, a, b, v, r, tied, done) of the regions of each row of ``source`` (_PIECE); a and b count from the text's start."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, _, raw, offs in shared.text_chunks(b.column(2)):
-                at, first, last, anchor, whole, tied = regions(raw, offs, size)
-                rows = pa.array(at + i)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(rows), b.column(1).take(rows), pa.array(first), pa.array(last), pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(tied)],
-                    names=["k_id", "k_text", "a", "b", "v", "r", "tied"],
-                )
+            base, of, done = (np.array(b.column(i)) for i in (2, 3, 5))
+            for i, _, raw, offs in shared.byte_chunks(b.column(6)):
+                step = LONG if len(offs) == 2 else len(raw)
+                for lo in range(0, len(raw), step):  # a very long text in parts, each with the strings that start in it
+                    part = raw[lo : lo + step + size - 1]
+                    at, first, last, anchor, whole, tied = regions(part, np.minimum(offs, len(part)), size, gram)
+                    at = at + i
+                    rows = pa.array(at)
+                    anchor = shared.mix(anchor ^ of[at].view(np.uint64))  # strings of one anchor stay among themselves
+                    start = base[at] + lo
+                    yield pa.RecordBatch.from_arrays(
+                        [*(b.column(k).take(rows) for k in range(3)), pa.array(first + start), pa.array(last + start), pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(tied), pa.array(done[at])],
+                        names=["k_id", "k_text", "base", "a", "b", "v", "r", "tied", "done"],
+                    )
+
+    return source.mapInArrow(shared.tidy(find), f"{_KEY}, a long, b long, v long, r long, tied boolean, done boolean")
+
+
+def _pieces_of(source: DataFrame, differ: DataFrame, size: int) -> DataFrame:
+    """The bytes of the regions ``differ`` (key, a, b, v, d, done), cut from ``source``."""
 
-    kind = "k_id long, k_text long, a long, b long, v long, r long, tied boolean"
-    found = shared.materialize(keyed.mapInArrow(shared.tidy(find), kind), "regions")
-    many = found.groupBy("v").agg(F.count("*").alias("c"), F.max("tied").alias("t")).where("c > 1 or t").select("v")
-    many = shared.materialize(many, "anchors")
-    seen = spark.sparkContext.broadcast(_filter_of(many))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 128)):
+            rows = []
+            for k, t, base, parts, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                rows += [(k, t, p["a"], p["v"], p["d"], p["done"], data[p["a"] - base : p["b"] - base + size]) for p in parts]
+            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], x) for i, x in enumerate(kinds)], names=["k_id", "k_text", "base", "v", "d", "done", "bytes"])
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bit = _bit(b.column(4).to_numpy())
-            yield b.filter(pa.array((seen.value[bit >> 3] >> (bit & 7) & 1).astype(bool)))
+    by_row = differ.groupBy("k_id", "k_text", "base").agg(F.collect_list(F.struct("a", "b", "v", "d", "done")).alias("parts"))
+    joined = source.select("k_id", "k_text", "base", "bytes").join(by_row, ["k_id", "k_text", "base"]).select("k_id", "k_text", "base", "parts", "bytes")
+    return joined.mapInArrow(shared.tidy(cut), _PIECE)
 
-    found2 = shared.materialize(found.mapInArrow(shared.tidy(likely), kind).join(many, "v").select("k_id", "k_text", "a", "b", "v", "r", "tied"), "repeated")
+
+def _sift(found: DataFrame, size: int, corpus: bool) -> tuple[DataFrame, DataFrame]:
+    """Of regions: the spans of those that occur twice, and the different ones of an anchor, one each, with their number ``d``.
+
+    ``corpus``: regions of all texts, most of whose anchors occur once; a filter
+    of fixed size keeps these out of the join.
+    """
+    many = found.groupBy("v").agg(F.count("*").alias("c"), F.max("tied").alias("t")).where("c > 1 or t").select("v")
+    if corpus:
+        many = shared.materialize(many, "anchors")
+        seen = found.sparkSession.sparkContext.broadcast(_filter_of(many))
+        at = found.columns.index("v")
+
+        def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                bit = _bit(b.column(at).to_numpy())
+                yield b.filter(pa.array((seen.value[bit >> 3] >> (bit & 7) & 1).astype(bool)))
+
+        kept = found.mapInArrow(shared.tidy(likely), found.schema).join(many, "v").select(found.columns)
+    else:
+        kept = found.join(many, "v").select(found.columns)
+    kept = shared.materialize(kept, "repeated")
     shared.discard(found)
-    place = F.struct("k_id", "k_text", "a", "b")
-    same = found2.groupBy("v", "r").agg(F.count("*").alias("c"), F.min(place).alias("p"), F.max("tied").alias("t"))
+    # one row for each different region; if it occurs twice, all its strings repeat
+    same = kept.groupBy("v", "r").agg(F.count("*").alias("c"), F.min(F.struct("k_id", "k_text", "base", "a", "b")).alias("p"), F.max("tied").alias("t"), F.max("done").alias("done"))
     same = shared.materialize(same, "distinct")
     several = same.groupBy("v").agg(F.count("*").alias("d"), F.max("t").alias("tied")).where("d > 1 or tied")
+    spans = kept.where("not done").join(same.where("c > 1").select("v", "r"), ["v", "r"]).select("k_id", "k_text", F.col("a").alias("s"), (F.col("b") + size).alias("e"))
+    differ = same.join(several.select("v", "d"), "v").select("p.*", "v", "d", F.expr("done or c > 1").alias("done"))
+    return spans, differ
 
-    # Equal regions: all their strings repeat.
-    whole = found2.join(same.where("c > 1").select("v", "r"), ["v", "r"]).select("k_id", "k_text", F.col("a").alias("s"), (F.col("b") + size).alias("e"))
 
-    # Different regions of one anchor: to the shards.
-    shards = F.ceil(F.col("d") / TOGETHER).cast("long")
-    differ = same.join(several, "v").select(
-        "p.*", "v", (F.col("c") > 1).alias("done"), F.when(shards > 1, F.pmod(F.col("r"), shards)).otherwise(-1).cast("long").alias("salt")
-    )
-    by_text = differ.groupBy("k_id", "k_text").agg(F.collect_list(F.struct("a", "b", "v", "done", "salt")).alias("parts"))
-
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 128)):
-            rows = []
-            for k, t, parts, x in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                data = (x or "").encode()
-                rows += [(k, t, p["a"], p["b"], p["v"], p["done"], p["salt"], data[p["a"] : p["b"] + size]) for p in parts]
-            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], x) for i, x in enumerate(kinds)], names=["k_id", "k_text", "a", "b", "v", "done", "salt", "bytes"]
-            )
-
-    one_each = keyed.join(by_text, ["k_id", "k_text"]).select("k_id", "k_text", "parts", "text")
-    pieces = one_each.mapInArrow(shared.tidy(slices), "k_id long, k_text long, a long, b long, v long, done boolean, salt long, bytes binary")
-    pieces = pieces.dropDuplicates(["v", "k_id", "k_text", "a"])  # a document stated twice
-    pieces = pieces.repartition("v", "salt").sortWithinPartitions("v", "salt")
+def _search(pieces: DataFrame, size: int) -> DataFrame:
+    """(k_id, k_text, s, e): runs of strings that repeat among an anchor's pieces, by the suffix array of their shard."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
         out = []
-        for row, at in zip(rows, repeats([r[7] for r in rows], size), strict=True):
-            k, t, a, _, _, done, salt, data = row
-            if not done:
-                out += [(k, t, a + i, a + j + size, None) for i, j in _runs(at)]
-            if salt >= 0:  # for other shards of the anchor: every string once
-                raw = np.frombuffer(data, np.uint8)
-                i = np.arange(len(raw) - size + 1)
-                out += [(k, t, a + p, a + p + size, h) for p, h in enumerate(shared.SpanHash(raw).of(i, i + size).view(np.int64).tolist())]
-        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(5)], names=["k_id", "k_text", "s", "e", "h"])
+        for row, at in zip(rows, repeats([r[6] for r in rows], size), strict=True):
+            if not row[5]:
+                out += [(row[0], row[1], row[2] + i, row[2] + j + size) for i, j in _runs(at)]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(4)], names=["k_id", "k_text", "s", "e"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held, key = [], 0, None
+        rows, held, anchor, before = [], 0, None, None
         for b in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if held >= SHARD and (row[4], row[6]) != key:
+                if row[:4] == before:  # a document stated twice
+                    continue
+                if held >= SHARD and row[3] != anchor:
                     yield flush(rows)
                     rows, held = [], 0
-                key = (row[4], row[6])
+                anchor, before = row[3], row[:4]
                 rows.append(row)
-                held += len(row[7])
+                held += len(row[6])
         if rows:
             yield flush(rows)
 
-    results = shared.materialize(pieces.mapInArrow(shared.tidy(search), "k_id long, k_text long, s long, e long, h long"), "spans")
-    strings = results.where("h is not null")
-    at = F.struct("k_id", "k_text", "s")
-    across = strings.groupBy("h").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo <> hi").select("h")
-    across = strings.join(across, "h")
-    spans = whole.union(results.where("h is null").drop("h")).union(across.drop("h").select("k_id", "k_text", "s", "e"))
-    return spans.groupBy("k_id", "k_text").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("spans"))
+    return pieces.repartition("v").sortWithinPartitions("v", "k_id", "k_text", "base").mapInArrow(shared.tidy(search), "k_id long, k_text long, s long, e long")
+
+
+def repeated_spans(docs: DataFrame, text: str, size: int) -> DataFrame:
+    """(k_id, k_text, spans): byte spans of each text that repeated strings cover."""
+    spark = docs.sparkSession
+    shared.small_batches(spark)
+    none = F.lit(0).cast("long")
+    source = docs.select(
+        *shared.row_key(text_col=text), none.alias("base"), none.alias("v"), none.alias("d"), F.lit(False).alias("done"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("bytes")
+    )
+    out = None
+    for level, gram in enumerate(gram_sizes(size)):
+        found = shared.materialize(_regions_of(source, size, gram), "regions")
+        spans, differ = _sift(found, size, not level)
+        pieces = shared.materialize(_pieces_of(source, differ, size), "pieces")
+        fits = pieces.where(F.col("d") <= TOGETHER)
+        spans = spans.union(shared.materialize(_search(fits, size), "spans"))
+        out = spans if out is None else out.union(spans)
+        source = pieces.where(F.col("d") > TOGETHER).dropDuplicates(["k_id", "k_text", "base"])
+        if source.isEmpty():
+            break
+    return out.groupBy("k_id", "k_text").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -247,19 +292,20 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE, min_words: int = 0) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans (long) and kept (binary) added.
 
     Every byte that a ``size``-byte string covers which starts anywhere else too
-    is removed, in all its places, judged on the input as it is. Every row
-    stays. Null texts count as empty; rows with the same doc_id and text repeat
-    each other. Columns named like ours are replaced.
+    is removed, in all its places, judged on the input as it is; with
+    ``min_words``, only where such bytes lie in a run that holds so many words.
+    Every row stays. Null texts count as empty; rows with the same doc_id and
+    text repeat each other. Columns named like ours are replaced.
     """
     ours = ["n_bytes", "n_removed", "n_spans", "kept"]
-    names = [c for c in docs.columns if c not in [*ours, "k_id", "k_text"]]
+    names = [c for c in docs.columns if c not in ours]
     docs = docs.select(*[f"`{c}`" for c in names])
-    spans = repeated_spans(docs, text, size)
-    joined = docs.select("*", *shared.row_key(text_col=text)).join(spans, ["k_id", "k_text"], "left").drop("k_id", "k_text")
+    spans = repeated_spans(docs, text, size).withColumnsRenamed(dict(zip(("k_id", "k_text"), shared.RESERVED, strict=True)))
+    joined = docs.select("*", *shared.row_key(text_col=text, names=shared.RESERVED)).join(spans, [*shared.RESERVED], "left").drop(*shared.RESERVED)
     schema = shared.widened(docs, "n_bytes long, n_removed long, n_spans long, kept binary")
     k = names.index(text)
 
@@ -271,6 +317,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SIZE) -> Dat
                 for x, found in zip(part.column(k).to_pylist(), part.column(len(names)).to_pylist(), strict=True):
                     data = (x or "").encode()
                     gone = merged([(p["s"], p["e"]) for p in found or ()])
+                    if min_words:
+                        gone = [g for g in gone if len(_WORD.findall(data, *g)) >= min_words]
                     edges = [0, *(y for p in gone for y in p), len(data)]
                     kept.append(b"".join(data[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)))
                     size_of.append(len(data))

@@ -6,11 +6,13 @@ Two sets of similarity t or more share a member among the first
 n - ceil(t n) + 1 of each, so those are indexed, with all rare ones whose hash is
 below a cut. Every set indexes what it holds below the cut, so how many of these
 it shares bounds its overlap with any other set: that drops sets, then pairs.
-For members that several remaining sets hold, each set is compared with the pivot
-it shares most with, linked sets are contracted, and only sets that are then
-still apart are compared with the rest. A comparison puts the candidates of one set into a prefix tree:
-a path that candidates share is overlapped with the set once, and a subtree is
-left when the members that remain cannot reach the bound.
+Each set is first compared with the pivot it shares most with, and linked sets
+are contracted. Sets that are then still apart meet under the members they share:
+pair by pair under members that few hold, else in blocks. A block's sets are a
+prefix tree in the global order, which is walked once for many probes: a path
+that sets share is overlapped with the probes once, and what is below is left
+when the members that remain cannot reach the bound for any of them. Of a
+block's links only those that join what is not joined yet are rows.
 
 Texts with the same set are one class from the start, so copies cost one row.
 """
@@ -34,13 +36,16 @@ SKETCH = 1 << 20
 CUT = 0.35
 #: Members that fewer sets hold are joined; that adds at most so many rows for each.
 FEW = 32
-#: Sets that meet in one task, on either side.
+#: Sets, and members of them, that meet in one task, on either side, about.
 BLOCK = 4096
+BLOCK_MEMBERS = 1 << 20
 #: Entries that a map task holds before it ships them.
 FLUSH = 1 << 21
-#: Sketch level (log2 of a count against the mean counter) from which an n-gram
-#: is indexed as plain rows, which Spark can split, and not in a packed bucket.
+#: Sketch level (log2 of a count against the mean counter) from which an n-gram's
+#: entries are dealt to the buckets by their class too.
 HEAVY_LEVEL = 6
+#: Members of a step down the prefix tree, and probes that walk it together.
+STEP, PROBES = 16, 64
 
 
 # --- sets --------------------------------------------------------------------
@@ -96,7 +101,7 @@ def linked(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool
     out = [False] * len(sets)
     n = len(probe)
     have = np.sort(probe)
-    order = sorted(range(len(sets)), key=lambda i: sets[i][:8].tolist())
+    order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
     path = np.zeros(0, np.uint64)  # members from the root to where the walk stands
     overlap = np.zeros(1, np.int64)  # overlap with the probe at each depth
     cut = -1  # depth at which the path was given up, else -1
@@ -129,6 +134,87 @@ def linked(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool
     return out
 
 
+def tree_links(sets: list[np.ndarray], probes: list[int], held: list[int], names: list[int], comp: list[int], level: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between ``probes`` and ``held`` (places in ``sets``) that join components.
+
+    Sets are in the global order. A probe meets the held sets that have more
+    members than it, or as many and a larger name. Every link between components
+    that the links given do not join already is given.
+    """
+    size = np.array([len(x) for x in sets])
+    grams, rank = np.unique(np.concatenate(sets), return_inverse=True)
+    place = np.empty(len(grams), np.int64)
+    place[np.lexsort((grams, level[(grams & np.uint64(SKETCH - 1)).astype(np.int64)]))] = np.arange(len(grams))
+    cut = np.cumsum(size) - size
+    ranks = np.split(place[rank], cut[1:])
+    # the tree: held sets in the order of a walk, members in steps; what is past a set's end no probe has
+    held = sorted(held, key=lambda i: ranks[i].astype(">u4").tobytes())
+    steps = -(-size[held] // STEP)
+    start = np.cumsum(steps) - steps
+    flat = np.full((int(steps.sum()), STEP), len(grams))
+    for k, i in enumerate(held):
+        flat[start[k] : start[k] + steps[k]].ravel()[: size[i]] = ranks[i]
+    common = np.zeros(len(held), np.int64)  # steps that a set shares with the one before it
+    for k in range(1, len(held)):
+        n = min(steps[k - 1], steps[k])
+        same = (flat[start[k - 1] : start[k - 1] + n] == flat[start[k] : start[k] + n]).all(1)
+        common[k] = n if same.all() else int(np.argmin(same))
+    name, m = np.array([names[i] for i in held]), size[held]
+
+    above: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while above.get(c, c) != c:
+            above[c] = above.get(above[c], above[c])
+            c = above[c]
+        return c
+
+    out: list[tuple[int, int]] = []
+    probes = sorted(probes, key=lambda i: size[i])
+    has = np.zeros((len(grams) + 1, PROBES), np.uint8)
+    at, width = 0, 4  # the first few probes join most of what is alike
+    while at < len(probes):
+        batch = probes[at : at + width]
+        at, width = at + width, min(4 * width, PROBES)
+        n = size[batch]
+        for k, i in enumerate(batch):
+            has[ranks[i], k] = 1
+        now = {c: root(c) for c in {comp[i] for i in batch} | {comp[i] for i in held}}
+        mine, theirs = np.array([now[comp[i]] for i in batch]), np.array([now[comp[i]] for i in held])
+        own = np.array([names[i] for i in batch])
+        open_ = (theirs[:, None] != mine) & ((m[:, None] > n) | ((m[:, None] == n) & (name[:, None] > own))) & (100 * n >= percent * m[:, None])
+        live = np.flatnonzero(open_.any(1))
+        found: list[tuple[int, int]] = []
+        if len(live):
+            shared_steps = np.minimum.reduceat(common[: live[-1] + 1], np.append(0, live[:-1] + 1))
+            node, overlap, depth = np.zeros(len(live), np.int64), np.zeros((1, len(batch)), np.int64), 0
+        while len(live):
+            new = shared_steps <= depth
+            new[0] = True
+            first = np.flatnonzero(new)
+            overlap = overlap[node[first]] + has[flat[start[live[first]] + depth]][:, :, : len(batch)].sum(1, dtype=np.int64)
+            node = np.cumsum(new) - 1
+            depth += 1
+            left = np.maximum(m[live] - depth * STEP, 0)[:, None]
+            can = open_[live] & ((overlap[node] + left) * (100 + percent) >= percent * (n + m[live][:, None]))
+            ended = steps[live] <= depth
+            for k, j in zip(*np.nonzero(can & ended[:, None]), strict=True):
+                found.append((batch[j], held[live[k]]))
+            stay = np.flatnonzero(can.any(1) & ~ended)
+            if not len(stay):
+                break
+            shared_steps = np.minimum.reduceat(shared_steps[: stay[-1] + 1], np.append(0, stay[:-1] + 1))
+            live, node = live[stay], node[stay]
+        for i, j in found:
+            a, b = root(comp[i]), root(comp[j])
+            if a != b:
+                above[max(a, b)] = min(a, b)
+                out.append((i, j))
+        for k, i in enumerate(batch):
+            has[ranks[i], k] = 0
+    return out
+
+
 # --- stages ------------------------------------------------------------------
 
 
@@ -171,7 +257,7 @@ def below_cut(in_order: np.ndarray, level: np.ndarray) -> int:
 
 
 def _classes(docs: DataFrame, level, words: int, percent: int) -> DataFrame:
-    """(doc_id, k_text, n, cls, low, need) of each row.
+    """(k_id, k_text, doc_id, n, cls, low, need) of each row.
 
     low: members below the cut. need: how many of them any linked set shares.
     """
@@ -179,45 +265,41 @@ def _classes(docs: DataFrame, level, words: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, cls, low, need = [], [], [], []
-            for grams in text_sets(b.column(2), words):
+            for grams in text_sets(b.column(3), words):
                 size = len(grams)
                 n.append(size)
                 cls.append(set_id(grams) if size else None)
                 low.append(below_cut(ordered(grams, level.value), level.value) if size else 0)
                 # an overlap is at least t n; the members above the cut give n - low of it
                 need.append(low[-1] - size - (-size * percent // 100) if low[-1] >= prefix_length(size, percent) else 0)
-            columns = [b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in (n, cls, low, need))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "k_text", "n", "cls", "low", "need"])
+            columns = [*b.columns[:3], *(pa.array(x, pa.int64()) for x in (n, cls, low, need))]
+            yield pa.RecordBatch.from_arrays(columns, names=["k_id", "k_text", "doc_id", "n", "cls", "low", "need"])
 
-    keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k_text"), "text")
-    return keyed.mapInArrow(shared.tidy(run), "doc_id long, k_text long, n long, cls long, low long, need long")
+    keyed = docs.select(*shared.row_key(), "doc_id", "text")
+    return keyed.mapInArrow(shared.tidy(run), "k_id long, k_text long, doc_id long, n long, cls long, low long, need long")
 
 
 def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> DataFrame:
-    """Indexed members: packed by bucket of the hash, or as rows if very common.
+    """Indexed members and their classes, packed by bucket.
 
-    A member is shipped as 32 bits within its bucket: two that fall together
-    only add candidates.
+    A bucket is a range of the members' hashes; the entries of a very common
+    member are dealt over all buckets by their class, so that no bucket gets all.
     """
-    names = ["bucket", "gram", "cls", "grams", "classes"]
+    names = ["bucket", "common", "grams", "classes"]
 
     def rows(grams: list[np.ndarray], cls: list[int]) -> Iterator[pa.RecordBatch]:
         gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         of = np.repeat(np.array(cls, np.int64), [len(g) for g in grams])
         common = level.value[(gram & np.uint64(SKETCH - 1)).astype(np.int64)] >= HEAVY_LEVEL
         gram = shared.mix(gram)
-        k = int(common.sum())
-        if k:
-            yield pa.RecordBatch.from_arrays([pa.array([-1] * k, pa.int32()), pa.array(gram[common].view(np.int64)), pa.array(of[common]), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
-        gram, of = gram[~common], of[~common]
-        bucket = ((gram >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        spread = np.where(common, shared.mix(gram ^ of.view(np.uint64)), gram)
+        bucket = ((spread >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64) * 2 + common
         order = np.argsort(bucket, kind="stable")
-        gram, of, bucket = gram[order].astype(np.uint32), of[order], bucket[order]
-        cut = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
-        full = [i for i in range(buckets) if cut[i + 1] > cut[i]]
-        k = len(full)
+        gram, of, bucket = gram[order], of[order], bucket[order]
+        cut = np.searchsorted(bucket, np.arange(2 * buckets + 1)).tolist()
+        full = [i for i in range(2 * buckets) if cut[i + 1] > cut[i]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(full, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array([gram[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary()), pa.array([of[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary())],
+            [pa.array([i // 2 for i in full], pa.int32()), pa.array([i % 2 == 1 for i in full], pa.bool_()), pa.array([gram[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary()), pa.array([of[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary())],
             names=names,
         )
 
@@ -243,22 +325,22 @@ def _index(docs: DataFrame, level, buckets: int, words: int, percent: int) -> Da
                     grams, cls, held = [], [], 0
         yield from rows(grams, cls)
 
-    return docs.select("text").mapInArrow(shared.tidy(run), "bucket int, gram long, cls long, grams binary, classes binary")
+    return docs.select("text").mapInArrow(shared.tidy(run), "bucket int, common boolean, grams binary, classes binary")
 
 
-def _postings(packed: DataFrame, any_heavy: bool) -> DataFrame:
-    """(gram, cls) of the indexed members that several classes hold."""
+def _postings(packed: DataFrame) -> DataFrame:
+    """(gram, cls) of the indexed members that several classes hold, and of all very common ones."""
 
     def shared_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[bytes, bytes]]] = {}
+        held: dict[tuple[int, bool], list[tuple[bytes, bytes]]] = {}
         for b in batches:
-            for i, g, c in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                held.setdefault(i, []).append((g, c))
+            for i, x, g, c in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+                held.setdefault((i, x), []).append((g, c))
         while held:
-            i, parts = held.popitem()
-            gram = np.frombuffer(b"".join(g for g, _ in parts), np.uint32).astype(np.uint64)
+            (_, common), parts = held.popitem()
+            gram = np.frombuffer(b"".join(g for g, _ in parts), np.uint64)
             cls = np.frombuffer(b"".join(c for _, c in parts), np.int64)
-            keep = np.flatnonzero(shared.repeated(gram << np.uint64(32)))
+            keep = np.arange(len(gram)) if common else np.flatnonzero(shared.repeated(shared.mix(gram)))
             order = keep[np.lexsort((cls[keep], gram[keep]))]
             gram, cls = gram[order], cls[order]
             if not len(gram):
@@ -266,13 +348,13 @@ def _postings(packed: DataFrame, any_heavy: bool) -> DataFrame:
             new = np.ones(len(gram), bool)
             new[1:] = (gram[1:] != gram[:-1]) | (cls[1:] != cls[:-1])
             gram, cls = gram[new], cls[new]
-            _, where, count = np.unique(gram, return_inverse=True, return_counts=True)
-            many = count[where] > 1
-            gram = gram[many] + (np.uint64(i) << np.uint64(32))
-            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(cls[many])], names=["gram", "cls"])
+            if not common:
+                _, where, count = np.unique(gram, return_inverse=True, return_counts=True)
+                many = count[where] > 1
+                gram, cls = gram[many], cls[many]
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(cls)], names=["gram", "cls"])
 
-    light = packed.where("bucket >= 0").select("bucket", "grams", "classes").repartition("bucket").mapInArrow(shared.tidy(shared_members), "gram long, cls long")
-    return light.union(packed.where("bucket < 0").select("gram", "cls").distinct()) if any_heavy else light
+    return packed.repartition("bucket").mapInArrow(shared.tidy(shared_members), "gram long, cls long")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, level, words: int, percent: int) -> DataFrame:
@@ -299,14 +381,15 @@ def _verify(pairs: DataFrame, texts: DataFrame, level, words: int, percent: int)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Each row's doc_id, n_shingles and component_id, and a hash of its text.
+    """Each row's doc_id, n_shingles and component_id, its key (k_id, k_text) and an id of its component.
 
     Similarity is that of the sets of distinct ``words``-word n-grams; a text
     with fewer words has its whole word sequence as its one member; a text
     without words has no member and is its own component. component_id is the
     smallest doc_id that links reach. Null texts count as empty. Rows with a
-    null doc_id stay, with a null component_id unless a text equal to theirs has
-    an id; repeated rows each get their row. Other columns are ignored.
+    null doc_id stay and link like others; their component_id is null only where
+    no row that they reach has an id. Repeated rows each get their row. Other
+    columns are ignored.
     """
     spark = docs.sparkSession
     shared.small_batches(spark)
@@ -314,12 +397,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     level = spark.sparkContext.broadcast(_sketch_levels(docs, words))
     rows = shared.materialize(_classes(docs, level, words, percent), "classes")
     buckets = max(32, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = shared.materialize(_postings(_index(docs, level, buckets, words, percent), bool((level.value >= HEAVY_LEVEL).any())), "postings")
-    known = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("need").alias("need"))
+    found = shared.materialize(_postings(_index(docs, level, buckets, words, percent)), "postings")
+    known = rows.where("cls is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("first"), F.min(F.struct("k_id", "k_text")).alias("place"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("need").alias("need")
+    )
 
     # Sets that share too few of their members below the cut have no partner.
     enough = shared.materialize(
-        found.groupBy("cls").agg(F.count("*").alias("k")).join(known, "cls").where("k + 1 >= need and doc_id is not null").drop("k", "need"), "enough"
+        found.groupBy("cls").agg(F.count("*").alias("k")).join(known, "cls").where("k >= need").select("cls", "place.*", "n", "low"), "enough"
     )
     posts = found.join(enough.select("cls"), "cls")
     held = posts.groupBy("gram").agg(F.min("cls").alias("lo"), F.count("*").alias("m")).where("m > 1")
@@ -328,17 +413,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep, short = [], []
+            keep, sets = [], []
             for i, (want, grams) in enumerate(zip(b.column(0).to_pylist(), text_sets(b.column(1), words), strict=True)):
                 if len(grams) and set_id(grams) == want:
-                    grams = ordered(grams, level.value)
                     keep.append(i)
-                    short.append(_short_hashes(grams).tobytes())
+                    sets.append(ordered(grams, level.value).tobytes())
             part = b.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(short, pa.binary())], names=["cls", "text", "n", "low", "hashes"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sets, pa.binary())], names=["cls", "text", "n", "low", "grams"])
 
     carriers = enough.join(posts.select("cls").distinct(), "cls")
-    texts = docs.join(carriers, "doc_id").select("cls", "text", "n", "low").mapInArrow(shared.tidy(load), "cls long, text string, n long, low long, hashes binary")
+    keyed = docs.select(*shared.row_key(), "text").join(carriers, ["k_id", "k_text"])
+    texts = keyed.select("cls", "text", "n", "low").mapInArrow(shared.tidy(load), "cls long, text string, n long, low long, grams binary")
     texts = shared.materialize(texts, "texts")
     if texts.count() > texts.select("cls").distinct().count():  # rows that repeat a doc_id and text
         texts = shared.materialize(texts.dropDuplicates(["cls"]), "texts")
@@ -362,7 +447,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         for _ in range(2):  # a set that shares too few of them with other components has none; then some members are shared no more
             mixed = rows.groupBy("gram").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("gram")
             rows = shared.materialize(rows.join(mixed, "gram"), "apart")
-            able = rows.groupBy("cls").agg(F.count("*").alias("k")).join(sizes, "cls").where(f"k + 1 >= {_need(percent)}").select("cls")
+            able = rows.groupBy("cls").agg(F.count("*").alias("k")).join(sizes, "cls").where(f"k >= {_need(percent)}").select("cls")
             rows = rows.join(able, "cls")
         held = rows.groupBy("gram").agg(F.count("*").alias("held"))
         return shared.materialize(rows.join(held, "gram").select("gram", "cls", "held", "comp"), "apart")
@@ -370,15 +455,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     apart = still_apart()
     # All that are apart yet: under members that few sets hold, pairs; under
     # common ones, blocks.
-    rest = _few(apart, sizes, percent).union(_possible(apart, texts, percent)).distinct()
-    more = shared.materialize(_verify(rest, texts, level, words, percent), "links")
+    near = _verify(_few(apart, sizes, percent).distinct(), texts, level, words, percent)
+    more = shared.materialize(near.union(_blocks(apart, texts, level, percent)).distinct(), "links")
     comp = graph.components(links.union(more)) if not more.isEmpty() else comp
 
-    group = known.select("cls", F.col("doc_id").alias("first")).join(comp, known.cls == comp.node, "left").select("cls", "first", F.coalesce("comp", "cls").alias("comp"))
+    group = known.select("cls", "first").join(comp, known.cls == comp.node, "left").select("cls", "first", F.coalesce("comp", "cls").alias("comp"))
     low = group.groupBy("comp").agg(F.min("first").alias("component_id"))
-    named = group.join(low, "comp").select("cls", "component_id")
+    named = group.join(low, "comp").select("cls", "component_id", "comp")
     return rows.join(named, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "k_text"
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "k_id", "k_text", "comp"
     )
 
 
@@ -397,94 +482,69 @@ def _few(apart: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     for x in ("u", "v"):
         pairs = pairs.join(common.select(F.col("cls").alias(x), F.col("common").alias(f"{x}m")), x, "left").fillna(0, [f"{x}m"])
     return pairs.where(
-        f"least(un, vn) * 100 >= greatest(un, vn) * {percent} and (k + 1 + least(um, vm) + least(un - ulow, vn - vlow)) * {100 + percent} >= {percent} * (un + vn)"
+        f"least(un, vn) * 100 >= greatest(un, vn) * {percent} and (k + least(um, vm) + least(un - ulow, vn - vlow)) * {100 + percent} >= {percent} * (un + vn)"
     ).select("u", "v")
 
 
-def _possible(apart: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of different components that may have the similarity.
+def _blocks(apart: DataFrame, texts: DataFrame, level, percent: int) -> DataFrame:
+    """Links (u, v) that join different components, under members that many sets hold.
 
     Of two sets, the one with fewer members (ties: the smaller id) shares one of
     its rarest members below the cut with the other: as many of them as it may
-    lack, and one more. Under each member, the sets that have it among these meet
-    all sets that hold it, in blocks of BLOCK by BLOCK sets. What they share is
-    counted on 16-bit hashes of all members, which never tell too little. Only
-    pairs that pass are rows.
+    lack, and one more. Under each member, the sets that have it among these
+    probe all sets that hold it, in blocks.
     """
     order = Window.partitionBy("cls").orderBy("held", "gram")
     need = F.ceil(F.col("n") * (2 * percent) / (100 + percent))
     rows = apart.join(texts.select("cls", "n", "low"), "cls")
-    # Its rarest are first those that no set of another component has. One is
-    # added, as two of a set's members may fall together in the index. A set that
+    # Its rarest are first those that no set of another component has. A set that
     # is indexed beyond the cut meets under all of its members.
     alone = F.greatest(F.col("low") - F.count("*").over(Window.partitionBy("cls")), F.lit(0))
     beyond = F.col("low") < F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    rows = rows.withColumn("short", beyond | (F.row_number().over(order) + alone <= F.col("n") - need + 2))
+    rows = rows.withColumn("short", beyond | (F.row_number().over(order) + alone <= F.col("n") - need + 1))
     # members that lead somewhere: some set has it among its rarest, and the sizes fit
     rows = rows.where(f"held >= {FEW}")
     asked = rows.where("short").groupBy("gram").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
     rows = rows.join(asked, "gram").where(f"n >= n0 and {percent} * n <= 100 * n1").drop("n0", "n1")
-    rows = rows.join(texts.select("cls", "hashes"), "cls")
-    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    columns = ["gram", "cls", "comp", "n", "hashes"]
-    left = rows.where("short").select(*columns, mine.alias("i"), every.alias("j"), F.lit(True).alias("probe"))
-    right = rows.select(*columns, mine.alias("j"), every.alias("i"), F.lit(False).alias("probe")).select(left.columns)
-    dealt = left.union(right).repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
-
-    def meet(group: list[tuple]) -> tuple[list[int], list[int]]:
-        us: list[int] = []
-        vs: list[int] = []
-        probes, held = [r for r in group if r[7]], [r for r in group if not r[7]]
-        if not probes or not held or len({r[2] for r in held} | {r[2] for r in probes}) < 2:
-            return us, vs
-        cls, comp, n = (np.array([r[k] for r in held], np.int64) for k in (1, 2, 3))
-        flat = np.concatenate([_narrow(r[4], r[3]) for r in held])
-        ends = np.cumsum(n)
-        there = np.zeros(1 << 16, bool)
-        for _, c, k, size, hashes, *_ in probes:
-            other = np.flatnonzero((comp != k) & ((n > size) | ((n == size) & (cls > c))) & (100 * size >= percent * n))
-            if not len(other):
-                continue
-            own = _narrow(hashes, size)
-            there[own] = True
-            if len(other) * 4 < len(n):  # few: look at theirs alone
-                part = np.concatenate([flat[ends[i] - n[i] : ends[i]] for i in other.tolist()])
-                stop = np.cumsum(n[other])
-            else:
-                part, stop = flat, ends[other]
-            hit = np.zeros(len(part) + 1, np.int64)
-            np.cumsum(there[part], out=hit[1:])
-            there[own] = False
-            at_most = hit[stop] - hit[stop - n[other]]
-            for v in cls[other[at_most * (100 + percent) >= percent * (size + n[other])]].tolist():
-                us.append(min(c, v))
-                vs.append(max(c, v))
-        return us, vs
+    there = rows.groupBy("gram").agg(F.sum("n").alias("members"), F.count("*").alias("sets"))
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("sets") / BLOCK)).cast("int")
+    rows = rows.join(there.where("sets > 1").select("gram", blocks.alias("blocks")), "gram").join(texts.select("cls", "grams"), "cls")
+    # every probe meets every block of holders; where there is one block, a set is there once
+    mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["gram", "cls", "comp", "grams"]
+    one = rows.where("blocks = 1").select(*columns, F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("short").alias("probe"), F.lit(True).alias("holder"))
+    left = rows.where("blocks > 1 and short").select(*columns, mine.alias("i"), every.alias("j"), F.lit(True).alias("probe"), F.lit(False).alias("holder"))
+    right = rows.where("blocks > 1").select(*columns, mine.alias("j"), every.alias("i"), F.lit(False).alias("probe"), F.lit(True).alias("holder")).select(left.columns)
+    dealt = one.union(left).union(right).repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "cls")
+
+    def meet(group: list[tuple]) -> list[tuple[int, int]]:
+        probes, held = [k for k, r in enumerate(group) if r[6]], [k for k, r in enumerate(group) if r[7]]
+        comp = [r[2] for r in group]
+        if not probes or not held or len(set(comp)) < 2:
+            return []
+        cls = [r[1] for r in group]
+        sets = [np.frombuffer(r[3], np.uint64) for r in group]
+        return [(min(cls[i], cls[j]), max(cls[i], cls[j])) for i, j in tree_links(sets, probes, held, cls, comp, level.value, percent)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
-        for b in batches:
-            us, vs = [], []
+        for b in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
+            links: list[tuple[int, int]] = []
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if group and (row[0], row[5], row[6]) != (group[0][0], group[0][5], group[0][6]):
-                    u, v = meet(group)
-                    us, vs, group = us + u, vs + v, []
+                if group and (row[0], row[4], row[5]) != (group[0][0], group[0][4], group[0][5]):
+                    links += meet(group)
+                    group = []
                 group.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+            yield _pairs(links)
         if group:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in meet(group)], names=["u", "v"])
-
-    return dealt.mapInArrow(shared.tidy(run), "u long, v long").distinct()
-
+            yield _pairs(meet(group))
 
-def _short_hashes(grams: np.ndarray) -> np.ndarray:
-    return shared.mix(grams).astype(np.uint16)
+    return dealt.mapInArrow(shared.tidy(run), "u long, v long")
 
 
-def _narrow(hashes: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(hashes, np.uint16, n)
+def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], names=["u", "v"])
 
 
 def _need(percent: int) -> str:
@@ -502,15 +562,18 @@ def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
 def first_of_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the smallest doc_id.
 
-    Rows that repeat a doc_id and text count as one document; rows with a null
-    doc_id stay unless a group with an id has their text.
+    Rows that repeat a doc_id and text count as one document. Of texts with one
+    id, and of groups without ids, one stays, by a hash of the text; rows with a
+    null doc_id go where their group has an id. Texts without words stay.
     """
     found = near_duplicates(docs, words, percent)
-    stay = found.where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("s_id"), F.col("k_text").alias("s_text")).distinct()
-    keyed = docs.withColumns({"k_id": F.col("doc_id").cast("long"), "k_text": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    kept = keyed.join(stay, F.col("k_id").eqNullSafe(F.col("s_id")) & (F.col("k_text") == F.col("s_text")), "left_semi")
-    return kept.dropDuplicates(["k_id", "k_text"]).select(*[f"`{c}`" for c in docs.columns])
+    place = F.struct(F.col("doc_id").isNull(), "k_id", "k_text")
+    first = found.where("comp is not null").groupBy("comp").agg(F.min(place).alias("p")).select("p.k_id", "p.k_text")
+    stay = first.union(found.where("comp is null").select("k_id", "k_text")).distinct().toDF(*shared.RESERVED)
+    keyed = docs.select("*", *shared.row_key(names=shared.RESERVED))
+    kept = keyed.join(stay, [*shared.RESERVED], "left_semi")
+    return kept.dropDuplicates([*shared.RESERVED]).drop(*shared.RESERVED)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(shared.table(spark, sf_dir, "documents")).drop("k_text")
+    return near_duplicates(shared.table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

@@ -21,8 +21,8 @@ LINES = 3
 _WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 
-def line_windows(raw: np.ndarray, offs: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, number of its first line, hash) of each window; blank lines don't count."""
+def worded_lines(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, start and end without the white space around) of each line that holds a word."""
     starts, ends, _ = shared.word_spans(raw, offs)
     begin = np.unique(np.concatenate([offs[:-1], np.flatnonzero(raw == 10) + 1]))
     begin = begin[begin < len(raw)]
@@ -30,8 +30,13 @@ def line_windows(raw: np.ndarray, offs: np.ndarray, lines: int) -> tuple[np.ndar
     w0, w1 = np.searchsorted(starts, begin), np.searchsorted(starts, stop)
     worded = w1 > w0
     w0, w1, begin = w0[worded], w1[worded], begin[worded]
-    text = np.searchsorted(offs, begin, side="right") - 1
-    line = shared.SpanHash(raw).of(starts[w0], ends[w1 - 1])  # without the white space around
+    return np.searchsorted(offs, begin, side="right") - 1, starts[w0], ends[w1 - 1]
+
+
+def line_windows(raw: np.ndarray, offs: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number of its first line, hash) of each window; blank lines don't count."""
+    text, begin, end = worded_lines(raw, offs)
+    line = shared.SpanHash(raw).of(begin, end)
     keys = shared.window_hashes(line, lines)
     number = np.arange(len(line)) - np.searchsorted(text, text)
     inside = text[: len(keys)] == text[lines - 1 :] if len(keys) else np.zeros(0, bool)
@@ -61,11 +66,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", lines: int = LINES) -> Data
     document stated twice and are cut alike; a null doc_id comes first. Columns
     named n_lines or n_removed are replaced.
     """
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "k_id", "k_text")]
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     docs = docs.select(*[f"`{c}`" for c in names])
     shared.small_batches(docs.sparkSession)
-    keyed = docs.select("*", *shared.row_key(text_col=text))
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, raw, offs in shared.text_chunks(b.column(2)):
@@ -75,27 +78,27 @@ def dedup_lines(docs: DataFrame, text: str = "text", lines: int = LINES) -> Data
                     [b.column(0).take(rows), b.column(1).take(rows), pa.array(number.astype(np.int32)), pa.array(key.view(np.int64))], names=["k_id", "k_text", "w", "h"]
                 )
 
-    windows = keyed.select("k_id", "k_text", F.col(text)).mapInArrow(shared.tidy(cut), "k_id long, k_text long, w int, h long")
+    windows = docs.select(*shared.row_key(text_col=text), F.col(text)).mapInArrow(shared.tidy(cut), "k_id long, k_text long, w int, h long")
     windows = shared.materialize(windows, "windows")
     place = F.struct("k_id", "k_text", "w")
     twice = windows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
     later = windows.join(twice, "h").where(place != F.col("first"))
-    later = later.select("k_id", "k_text", "w").distinct().groupBy("k_id", "k_text").agg(F.array_sort(F.collect_list("w")).alias("k_cut"))
-    joined = keyed.join(later, ["k_id", "k_text"], "left").drop("k_id", "k_text")
+    later = later.select("k_id", "k_text", "w").distinct().groupBy("k_id", "k_text").agg(F.array_sort(F.collect_list("w"))).toDF(*shared.RESERVED, "__siftwell_cut")
+    joined = docs.select("*", *shared.row_key(text_col=text, names=shared.RESERVED)).join(later, [*shared.RESERVED], "left").drop(*shared.RESERVED)
     frame = shared.widened(docs, "n_lines long, n_removed long")
     k = names.index(text)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            count, removed, texts = [], [], []
+            removed, texts = [], []
+            count = [np.bincount(worded_lines(raw, offs)[0], minlength=j - i) for i, j, raw, offs in shared.text_chunks(b.column(k))]
             for t, gone in zip(b.column(k).to_pylist(), b.column(len(names)).to_pylist(), strict=True):
                 new, n = without_lines(t, gone, lines) if gone else (t, 0)
                 texts.append(new)
                 removed.append(n)
-                count.append(sum(1 for x in (t or "").split("\n") if _WORD.search(x)))
             columns = b.columns[: len(names)]
             columns[k] = pa.array(texts, columns[k].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(count, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "n_lines", "n_removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate([np.zeros(0, np.int64), *count])), pa.array(removed, pa.int64())], names=[*names, "n_lines", "n_removed"])
 
     return joined.mapInArrow(shared.tidy(apply), frame)
 
@@ -107,7 +110,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = r"""
 WITH raw AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
 ), lines AS (
   SELECT doc_id, pos, line, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM raw
 ), worded AS (

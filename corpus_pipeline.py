@@ -14,33 +14,40 @@ from siftwell.llm import line_dedup, ngram_join, packing, quality, shared, subst
 
 #: A text with a word in it.
 _WORDED = r"text rlike r'[^\x20\x09-\x0D]'"
+#: A passage that repeats has over 50 words; these have so many bytes at least, in any language with words.
+PASSAGE_WORDS, PASSAGE_BYTES = 51, 200
 
 
-def _same_columns(after: DataFrame, before: DataFrame) -> DataFrame:
-    """The columns of ``before``, with n_chars, if there, as the text now has it."""
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns under names that no operator uses, but for doc_id and text."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"__column{i}") for i, c in enumerate(docs.columns)])
+
+
+def _as_before(after: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, with n_chars, if there, as the text now has it."""
     size = F.length("text").cast("long")
-    return after.select(*[size.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in before.columns])
+    return after.select(*[size.alias(c) if c == "n_chars" else F.col(c if c in ("doc_id", "text") else f"__column{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    return quality.score(docs).where("kept").select(*[f"`{c}`" for c in docs.columns])
+    return _as_before(quality.score(_apart(docs)).where("kept"), docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line passages go, and documents with nothing else."""
-    return _same_columns(line_dedup.dedup_lines(docs).where(_WORDED), docs)
+    return _as_before(line_dedup.dedup_lines(_apart(docs)).where(_WORDED), docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest id stays."""
-    return ngram_join.first_of_groups(docs)
+    return _as_before(ngram_join.first_of_groups(_apart(docs)), docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated 400-byte strings go, and documents with nothing else."""
-    out = substring_dedup.remove_repeats(docs)
-    return _same_columns(out.withColumn("text", substring_dedup.as_text("kept")).where(_WORDED), docs)
+    """Passages of over 50 words that repeat go, and documents with nothing else."""
+    out = substring_dedup.remove_repeats(_apart(docs), size=PASSAGE_BYTES, min_words=PASSAGE_WORDS)
+    return _as_before(out.withColumn("text", substring_dedup.as_text("kept")).where(_WORDED), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

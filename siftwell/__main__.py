@@ -20,9 +20,11 @@ def arguments(argv: list[str] | None = None) -> tuple[RunConfig, str]:
     p.add_argument("--end-date", default=d.end_date, help="last day, YYYY-MM-DD")
     p.add_argument("--output", default=d.output, help="folder of JSON Lines part files")
     p.add_argument("--cache-dir", default="data/bronze", help="Parquet table of fetched pages")
+    p.add_argument("--workers", type=int, default=d.workers, help="tasks that fetch at the same time")
+    p.add_argument("--metrics", default=None, help="folder for counters by source and week")
     p.add_argument("--resume", action="store_true", help="append, leaving out URLs that are in the output")
     a = p.parse_args(argv)
-    return RunConfig(a.start_date, a.end_date, a.output, a.resume), a.cache_dir
+    return RunConfig(a.start_date, a.end_date, a.output, a.resume, metrics=a.metrics, workers=a.workers), a.cache_dir
 
 
 def main() -> None:
@@ -30,7 +32,7 @@ def main() -> None:
     config, bronze = arguments()
     spark = SparkSession.builder.appName("siftwell").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     began = time.time()
-    n = pipeline.run(spark, cached(spark, bronze, HttpFetcher(config.user_agent, config.request_delay)), config)
+    n = pipeline.run(spark, cached(spark, bronze, HttpFetcher(config.user_agent, config.request_delay, workers=config.workers)), config)
     logging.info("%d records in %.0f s", n, time.time() - began)
 
 

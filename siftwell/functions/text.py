@@ -182,10 +182,11 @@ def split_values(c: Column) -> Column:
 
 def distinct_values(values: Column) -> Column:
     """The first of the values that normalise alike, cleaned, in order."""
-    pairs = F.filter(F.transform(values, lambda v: F.struct(normalize(v).alias("k"), clean_space(v).alias("v"))), lambda p: p["k"] != "")
-    none = F.array().cast("array<struct<k:string,v:string>>")
-    kept = F.aggregate(pairs, none, lambda out, p: F.when(F.exists(out, lambda x: x["k"] == p["k"]), out).otherwise(F.concat(out, F.array(p))))
-    return F.transform(kept, lambda p: p["v"])
+    keys = F.transform(values, normalize)
+    first = lambda both: F.transform(
+        F.filter(F.array_distinct(both["k"]), lambda k: k != ""), lambda k: clean_space(F.element_at(both["v"], F.array_position(both["k"], k).cast("int")))
+    )
+    return bound(F.struct(keys.alias("k"), values.alias("v")), first)
 
 
 def content_tokens(c: Column) -> Column:

@@ -73,4 +73,4 @@ def round_robin(df: DataFrame, group: list[str], source: str, priority: Column,
 
 def shuffle_key(key: Column, seed: int) -> Column:
     """A pseudo-random order that doesn't depend on partitions; the key breaks ties."""
-    return F.struct(F.xxhash64(key, F.lit(seed)), key)
+    return F.struct(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"))), key)

@@ -13,9 +13,11 @@ class RunConfig:
     output: str = "data/articles.jsonl"
     resume: bool = False
     seed: int = 42
+    metrics: str | None = None  #: folder for the run's counters
     # of the fetcher
     request_delay: float = 0.2
     user_agent: str = "siftwell/0.1"
+    workers: int = 8  #: tasks that fetch
 
     def __post_init__(self) -> None:
         if date.fromisoformat(self.end_date) < date.fromisoformat(self.start_date):

@@ -24,10 +24,13 @@ def collect_candidates(spark: SparkSession, fetch: Fetch, config: RunConfig, rul
     Ties keep the first by (source priority, title); the order of fetching, which
     decides elsewhere, isn't defined on a cluster.
     """
-    rows = all_candidates(spark, fetch, config.start_date, config.end_date, rules, of)
-    rows = rows.withColumn("seq", F.struct(rules.priority(F.col("source")), F.coalesce("title", F.lit(""))))
-    ranked = F.struct(F.col("published_at"), -F.col("seq.col1"), F.col("seq.col2"))
-    best = rows.groupBy("url").agg(F.max_by(F.struct("source", "published_at", "title", "section"), ranked).alias("row"))
+    return newest(all_candidates(spark, fetch, config.start_date, config.end_date, rules, of), rules)
+
+
+def newest(rows: DataFrame, rules: Rules) -> DataFrame:
+    """The newest candidate of each URL; ties as in ``collect_candidates``, a null moment is oldest."""
+    order = F.struct(F.coalesce(-F.unix_micros("published_at"), F.lit(2**63 - 1)), rules.priority(F.col("source")), F.coalesce("title", F.lit("")), F.coalesce("section", F.lit("")))
+    best = rows.groupBy("url").agg(F.min_by(F.struct("source", "published_at", "title", "section"), order).alias("row"))
     return best.select("row.source", "url", "row.published_at", "row.title", "row.section")
 
 
@@ -66,9 +69,17 @@ def records(enriched: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, fetch: Fetch, config: RunConfig, rules: Rules | None = None, of: list[Publisher] | None = None) -> int:
-    """Writes config.output; the number of records written. Resuming adds only new URLs."""
+    """Writes config.output; the number of records written. Resuming adds only new URLs.
+
+    With config.metrics, counters are written there too: ``sources`` (candidates
+    and their first and last moment by source) and ``weeks`` (read, rejected and
+    kept by week).
+    """
     rules = rules or Rules()
     candidates = collect_candidates(spark, fetch, config, rules, of)
+    if config.metrics:
+        candidates = candidates.persist()
+        r.source_stats(candidates, "source", "published_at").write.mode("overwrite").json(f"{config.metrics}/sources")
     seen = jsonl.seen_urls(spark, config.output) if config.resume else spark.createDataFrame([], "url string")
     selected = select_candidates(candidates, seen, rules).persist()
     try:
@@ -78,8 +89,14 @@ def run(spark: SparkSession, fetch: Fetch, config: RunConfig, rules: Rules | Non
         from pyspark.sql import Observation
 
         seen_rows = Observation("written")
-        out = records(enrich(selected, fetch, config, rules)).observe(seen_rows, written)
-        jsonl.write_records(out, config.output, append=config.resume)
+        enriched = enrich(selected, fetch, config, rules)
+        if config.metrics:
+            enriched = enriched.persist()
+        jsonl.write_records(records(enriched).observe(seen_rows, written), config.output, append=config.resume)
+        if config.metrics:
+            r.week_counters(enriched, "published_at", F.col("reject_reason")).write.mode("overwrite").json(f"{config.metrics}/weeks")
+            enriched.unpersist()
         return seen_rows.get["n"]
     finally:
+        candidates.unpersist()
         selected.unpersist()

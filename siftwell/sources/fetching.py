@@ -2,16 +2,20 @@
 
 ``stored`` joins wanted URLs with a bronze table. ``HttpFetcher`` reads what is
 missing there: URLs are dealt by origin, so one task owns an origin and keeps its
-pace without locks across executors. robots.txt is obeyed on every redirect.
+pace without locks across executors. robots.txt is obeyed on every redirect, and
+read again for pages that are stored.
 Failures become a status, not an exception.
 """
 
 from __future__ import annotations
 
+import hashlib
+import threading
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import urljoin, urlsplit
 from urllib.robotparser import RobotFileParser
@@ -43,31 +47,12 @@ def missing(urls: DataFrame, bronze: DataFrame) -> DataFrame:
     return urls.select("url").distinct().withColumn("url_key", t.url_key(F.col("url"))).join(have, "url_key", "left_anti").select("url")
 
 
-@dataclass(frozen=True)
-class RobotsPolicy:
-    parser: RobotFileParser
-    delay: float
-    concurrency: int
-
-    def allows(self, agent: str, url: str) -> bool:
-        return self.parser.can_fetch(agent, url)
-
-
-def robots_policy(text: str | None, agent: str, delay: float, concurrency: int = 4) -> RobotsPolicy:
-    """The policy that a robots.txt states; None (not found) allows everything.
-
-    A crawl delay goes before a request rate; either allows one request at a time.
-    """
-    parser = RobotFileParser()
-    parser.parse(text.splitlines() if text is not None else ["User-agent: *", "Allow: /"])
-    wait = parser.crawl_delay(agent)
-    wait = parser.crawl_delay("*") if wait is None else wait
-    rate = parser.request_rate(agent) or parser.request_rate("*")
-    if wait is None and rate is not None and rate.requests and rate.seconds:
-        wait = rate.seconds / rate.requests
-    if wait is None:
-        return RobotsPolicy(parser, delay, concurrency)
-    return RobotsPolicy(parser, max(delay, float(wait)), 1)
+def stated_pause(rules: RobotFileParser, agent: str) -> float | None:
+    """Seconds between requests that robots.txt asks for: a crawl delay before a request rate, this agent's before all agents'."""
+    delays = [rules.crawl_delay(x) for x in (agent, "*")]
+    rates = [rules.request_rate(x) for x in (agent, "*")]
+    asked = [float(d) for d in delays if d is not None] + [r.seconds / r.requests for r in rates if r and r.requests and r.seconds]
+    return asked[0] if asked else None
 
 
 class Blocked(Exception):
@@ -81,7 +66,10 @@ class _NoRedirect(urllib.request.HTTPRedirectHandler):
 
 @dataclass
 class HttpFetcher:
-    """A fetch function over HTTP. A task reads an origin's pages one after another."""
+    """A fetch function over HTTP. One task reads an origin's pages, a few at a time, each in its turn.
+
+    An origin that states a pace in robots.txt gets one request at a time.
+    """
 
     agent: str = "siftwell/0.1"
     delay: float = 0.2
@@ -90,74 +78,135 @@ class HttpFetcher:
     redirects: int = 10
     timeout: float = 90.0
     robots_timeout: float = 30.0
+    at_once: int = 4  #: requests that an origin answers at a time
+    workers: int | None = None  #: tasks that fetch; None: as many as the session shuffles to
 
-    def __call__(self, urls: DataFrame) -> DataFrame:
+    def _by_origin(self, df: DataFrame, url: str) -> DataFrame:
         # some origins are much larger than others: each is a unit, as its pace is
-        wanted = urls.select("url").where("url is not null").distinct().withColumn("origin", t.url_origin(F.col("url")))
-        return wanted.repartition("origin").select("url").mapInPandas(self._read_all, SCHEMA)
+        origin = t.url_origin(F.col(url))
+        return df.repartition(self.workers, origin) if self.workers else df.repartition(origin)
+
+    def __call__(self, urls: DataFrame) -> DataFrame:
+        wanted = urls.select("url").where("url is not null").distinct()
+        return self._by_origin(wanted, "url").mapInPandas(self._read_all, SCHEMA)
 
     def _read_all(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         session = _Session(self)
-        for batch in batches:
-            yield pd.DataFrame([session.row(u) for u in batch["url"]], columns=[c.split()[0] for c in SCHEMA.split(", ")])
+        with ThreadPoolExecutor(self.at_once) as pool:
+            for batch in batches:
+                yield pd.DataFrame(list(pool.map(session.row, batch["url"])), columns=[c.split()[0] for c in SCHEMA.split(", ")])
+
+    def permitted(self, pages: DataFrame) -> DataFrame:
+        """Stored pages (SCHEMA), with the status of those whose final URL robots.txt forbids by now."""
+
+        def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            session = _Session(self)
+            for batch in batches:
+                batch["status"] = [session.leave(u) for u in batch["final_url"]]
+                batch.loc[batch["status"] != "ok", "text"] = None
+                yield batch
+
+        return self._by_origin(pages, "final_url").mapInPandas(check, SCHEMA)
+
+
+class _Origin:
+    """An origin's rules, and when its next request may start."""
+
+    def __init__(self, settings: HttpFetcher):
+        self.rules: RobotFileParser | None = None  # none: all is allowed
+        self.known = False
+        self.pause, self.slots = settings.delay, threading.Semaphore(settings.at_once)
+        self.turn, self.loading = threading.Lock(), threading.RLock()
+        self.free_at = 0.0
+
+    def wait(self) -> None:
+        with self.turn:
+            start = max(self.free_at, time.monotonic())
+            self.free_at = start + self.pause
+        time.sleep(max(0.0, start - time.monotonic()))
 
 
 class _Session:
     def __init__(self, settings: HttpFetcher):
         self.settings = settings
         self.opener = urllib.request.build_opener(_NoRedirect)
-        self.policies: dict[str, RobotsPolicy] = {}
-        self.next_at: dict[str, float] = {}
+        self.origins: dict[str, _Origin] = {}
+        self.lock = threading.Lock()
 
-    def row(self, url: str) -> tuple:
-        import hashlib
+    def origin(self, url: str) -> _Origin:
+        with self.lock:
+            return self.origins.setdefault("{0.scheme}://{0.netloc}".format(urlsplit(url)), _Origin(self.settings))
 
+    def row(self, url: str) -> tuple:
         key = hashlib.sha1(url.encode()).hexdigest()
         try:
             text, final = self.read(url)
             return key, url, final, text, "ok"
         except Blocked:
             return key, url, None, None, "blocked"
-        except (OSError, ValueError, urllib.error.URLError) as e:
+        except (OSError, ValueError) as e:
             return key, url, None, None, f"failed: {e}"
 
+    def leave(self, url: str) -> str:
+        """The status that robots.txt gives a URL."""
+        try:
+            self.permit(url)
+            return "ok"
+        except Blocked:
+            return "blocked"
+        except (OSError, ValueError) as e:
+            return f"failed: {e}"
+
     def read(self, url: str) -> tuple[str, str]:
         """Text and final URL; every hop needs leave from its own robots.txt."""
+        status, headers, body, final = self.follow(url, self.settings.timeout, self.permit)
+        if status >= 400:
+            raise OSError(f"HTTP {status}")
+        return body.decode(headers.get_content_charset() or "utf-8", "replace"), final
+
+    def follow(self, url: str, timeout: float, before: Callable[[str], None]):
+        """The answer at the end of a chain of redirects; ``before`` is called with each URL."""
         for _ in range(self.settings.redirects + 1):
-            if not self.policy(url).allows(self.settings.agent, url):
-                raise Blocked(url)
-            status, headers, body = self.request(url, self.settings.timeout)
+            before(url)
+            status, headers, body = self.request(url, timeout)
             if status not in (301, 302, 303, 307, 308) or not headers.get("Location"):
-                if status >= 400:
-                    raise OSError(f"HTTP {status}")
-                return body.decode(headers.get_content_charset() or "utf-8", "replace"), url
+                return status, headers, body, url
             url = urljoin(url, headers["Location"])
         raise OSError("too many redirects")
 
-    def policy(self, url: str) -> RobotsPolicy:
-        origin = "{0.scheme}://{0.netloc}".format(urlsplit(url))
-        if origin not in self.policies:
-            status, _, body = self.request(f"{origin}/robots.txt", self.settings.robots_timeout)
-            if status >= 400 and status != 404:
-                raise OSError(f"robots.txt: HTTP {status}")
-            text = None if status == 404 else body.decode("utf-8", "replace")
-            self.policies[origin] = robots_policy(text, self.settings.agent, self.settings.delay)
-        return self.policies[origin]
+    def permit(self, url: str) -> None:
+        origin = self.origin(url)
+        with origin.loading:
+            if not origin.known:
+                self.load(origin, "{0.scheme}://{0.netloc}/robots.txt".format(urlsplit(url)))
+        if origin.rules is not None and not origin.rules.can_fetch(self.settings.agent, url):
+            raise Blocked(url)
+
+    def load(self, origin: _Origin, url: str) -> None:
+        """robots.txt, wherever it moved to; one that isn't there allows everything, one that can't be read nothing."""
+        status, _, body, _ = self.follow(url, self.settings.robots_timeout, lambda _: None)
+        if status >= 400 and status != 404:
+            raise OSError(f"robots.txt: HTTP {status}")
+        if status != 404:
+            origin.rules = RobotFileParser()
+            origin.rules.parse(body.decode("utf-8", "replace").splitlines())
+            pause = stated_pause(origin.rules, self.settings.agent)
+            if pause is not None:
+                origin.pause, origin.slots = max(self.settings.delay, pause), threading.Semaphore(1)
+        origin.known = True
 
     def request(self, url: str, timeout: float):
         """One request in its origin's turn; passing troubles are tried again."""
-        origin = "{0.scheme}://{0.netloc}".format(urlsplit(url))
+        origin = self.origin(url)
         for attempt in range(self.settings.tries):
-            time.sleep(max(0.0, self.next_at.get(origin, 0.0) - time.monotonic()))
-            try:
-                with self.opener.open(urllib.request.Request(url, headers={"User-Agent": self.settings.agent}), timeout=timeout) as r:
-                    return r.status, r.headers, r.read()
-            except urllib.error.HTTPError as e:
-                if e.code not in (429, 500, 502, 503, 504) or attempt == self.settings.tries - 1:
-                    return e.code, e.headers, e.read()
-            finally:
-                pace = self.policies[origin].delay if origin in self.policies else self.settings.delay
-                self.next_at[origin] = time.monotonic() + pace
+            with origin.slots:
+                origin.wait()
+                try:
+                    with self.opener.open(urllib.request.Request(url, headers={"User-Agent": self.settings.agent}), timeout=timeout) as r:
+                        return r.status, r.headers, r.read()
+                except urllib.error.HTTPError as e:
+                    if e.code not in (429, 500, 502, 503, 504) or attempt == self.settings.tries - 1:
+                        return e.code, e.headers, e.read()
             time.sleep(self.settings.backoff * 2**attempt)
         raise OSError("unreachable")
 
@@ -167,16 +216,27 @@ def store(bronze_path: str, fetched: DataFrame) -> None:
     fetched.where("status = 'ok'").dropDuplicates(["url_key"]).drop("status").write.mode("append").parquet(bronze_path)
 
 
-def cached(spark, bronze_path: str, live: HttpFetcher):
-    """A fetch function that reads the bronze table, and over HTTP only what it lacks, which it then keeps."""
+def cached(spark, bronze_path: str, live: HttpFetcher, slice_urls: int = 10_000):
+    """A fetch function that reads the bronze table, and over HTTP only what it lacks, which it then keeps.
+
+    What is lacking is fetched and stored in slices of about ``slice_urls``, so
+    that a run which ends early has lost one slice at most. Stored pages are
+    returned if robots.txt still allows them.
+    """
     from .jsonl import exists
 
     def fetch(urls: DataFrame) -> DataFrame:
-        if not exists(spark, bronze_path):
-            wanted = urls
-        else:
-            wanted = missing(urls.where("url is not null"), spark.read.parquet(bronze_path))
-        store(bronze_path, live(wanted))
-        return stored(spark.read.parquet(bronze_path))(urls)
+        wanted = urls.where("url is not null").select("url").distinct()
+        if exists(spark, bronze_path):
+            wanted = missing(wanted, spark.read.parquet(bronze_path))
+        wanted = wanted.persist()
+        try:
+            parts = max(1, -(-wanted.count() // slice_urls))
+            for i in range(parts):
+                store(bronze_path, live(wanted.where(F.pmod(F.xxhash64("url"), F.lit(parts)) == i)))
+        finally:
+            wanted.unpersist()
+        pages = stored(spark.read.parquet(bronze_path))(urls)
+        return live.permitted(pages) if hasattr(live, "permitted") else pages
 
     return fetch

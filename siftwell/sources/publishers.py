@@ -1,16 +1,17 @@
 """Publishers: which sitemaps to read, and the rows they give.
 
-A ``Publisher`` is a name, an index URL and a choice of sitemaps; a new one
-needs no more. Texts come from a ``fetch`` function, DataFrame of URLs in,
-DataFrame of (url, text, ...) out, so that all runs offline on a stored table.
+A publisher is a name, an index URL and a rule for each level of sitemaps below
+it; a new one is a line of data. Texts come from a ``fetch`` function, DataFrame
+of URLs in, DataFrame of (url, text, ...) out, so that all runs offline on a
+stored table.
 """
 
 from __future__ import annotations
 
-from abc import ABC, abstractmethod
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -21,75 +22,73 @@ from .sitemaps import sitemap_index, url_set
 Fetch = Callable[[DataFrame], DataFrame]
 
 
-class Publisher(ABC):
-    name: str
-    index_url: str
-
-    @abstractmethod
-    def select(self, index: DataFrame, start: str, end: str, fetch: Fetch) -> DataFrame:
-        """The URLs (column ``url``) of the sitemaps to read for the days from start to end."""
+@dataclass(frozen=True)
+class Dated:
+    """Sitemaps whose address states their month, or their day: groups year, month and perhaps day."""
 
-    def candidates(self, spark: SparkSession, fetch: Fetch, start: str, end: str, rules: Rules) -> DataFrame:
-        """source, url, published_at, title, section of the entries in range that pass the gross filter."""
-        index = sitemap_index(fetch(spark.createDataFrame([(self.index_url,)], "url string")).select("text"))
-        entries = url_set(fetch(self.select(index.where("error is null"), start, end, fetch)).select("text"))
-        entries = entries.where(F.col("error").isNull() & F.col("published_at").isNotNull()).where(date_range(F.col("published_at"), start, end))
-        rows = entries.select(F.lit(self.name).alias("source"), F.col("loc").alias("url"), "published_at", "title", t.section(F.col("loc")).alias("section"))
-        return rows.where(rules.gross_match(F.col("source"), F.col("url")))
+    pattern: str
 
+    def chosen(self, start: str, end: str) -> Column:
+        dated = F.regexp_extract("loc", self.pattern, 0) != ""
+        parts = [F.regexp_extract("loc", self.pattern, i + 1) for i in range(self.pattern.count(r"(\d"))]
+        day = F.try_to_date(F.concat_ws("-", *parts, *[F.lit("01")] * (3 - len(parts))), "yyyy-MM-dd")
+        return dated & (month_overlaps(day, start, end) if len(parts) == 2 else date_range(day, start, end))
 
-def _day(pattern: str) -> F.Column:
-    """The day that three groups of a pattern on ``loc`` state, or null."""
-    part = lambda i: F.expr(f"try_cast(regexp_extract(loc, r'{pattern}', {i}) as int)")
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", part(1), part(2), part(3)), "yyyy-MM-dd")
 
+@dataclass(frozen=True)
+class Changed:
+    """Sitemaps under some addresses that were changed around the days asked for."""
 
-class InfoMoney(Publisher):
-    # fixed values: addresses
-    name = "InfoMoney"
-    index_url = "https://www.infomoney.com.br/sitemap_index.xml"
-    prefixes = (
-        "https://www.infomoney.com.br/post-sitemap",
-        "https://www.infomoney.com.br/fundos-sitemap",
-        "https://www.infomoney.com.br/colunistas-sitemap",
-    )
-    before, after = 45, 3  # days around the range in which a sitemap may have changed
+    prefixes: tuple[str, ...]
+    before: int  #: days
+    after: int
 
-    def select(self, index: DataFrame, start: str, end: str, fetch: Fetch) -> DataFrame:
-        wanted = F.lit(False)
-        for p in self.prefixes:
-            wanted = wanted | F.startswith("loc", F.lit(p))
-        changed = F.to_date("lastmod").between(F.date_sub(F.lit(start).cast("date"), self.before), F.date_add(F.lit(end).cast("date"), self.after))
-        return index.where(wanted & changed).select(F.col("loc").alias("url"))
+    def chosen(self, start: str, end: str) -> Column:
+        under = F.exists(F.array(*map(F.lit, self.prefixes)), lambda p: F.startswith("loc", p))
+        return under & F.to_date("lastmod").between(F.date_sub(F.lit(start).cast("date"), self.before), F.date_add(F.lit(end).cast("date"), self.after))
 
 
-class Exame(Publisher):
-    # fixed values: address and patterns
-    name = "Exame"
-    index_url = "https://exame.com/artigos/sitemap.xml"
-    month = r"/artigos/(\d{4})-(\d{2})/sitemap\.xml$"
-    day = r"/artigos/(\d{4})-(\d{2})/(\d{2})/sitemap\.xml$"
+@dataclass(frozen=True)
+class Publisher:
+    name: str
+    index_url: str
+    levels: tuple[Dated | Changed, ...]  #: of the index, then of the indexes that it leads to
 
     def select(self, index: DataFrame, start: str, end: str, fetch: Fetch) -> DataFrame:
-        first = F.try_to_date(F.concat(F.regexp_extract("loc", self.month, 1), F.lit("-"), F.regexp_extract("loc", self.month, 2), F.lit("-01")), "yyyy-MM-dd")
-        months = index.where(F.col("loc").rlike(self.month)).where(month_overlaps(first, start, end)).select(F.col("loc").alias("url"))
-        days = sitemap_index(fetch(months).select("text")).where("error is null").where(F.col("loc").rlike(self.day))
-        return days.where(_day(self.day).between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(F.col("loc").alias("url"))
+        """The URLs (column ``url``) of the sitemaps to read for the days from start to end."""
+        for rule in self.levels[:-1]:
+            index = self._index(index.where(rule.chosen(start, end)).select(F.col("loc").alias("url")), fetch)
+        return index.where(self.levels[-1].chosen(start, end)).select(F.col("loc").alias("url"))
 
+    @staticmethod
+    def _index(urls: DataFrame, fetch: Fetch) -> DataFrame:
+        return sitemap_index(fetch(urls).select("text")).where("error is null")
 
-class Valor(Publisher):
-    # fixed values: address and pattern
-    name = "Valor Econômico"
-    index_url = "https://valor.globo.com/sitemap/valor/sitemap.xml"
-    day = r"/sitemap/valor/(\d{4})/(\d{2})/(\d{2})_\d+\.xml$"
+    def candidates(self, spark: SparkSession, fetch: Fetch, start: str, end: str, rules: Rules) -> DataFrame:
+        """source, url, published_at, title, section of the entries in range that pass the gross filter."""
+        index = self._index(spark.createDataFrame([(self.index_url,)], "url string"), fetch)
+        entries = url_set(fetch(self.select(index, start, end, fetch)).select("text"))
+        entries = entries.where("error is null and published_at is not null").where(date_range(F.col("published_at"), start, end))
+        rows = entries.select(F.lit(self.name).alias("source"), F.col("loc").alias("url"), "published_at", "title", t.section(F.col("loc")).alias("section"))
+        return rows.where(rules.gross_match(F.col("source"), F.col("url")))
 
-    def select(self, index: DataFrame, start: str, end: str, fetch: Fetch) -> DataFrame:
-        days = index.where(F.col("loc").rlike(self.day))
-        return days.where(_day(self.day).between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(F.col("loc").alias("url"))
+
+# fixed values: names, addresses, patterns and margins
+PUBLISHERS = (
+    Publisher(
+        "InfoMoney", "https://www.infomoney.com.br/sitemap_index.xml",
+        (Changed(tuple(f"https://www.infomoney.com.br/{x}-sitemap" for x in ("post", "fundos", "colunistas")), 45, 3),),
+    ),
+    Publisher("Valor Econômico", "https://valor.globo.com/sitemap/valor/sitemap.xml", (Dated(r"/sitemap/valor/(\d{4})/(\d{2})/(\d{2})_\d+\.xml$"),)),
+    Publisher(
+        "Exame", "https://exame.com/artigos/sitemap.xml",
+        (Dated(r"/artigos/(\d{4})-(\d{2})/sitemap\.xml$"), Dated(r"/artigos/(\d{4})-(\d{2})/(\d{2})/sitemap\.xml$")),
+    ),
+)
 
 
 def publishers() -> list[Publisher]:
-    return [InfoMoney(), Valor(), Exame()]
+    return list(PUBLISHERS)
 
 
 def all_candidates(spark: SparkSession, fetch: Fetch, start: str, end: str, rules: Rules, of: list[Publisher] | None = None) -> DataFrame:

@@ -1,7 +1,8 @@
 """Candidates as a stream: each micro-batch enriches and appends what is new.
 
 A file source and a checkpoint replace the resume flag: files that were read are
-not read again, and URLs that are in the output are left out.
+not read again, URLs that are in the output are left out, and of a batch's rows
+with one URL the newest counts.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def incremental(spark: SparkSession, inbox: str, checkpoint: str, fetch: Callabl
     rules = rules or Rules()
 
     def handle(batch: DataFrame, number: int) -> None:
-        fresh = pipeline.select_candidates(batch.dropDuplicates(["url"]), jsonl.seen_urls(spark, config.output), rules)
+        fresh = pipeline.select_candidates(pipeline.newest(batch, rules), jsonl.seen_urls(spark, config.output), rules)
         out = pipeline.records(pipeline.enrich(fresh, fetch, config, rules))
         jsonl.write_records(out, config.output, append=True)
 

@@ -4,6 +4,7 @@ import http.server
 import json
 import threading
 from datetime import datetime
+from urllib.robotparser import RobotFileParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,20 +103,24 @@ def test_sitemaps_by_date(spark):
     assert [x.url for x in exame.select(months, "2025-04-20", "2025-04-22", fetch).collect()] == ["https://exame.com/artigos/2025-04/20/sitemap.xml"]
 
 
-def test_robots():
-    p = lambda text: fetching.robots_policy(text, "siftwell/0.1", 0.2)
-    assert p(None).allows("siftwell/0.1", "http://h/x") and (p(None).delay, p(None).concurrency) == (0.2, 4)
-    assert (p("User-agent: *\nCrawl-delay: 2").delay, p("User-agent: *\nCrawl-delay: 2").concurrency) == (2.0, 1)
-    assert (p("User-agent: *\nRequest-rate: 1/5").delay, p("User-agent: *\nRequest-rate: 1/5").concurrency) == (5.0, 1)
-    assert not p("User-agent: *\nDisallow: /x").allows("siftwell/0.1", "http://h/x/1")
+def test_stated_pause():
+    def pause(text):
+        rules = RobotFileParser()
+        rules.parse(text.splitlines())
+        return fetching.stated_pause(rules, "siftwell/0.1")
+
+    assert pause("User-agent: *\nDisallow: /x") is None
+    assert pause("User-agent: *\nCrawl-delay: 2\nRequest-rate: 1/5") == 2.0
+    assert pause("User-agent: *\nRequest-rate: 1/5") == 5.0
+    assert pause("User-agent: siftwell\nCrawl-delay: 3\n\nUser-agent: *\nCrawl-delay: 2") == 3.0
 
 
 class _Site(http.server.BaseHTTPRequestHandler):
     def do_GET(self):
-        pages = {"/robots.txt": (200, "User-agent: *\nDisallow: /no"), "/a": (200, "text é"), "/to": (302, "/a"), "/loop": (302, "/loop"), "/tono": (302, "/no/1")}
+        pages = {"/robots.txt": (301, "/moved.txt"), "/moved.txt": (200, "User-agent: *\nDisallow: /no"), "/a": (200, "text é"), "/to": (302, "/a"), "/loop": (302, "/loop"), "/tono": (302, "/no/1")}
         status, body = pages.get(self.path, (404, "none"))
         self.send_response(status)
-        if status == 302:
+        if status in (301, 302):
             self.send_header("Location", body)
         self.send_header("Content-Type", "text/plain; charset=utf-8")
         self.end_headers()
@@ -131,7 +136,10 @@ def test_http_fetcher(spark):
     base = f"http://127.0.0.1:{server.server_port}"
     urls = spark.createDataFrame([(base + p,) for p in ("/a", "/to", "/loop", "/no/1", "/tono", "/missing")], "url string")
     out = {x.url.removeprefix(base): (x.status, x.text, x.final_url) for x in fetching.HttpFetcher(delay=0.0)(urls).collect()}
+    kept = spark.createDataFrame([("k", base + p, base + p, "t", "ok") for p in ("/a", "/no/2")], fetching.SCHEMA)
+    again = {x.url.removeprefix(base): (x.status, x.text) for x in fetching.HttpFetcher(delay=0.0, workers=2).permitted(kept).collect()}
     server.shutdown()
+    assert again == {"/a": ("ok", "t"), "/no/2": ("blocked", None)}
     assert out["/a"] == ("ok", "text é", base + "/a") and out["/to"] == ("ok", "text é", base + "/a")
     assert out["/no/1"][0] == out["/tono"][0] == "blocked"
     assert out["/loop"][0].startswith("failed") and out["/missing"][0].startswith("failed")
@@ -164,9 +172,11 @@ def _web(spark):
 
 
 def test_whole_run_and_resume(spark, tmp_path):
-    config = RunConfig("2025-04-01", "2025-04-30", str(tmp_path / "out"), resume=True)
+    config = RunConfig("2025-04-01", "2025-04-30", str(tmp_path / "out"), resume=True, metrics=str(tmp_path / "metrics"))
     of = publishers()[:1]
     assert pipeline.run(spark, _web(spark), config, of=of) == 1
+    assert [(x.source, x.n) for x in spark.read.json(str(tmp_path / "metrics/sources")).collect()] == [("InfoMoney", 2)]
+    assert [(x.week_key, x["pool"], x.passed) for x in spark.read.json(str(tmp_path / "metrics/weeks")).collect()] == [("2025-W17", 1, 1)]
     assert pipeline.run(spark, _web(spark), config, of=of) == 0
     lines = [json.loads(x) for f in (tmp_path / "out").glob("part-*") for x in f.read_text().splitlines()]
     assert len(lines) == 1
@@ -185,6 +195,13 @@ def test_in_turns(spark):
     assert [x.source[0] for x in pipeline.in_turns(rows, RULES, 42).collect()] == ["I", "E", "I"]
 
 
+def test_newest_candidate(spark):
+    """The newest stays; of equally new ones the first by source priority, then by title."""
+    rows = [("Exame", "u", 2, "A"), ("InfoMoney", "u", 3, "Zulu"), ("InfoMoney", "u", 3, "Alpha"), ("Exame", "u", 3, "0"), ("Exame", "w", None, None), ("Exame", "w", 1, "x")]
+    df = spark.createDataFrame([(a, b, c and datetime(2025, 4, c), d, None) for a, b, c, d in rows], "source string, url string, published_at timestamp, title string, section string")
+    assert sorted((x.url, x.source, x.title) for x in pipeline.newest(df, RULES).collect()) == [("u", "InfoMoney", "Alpha"), ("w", "Exame", "x")]
+
+
 def test_stream_appends_what_is_new(spark, tmp_path):
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
     config = RunConfig("2025-04-01", "2025-04-30", out)
@@ -199,8 +216,8 @@ def test_stream_appends_what_is_new(spark, tmp_path):
 def test_arguments():
     from siftwell.__main__ import arguments
 
-    config, bronze = arguments(["--start-date", "2025-01-01", "--end-date", "2025-01-31", "--resume", "--cache-dir", "b"])
-    assert (config.start_date, config.end_date, config.resume, bronze) == ("2025-01-01", "2025-01-31", True, "b")
+    config, bronze = arguments(["--start-date", "2025-01-01", "--end-date", "2025-01-31", "--resume", "--cache-dir", "b", "--workers", "3"])
+    assert (config.start_date, config.end_date, config.resume, config.workers, bronze) == ("2025-01-01", "2025-01-31", True, 3, "b")
     with pytest.raises(ValueError):
         arguments(["--start-date", "2025-02-01", "--end-date", "2025-01-31"])
 

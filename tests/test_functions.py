@@ -83,7 +83,7 @@ def test_iso_timestamp(spark):
 
 def test_dates(spark):
     cases = {
-        "2025-04-21": datetime(2025, 4, 21), "2025-04-21T07:30:00-03:00": datetime(2025, 4, 21, 10, 30), "Mon, 21 Apr 2025 10:00:00 GMT": datetime(2025, 4, 21, 10),
+        "2025-04-21": datetime(2025, 4, 21), "2025-04-21T07:30:00-03:00": datetime(2025, 4, 21, 10, 30), "Mon, 21 Apr 2025 10:00:00 GMT": datetime(2025, 4, 21, 10), "1 Dec 2025 10:05:06.25 -0330": datetime(2025, 12, 1, 13, 35, 6, 250000), "Tue, 31 Feb 2025 10:00 UTC": None,
         "05/04/2024": datetime(2024, 5, 4), "nonsense": None, "": None, "2025-13-40": None, "99999999999999999999": None,
     }
     rows = spark.createDataFrame([(k,) for k in [*cases, None]], "v string").select("v", parse_datetime(F.col("v")).cast("timestamp_ntz").alias("r")).collect()

@@ -234,10 +234,31 @@ def html_title(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "pages").select("page_id", page_metadata(F.col("html")).getField("title").alias("title"))
 
 
-@query("SELECT page_id, CAST(NULL AS VARCHAR) AS description, CAST(NULL AS TIMESTAMP) AS published_at, 0 AS n_tags FROM pages")
+def _stated_pages(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id and a page about each document that states its metadata in one of four ways, or not at all."""
+    docs = _table(spark, d, "documents").select("doc_id", "lang", "source", F.timestamp_seconds(F.col("doc_id") * 61 + 1_704_067_200).alias("at"))
+    stamp, about = F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.concat(F.lit("About "), F.col("source"), F.lit(" &amp; the rest, no "), F.col("doc_id"))
+    meta = lambda key, name, value: F.concat(F.lit(f'<meta {key}="{name}" content="'), value, F.lit('">'))
+    tags = meta("name", "keywords", F.concat(F.col("lang"), F.lit("; "), F.col("source"), F.lit(" , "), F.upper("lang"), F.lit("|")))
+    ways = [
+        (meta("name", "description", about), meta("property", "article:published_time", stamp), tags),
+        (F.concat(F.lit("<h2>"), about, F.lit("</h2>")), F.concat(F.lit('<time datetime="'), stamp, F.lit('">x</time>')), F.concat(F.lit('<a rel="tag">'), F.col("source"), F.lit("</a><a rel='tag x'>no</a>"))),
+        (F.concat(meta("property", "og:description", F.lit("too short")), F.lit("<p class='x subtitle'>"), about, F.lit("</p>")), F.concat(F.lit('<script type="application/ld+json">{"datePublished": "'), stamp, F.lit('"}</script>')), F.concat(F.lit("<a href='/tag/"), F.col("lang"), F.lit("'> "), F.col("lang"), F.lit(" </a>"), tags)),
+        (meta("property", "og:description", about), F.concat(meta("name", "pubdate", F.lit("bad")), meta("property", "og:updated_time", stamp)), F.lit("")),
+        (F.lit("<h2>short</h2>"), F.lit("<time>no</time>"), F.lit("<a href='/x'>no</a>")),
+    ]
+    page = F.element_at(F.array(*[F.concat(F.lit("<html><head>"), *w, F.lit("<p>text")) for w in ways]), (F.col("doc_id") % 5 + 1).cast("int"))
+    return docs.select("doc_id", page.alias("html"))
+
+
+@query(
+    """SELECT doc_id, CASE WHEN doc_id % 5 < 4 THEN 'About ' || source || ' & the rest, no ' || doc_id END AS description,
+    CASE WHEN doc_id % 5 < 4 THEN TIMESTAMP '2024-01-01' + to_seconds(doc_id * 61) END AS published_at,
+    CASE doc_id % 5 WHEN 0 THEN lang || '|' || source WHEN 1 THEN source WHEN 2 THEN lang || '|' || source ELSE '' END AS tags FROM documents"""
+)
 def html_metadata(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "pages").select("page_id", page_metadata(F.col("html")).alias("m"))
-    return rows.select("page_id", "m.description", F.col("m.published_at").cast("timestamp_ntz").alias("published_at"), F.size("m.tags").alias("n_tags"))
+    rows = _stated_pages(spark, d).select("doc_id", page_metadata(F.col("html")).alias("m"))
+    return rows.select("doc_id", "m.description", F.col("m.published_at").cast("timestamp_ntz").alias("published_at"), F.array_join("m.tags", "|").alias("tags"))
 
 
 _S_TITLE = "list_extract(string_split(text, chr(10)), 1)"
@@ -355,11 +376,25 @@ def round_robin(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "lang", "source", F.col("turn").cast("long").alias("turn"), "source_priority")
 
 
-@query("SELECT lang, source, count(*) AS n, max(turn) AS last_turn FROM (SELECT lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS turn FROM documents) GROUP BY 1, 2")
-def seeded_shuffle(spark: SparkSession, d: str) -> DataFrame:
+_TURNS = """SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY md5('42:' || doc_id), doc_id) AS turn,
+    CASE source WHEN 'src3' THEN 0 WHEN 'src1' THEN 1 WHEN 'src2' THEN 2 ELSE 99 END AS source_priority FROM documents"""
+
+
+def _turns(spark: SparkSession, d: str) -> DataFrame:
     docs = _table(spark, d, "documents").select("doc_id", "lang", "source")
-    out = r.round_robin(docs, ["lang"], "source", RULES.priority(F.col("source")), r.shuffle_key(F.col("doc_id"), 42))
-    return out.groupBy("lang", "source").agg(F.count("*").alias("n"), F.max("turn").cast("long").alias("last_turn"))
+    return r.round_robin(docs, ["lang"], "source", RULES.priority(F.col("source")), r.shuffle_key(F.col("doc_id"), 42)).withColumn("turn", F.col("turn").cast("long"))
+
+
+@query(_TURNS)
+def seeded_shuffle(spark: SparkSession, d: str) -> DataFrame:
+    return _turns(spark, d)
+
+
+@query(f"SELECT lang, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY turn, source_priority, source) AS ids FROM ({_TURNS}) GROUP BY lang")
+def ordered_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Each group's rows in their turns, as one text."""
+    rows = _turns(spark, d).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("turn", "source_priority", "source", F.col("doc_id").cast("string").alias("id")))).alias("x"))
+    return rows.select("lang", F.array_join(F.col("x.id"), ",").alias("ids"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-02-01' AND DATE '1996-03-15'")
@@ -373,15 +408,15 @@ def month_prune(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "orders").where(r.month_overlaps(first, "1996-02-10", "1996-03-15")).select("o_orderkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL)")
 def anti_seen(spark: SparkSession, d: str) -> DataFrame:
-    seen = _table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    seen = _table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
     return r.without_seen(_table(spark, d, "customer").select("c_custkey"), seen, "c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
 def semi_seen(spark: SparkSession, d: str) -> DataFrame:
-    seen = _table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    seen = _table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
     return r.only_seen(_table(spark, d, "customer").select("c_custkey"), seen, "c_custkey")
 
 
@@ -401,6 +436,154 @@ def sha1_key(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "pages").select("page_id", t.url_key(F.col("url")).alias("url_key"))
 
 
+# --- sources: sitemaps and pages made of the tables, read as from the web -----------------------
+
+
+def _joined(rows: DataFrame, key: list, head: str, entry, tail: str) -> DataFrame:
+    """One text for each key: the entries in order, between head and tail."""
+    return rows.groupBy(*key).agg(F.concat(F.lit(head), F.array_join(F.array_sort(F.collect_list(entry)), ""), F.lit(tail)).alias("text"))
+
+
+_INDEX_XML = ('<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">', "</sitemapindex>")
+_URLS_XML = ('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:news="http://www.google.com/schemas/sitemap-news/0.9">', "</urlset>")
+
+
+def _entry(tag: str, loc, *more):
+    return F.concat(F.lit(f"<{tag}><loc> "), loc, F.lit(" </loc>"), *more, F.lit(f"</{tag}>"))
+
+
+def _changed(stamp):
+    return F.concat(F.lit("<lastmod>"), stamp, F.lit("</lastmod>"))
+
+
+def _news(stamp, title=None):
+    parts = [F.lit("<news:news><news:publication_date>"), stamp, F.lit("</news:publication_date>")]
+    return F.concat(*parts, *([F.lit("<news:title>"), title, F.lit("</news:title>")] if title is not None else []), F.lit("</news:news>"))
+
+
+@query(
+    """SELECT event_type, 'https://x.example/' || event_id AS loc, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN date_trunc('day', ts) ELSE ts END AS lastmod
+    FROM events WHERE event_id % 5 <> 0"""
+)
+def sitemap_index(spark: SparkSession, d: str) -> DataFrame:
+    from .sources import sitemaps
+
+    k, ts = F.col("event_id"), F.col("ts")
+    loc = F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("https://x.example/"), k.cast("string")))
+    stamp = F.when(k % 3 == 0, "").when(k % 3 == 1, _changed(F.date_format(ts, "yyyy-MM-dd"))).otherwise(_changed(t.iso_timestamp(ts)))
+    rows = _joined(_events(spark, d), ["event_type"], _INDEX_XML[0], _entry("sitemap", loc, stamp), _INDEX_XML[1])
+    return sitemaps.sitemap_index(rows).select("event_type", "loc", F.col("lastmod").cast("timestamp_ntz").alias("lastmod"))
+
+
+@query(
+    """SELECT event_type, 'https://x.example/' || event_id AS loc, CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN ts WHEN 2 THEN NULL ELSE date_trunc('day', ts) END AS published_at,
+    CASE WHEN event_id % 4 = 1 THEN 'Event & ' || event_id END AS title FROM events"""
+)
+def url_set(spark: SparkSession, d: str) -> DataFrame:
+    from .sources import sitemaps
+
+    k, stamp, day = F.col("event_id"), t.iso_timestamp(F.col("ts")), F.date_format("ts", "yyyy-MM-dd")
+    title = F.concat(F.lit("Event &amp; "), k.cast("string"))
+    more = F.when(k % 4 == 0, _news(stamp)).when(k % 4 == 1, F.concat(_changed(F.lit("2001-01-01")), _news(stamp, title))).when(k % 4 == 2, F.concat(_changed(day), _news(F.lit("unreadable")))).otherwise(_changed(day))
+    rows = _joined(_events(spark, d), ["event_type"], _URLS_XML[0], _entry("url", F.concat(F.lit("https://x.example/"), k.cast("string")), more), _URLS_XML[1])
+    return sitemaps.url_set(rows).select("event_type", "loc", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "title")
+
+
+_RANGE = ("2024-01-05", "2024-01-12")
+_STAND = """SELECT event_id, ts, CASE event_id % 3 WHEN 0 THEN 'InfoMoney' WHEN 1 THEN 'Valor Econômico' ELSE 'Exame' END AS source,
+    CASE event_id % 3 WHEN 0 THEN 'https://www.infomoney.com.br/mercados/' WHEN 1 THEN 'https://valor.globo.com/financas/' ELSE 'https://exame.com/invest/' END
+      || CASE WHEN event_id % 5 = 0 THEN 'receita-de-bolo-' ELSE 'ibovespa-fecha-em-alta-' END || event_id || '/' AS url,
+    CASE event_id % 3 WHEN 0 THEN 'mercados' WHEN 1 THEN 'financas' ELSE 'invest' END AS section
+    FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'"""
+
+
+def _newsstand(spark: SparkSession, d: str):
+    """A fetch function over the sitemaps and pages of three publishers, one article for each event; each is listed twice, the older time under another title."""
+    from .sources.fetching import stored
+    from .sources.publishers import PUBLISHERS
+
+    k, day = F.col("event_id"), F.date_format("ts", "yyyy-MM-dd")
+    info, valor, exame = PUBLISHERS
+    pick = lambda *x: F.element_at(F.array(*[F.lit(v) if isinstance(v, str) else v for v in x]), (k % 3 + 1).cast("int"))
+    slug = F.when(k % 5 == 0, "receita-de-bolo-").otherwise("ibovespa-fecha-em-alta-")
+    rows = _events(spark, d).select(
+        "ts", k, day.alias("day"),
+        F.concat(pick("https://www.infomoney.com.br/mercados/", "https://valor.globo.com/financas/", "https://exame.com/invest/"), slug, k.cast("string"), F.lit("/")).alias("url"),
+        pick(F.concat(F.lit("https://www.infomoney.com.br/post-sitemap"), day, F.lit(".xml")), F.concat(F.lit("https://valor.globo.com/sitemap/valor/"), F.date_format("ts", "yyyy/MM/dd"), F.lit("_1.xml")), F.concat(F.lit("https://exame.com/artigos/"), F.date_format("ts", "yyyy-MM/dd"), F.lit("/sitemap.xml"))).alias("map"),
+        pick(info.index_url, valor.index_url, F.concat(F.lit("https://exame.com/artigos/"), F.date_format("ts", "yyyy-MM"), F.lit("/sitemap.xml"))).alias("index"),
+    )
+    title = F.concat(F.when(k % 5 == 0, "Receita ").otherwise("Ibovespa "), k.cast("string"))
+    entry = F.concat(_entry("url", F.col("url"), _news(t.iso_timestamp(F.col("ts")), title)), _entry("url", F.col("url"), _news(t.iso_timestamp(F.col("ts") - F.expr("interval 1 second")), F.lit("old"))))
+    maps = _joined(rows, ["map"], _URLS_XML[0], entry, _URLS_XML[1]).withColumnRenamed("map", "url")
+    below = rows.select("index", "map", "day").distinct()
+    indexes = _joined(below, ["index"], _INDEX_XML[0], _entry("sitemap", F.col("map"), _changed(F.col("day"))), _INDEX_XML[1]).withColumnRenamed("index", "url")
+    months = _joined(below.where(F.contains("index", F.lit("exame.com"))).select("index").distinct(), [], _INDEX_XML[0], _entry("sitemap", F.col("index")), _INDEX_XML[1]).select(F.lit(exame.index_url).alias("url"), "text")
+    page = F.concat(F.lit("<title>Ibovespa fecha em alta com Selic "), k.cast("string"), F.lit("</title><meta name='description' content='O Ibovespa subiu com a Selic no Brasil.'><meta name='keywords' content='Bolsa; Selic;bolsa'>"))
+    return stored(r.union_sources([maps, indexes, months, rows.select("url", page.alias("text"))]))
+
+
+def _run_config():
+    from .plans.config import RunConfig
+
+    return RunConfig(*_RANGE)
+
+
+@query(f"SELECT source, url, ts AS published_at, CASE WHEN event_id % 5 = 0 THEN 'Receita ' ELSE 'Ibovespa ' END || event_id AS title, section FROM ({_STAND})")
+def publisher_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Sitemaps of three publishers to the newest candidate of each URL."""
+    from .plans import pipeline
+
+    rows = pipeline.collect_candidates(spark, _newsstand(spark, d), _run_config(), Rules())
+    return rows.withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
+
+
+@query(
+    f"""SELECT source, url, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 <> 0 THEN '.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0') ELSE '' END || '+00:00' AS published_at,
+    {_WEEK.format('ts')} AS week_key, CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week_start, CAST(CAST(date_trunc('week', ts) AS DATE) + 6 AS VARCHAR) AS week_end, 'Bolsa|Selic' AS tags,
+    'Ibovespa fecha em alta com Selic ' || event_id AS title, 'O Ibovespa subiu com a Selic no Brasil.' AS description,
+    'Titulo: Ibovespa fecha em alta com Selic ' || event_id || chr(10) || 'Resumo: O Ibovespa subiu com a Selic no Brasil.' AS sentiment_text FROM ({_STAND}) WHERE event_id % 5 <> 0"""
+)
+def whole_run(spark: SparkSession, d: str) -> DataFrame:
+    """From sitemaps to records: collected, selected, read, judged."""
+    from .plans import pipeline
+
+    fetch, config, rules = _newsstand(spark, d), _run_config(), Rules()
+    candidates = pipeline.collect_candidates(spark, fetch, config, rules)
+    selected = pipeline.select_candidates(candidates, spark.createDataFrame([], "url string"), rules)
+    return pipeline.records(pipeline.enrich(selected, fetch, config, rules)).withColumn("tags", F.array_join("tags", "|"))
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder that all executors share; in a session without one (tests), a local one."""
+    import tempfile
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="siftwell-")
+    return f"{shared}/records-{uuid.uuid4().hex}"
+
+
+@query("SELECT 'https://x.example/' || doc_id AS url, text AS title, lang AS source, CASE WHEN doc_id % 2 = 0 THEN source END AS description, doc_id % 3 = 0 AS seen FROM documents")
+def json_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Records written as JSON Lines in two runs, read back, with whether the first run had the URL."""
+    from .sources import jsonl
+
+    url = F.concat(F.lit("https://x.example/"), F.col("doc_id").cast("string"))
+    docs = _table(spark, d, "documents").select("doc_id", F.col("lang").alias("source"), url.alias("url"), F.col("text").alias("title"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("description"), F.array("source").alias("tags"))
+    docs = docs.withColumns({c: F.lit("x") for c in ("published_at", "week_key", "week_start", "week_end", "sentiment_text")})
+    path = _folder(spark)
+    jsonl.write_records(docs.where("doc_id % 3 = 0"), path, append=False)
+    fresh = r.without_seen(docs, jsonl.seen_urls(spark, path))
+    other = _folder(spark)
+    jsonl.write_records(fresh, other, append=True)
+    lines = "source string, url string, title string, description string"
+    old, new = (spark.read.schema(lines).json(x).withColumn("seen", F.lit(y)) for x, y in ((path, True), (other, False)))
+    return old.unionByName(new).select("url", "title", "source", "description", "seen")
+
+
 # --- the flagship: score pages, keep the relevant ones, count by week and section -----------
 
 _FLAG = f"""SELECT {_WEEK.format('ts')} AS week_key, section, count(*) AS n, sum(score) AS score FROM (

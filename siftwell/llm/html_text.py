@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import shared
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_TAG_ENDS = re.compile(r"[>\"']")
+_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？¿¡…]")
 
 # fixed values: elements of HTML by what they hold
@@ -50,6 +51,8 @@ _MARKS = {
 }
 _SMOOTH = np.array([0.25, 0.5, 0.25])
 _SHARE = 0.5  #: of the spread of the fused ratios
+#: Elements that hold a part of an article.
+_HOLDERS = {"div", "section", "ul", "ol", "dl", "table", "details", "figure", "span"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _HOLD_ITEMS = {"table", "ul", "ol", "dl"}
 _ITEMS = _HOLD_ITEMS | {"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "li", "dt", "dd"}
@@ -59,10 +62,21 @@ _ITEMS = _HOLD_ITEMS | {"thead", "tbody", "tfoot", "tr", "td", "th", "caption",
 _ABOUT = {"no", "not", "without", "has", "have", "with"}
 
 
-def _marked(attributes: str, inside: bool) -> bool:
-    """Whether a name in class, id or role has a word of _MARKS; ``inside`` an article, whether it is or starts with one, headers aside."""
+def _marked(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether class or role holds a word of _MARKS, or id is one.
+
+    ``inside`` an article, only elements that hold others count, and only a name
+    that is such a word or starts with one, headers aside.
+    """
+    if inside and tag not in _HOLDERS:
+        return False
     for m in _NAMED.finditer(attributes):
-        for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", m[1] or m[2] or m[3] or "").lower().split():
+        value = m[2] or m[3] or m[4] or ""
+        if m[1].lower() == "id":
+            if value.lower() in _MARKS and not (inside and value.lower() == "header"):
+                return True
+            continue
+        for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
             words = [w for w in re.split(r"[^a-z]+", name) if w]
             if words and words[0] not in _ABOUT and _MARKS.intersection(words[:1] if inside else words) and not (inside and words[0] == "header"):
                 return True
@@ -73,10 +87,93 @@ def _unseen(attributes: str) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)|aria-hidden\s*=\s*.?true|display\s*:\s*none", attributes))
 
 
-def blocks(page: str, marks: bool = True) -> list[tuple[tuple[str, ...], str, int]]:
-    """(path of block tags, text, characters of it in links) in page order. ``marks``: whether marked elements are left out."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, bool]] = []  # element, and whether it or one around it is left out
+class Paths:
+    """The tag paths of a page, each its parent and one more tag, in the order in which they came up.
+
+    All that a path takes from its ancestors is set down with it, so a deep path costs no more than a short one.
+    """
+
+    def __init__(self) -> None:
+        self.known: dict[tuple[int, str], int] = {}
+        self.parent, self.tag = [-1], [""]
+        self.article = [-1]  #: the innermost article or main element, itself included
+        self.items = [-1]  #: the list or table whose items end the path
+        self.unit = [0]  #: the path that a block's ratio is taken under
+
+    def below(self, parent: int, tag: str) -> int:
+        at = self.known.get((parent, tag))
+        if at is None:
+            at = self.known[parent, tag] = len(self.tag)
+            self.parent.append(parent)
+            self.tag.append(tag)
+            self.article.append(at if tag in _CONTENT else self.article[parent])
+            held = self.items[parent] if tag in _ITEMS else -1
+            self.items.append(at if held < 0 and tag in _HOLD_ITEMS else held)
+            self.unit.append(self.items[at] if self.items[at] >= 0 else at)
+        return at
+
+
+class _Open:
+    """The open elements, with what is asked about them kept by name."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.paths: list[int] = [0]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of block elements
+        self.left_out = -1  # place of the outermost element that is left out
+
+    def last(self, tag: str) -> int:
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def push(self, tag: str, path: int, left_out: bool) -> None:
+        at = len(self.names)
+        self.names.append(tag)
+        self.paths.append(path)
+        self.places.setdefault(tag, []).append(at)
+        if tag in _BLOCK:
+            self.blocks.append(at)
+        if left_out and self.left_out < 0:
+            self.left_out = at
+
+    def pop(self) -> None:
+        tag = self.names.pop()
+        self.paths.pop()
+        at = len(self.names)
+        if tag:
+            self.places[tag].pop()
+        if self.blocks and self.blocks[-1] == at:
+            self.blocks.pop()
+        if self.left_out == at:
+            self.left_out = -1
+
+    def block_above(self, at: int) -> bool:
+        return bool(self.blocks) and self.blocks[-1] >= at
+
+
+def _tag_end(page: str, at: int, aware: bool) -> int:
+    """Where the tag that starts before ``at`` ends, past its ``>``; -1 if nowhere. ``aware``: not in a quoted value."""
+    if not aware:
+        return page.find(">", at) + 1 or -1
+    while m := _TAG_ENDS.search(page, at):
+        if m[0] == ">":
+            return m.end()
+        close = page.find(m[0], m.end())
+        if close < 0:
+            return -1
+        at = close + 1
+    return -1
+
+
+def blocks(page: str, marks: bool = True) -> tuple[list[tuple[int, str, int]], Paths]:
+    """(path, text, characters of it in links) in page order, and the paths. ``marks``: whether marked elements are left out.
+
+    Time is in proportion to the page, however deep or broken it is. After a
+    quoted value that never ends, any ``>`` ends a tag.
+    """
+    out: list[tuple[int, str, int]] = []
+    paths, stack = Paths(), _Open()
     parts: list[str] = []
     links = 0
 
@@ -85,41 +182,62 @@ def blocks(page: str, marks: bool = True) -> list[tuple[tuple[str, ...], str, in
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((tuple(t for t, _ in stack if t in _BLOCK), text, links))
+                out.append((stack.paths[-1], text, links))
             parts.clear()
         links = 0
 
     def add(text: str) -> None:
         nonlocal links
-        if text and not (stack and stack[-1][1]):
+        if text and stack.left_out < 0:
             text = html.unescape(text)
             parts.append(text)
-            if any(t == "a" for t, _ in stack):
+            if stack.last("a") >= 0:
                 links += len(" ".join(text.split()))
 
     def pop_to(i: int) -> None:
-        if any(t in _BLOCK for t, _ in stack[i:]):
+        if stack.block_above(i):
             end_block()
-        del stack[i:]
+        while len(stack.names) > i:
+            stack.pop()
 
-    at, n = 0, len(page)
+    def in_article() -> bool:
+        return stack.last("article") >= 0 or stack.last("main") >= 0
+
+    at, start, n, aware = 0, 0, len(page), True  # text since ``start`` is not added yet
     while at < n:
-        m = _MARKUP.search(page, at)
-        if not m:
-            tail = page[at:]
-            add(tail if not re.match(r"\s*</?[a-zA-Z][^>]*\Z", tail) else "")
+        at = page.find("<", at)
+        if at < 0:
             break
-        add(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        if page.startswith("<!--", at):
+            add(page[start:at])
+            start = at = page.find("-->", at) + 3 if page.find("-->", at) >= 0 else n
+            continue
+        if page.startswith(("<!", "<?"), at):
+            add(page[start:at])
+            start = at = page.find(">", at) + 1 or n
+            continue
+        m = _TAG.match(page, at)
+        if not m:
+            at += 1
             continue
-        tag = m[2].lower()
-        if m[1]:
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if found is not None and not (tag not in _BLOCK and any(t in _BLOCK for t, _ in stack[found:])):
+        end = _tag_end(page, m.end(), aware)
+        if end < 0 and aware:
+            aware = False
+            end = _tag_end(page, m.end(), aware)
+        if end < 0:  # no tag ends any more: the last one is cut off
+            add(page[start:at])
+            start = n
+            break
+        add(page[start:at])
+        tag, attributes, closing = m[1].lower(), page[m.end() : end - 1], page[at + 1] == "/"
+        start = at = end
+        if closing:
+            found = stack.last(tag)
+            if found >= 0 and (tag in _BLOCK or not stack.block_above(found)):
                 pop_to(found)
-            elif found is not None:
-                stack[found] = ("", stack[found][1])  # an inline element closed across blocks
+            elif found >= 0:  # an inline element closed across blocks
+                stack.names[found] = ""
+                stack.places[tag].pop()
             elif tag == "p":
                 end_block()
             continue
@@ -129,48 +247,34 @@ def blocks(page: str, marks: bool = True) -> list[tuple[tuple[str, ...], str, in
             elif tag == "hr":
                 end_block()
             continue
-        left_out = bool(stack and stack[-1][1])
-        if tag in _CONTENT and left_out:  # a menu or the like that was never closed
-            pop_to(next(i for i, (_, x) in enumerate(stack) if x))
-            left_out = False
-        if tag in _CLOSES_P and not left_out:
-            p = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if p is not None:
-                pop_to(p)
+        if tag in _CONTENT and stack.left_out >= 0:  # a menu or the like that was never closed
+            pop_to(stack.left_out)
+        left_out = stack.left_out >= 0
+        if tag in _CLOSES_P and not left_out and stack.last("p") >= 0:
+            pop_to(stack.last("p"))
         if tag in _SIBLINGS:
-            same, stop = _SIBLINGS[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in stop:
-                    break
-                if stack[i][0] in same:
-                    pop_to(i)
-                    break
+            same, stop = (max(stack.last(x) for x in names) for names in _SIBLINGS[tag])
+            if same > stop:
+                pop_to(same)
         if tag in _BLOCK:
             end_block()
         if tag in _RAW:  # no markup inside
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else n
+            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            start = at = close.end() if close else n
             continue
-        if m[3].rstrip().endswith("/") and tag not in _BLOCK:
+        if attributes.rstrip().endswith("/") and tag not in _BLOCK:
             continue
-        never = tag in _NEVER and not (tag == "header" and any(t in _CONTENT for t, _ in stack) and not left_out)
-        stack.append((tag, left_out or never or (tag not in _CONTENT | {"html", "body"} and (_unseen(m[3]) or (marks and _marked(m[3], any(t in _CONTENT for t, _ in stack)))))))
+        never = tag in _NEVER and not (tag == "header" and in_article() and not left_out)
+        unwanted = never or (tag not in _CONTENT | {"html", "body"} and (_unseen(attributes) or (marks and _marked(tag, attributes, in_article()))))
+        stack.push(tag, paths.below(stack.paths[-1], tag) if tag in _BLOCK else stack.paths[-1], unwanted)
+    add(page[start:])
     end_block()
-    return out
-
-
-def _unit(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The path that a block's ratio is taken under: its own, or that of the list or table it is an item of."""
-    i = len(path)
-    while i and path[i - 1] in _ITEMS:
-        i -= 1
-    holder = next((j for j in range(i, len(path)) if path[j] in _HOLD_ITEMS), None)
-    return path if holder is None else path[: holder + 1]
+    return out, paths
 
 
-def content_blocks(found: list[tuple[tuple[str, ...], str, int]]) -> list[bool]:
+def content_blocks(found: list[tuple[int, str, int]], paths: Paths) -> list[bool]:
     """Which blocks stay: those of paths whose fused ratio of length and punctuation is high, and their headings."""
-    units = [_unit(p) for p, _, _ in found]
+    units = [paths.unit[p] for p, _, _ in found]
     order = list(dict.fromkeys(units))
     at = {p: i for i, p in enumerate(order)}
     length, marks, count, linked = (np.zeros(len(order)) for _ in range(4))
@@ -183,7 +287,8 @@ def content_blocks(found: list[tuple[tuple[str, ...], str, int]]) -> list[bool]:
         linked[i] += links
         before = unit
     prose = 1 - np.minimum(linked / np.maximum(length, 1), 1)
-    telling = np.where([bool(_CONTENT.intersection(p)) for p in order], 1.0, prose)  # links in an article are its own
+    article = [paths.article[p] for p in order]
+    telling = np.where([x >= 0 for x in article], 1.0, prose)  # links in an article are its own
     ratios = [np.convolve(np.pad(x / count * telling, 1, mode="edge"), _SMOOTH, "valid") for x in (length, marks + 1)]
     fused = np.sqrt(ratios[0] * ratios[1])
     rich = fused >= _SHARE * max(float(fused.std()), float(fused.max()) / 4)
@@ -191,39 +296,48 @@ def content_blocks(found: list[tuple[tuple[str, ...], str, int]]) -> list[bool]:
     if not good.any():
         return [False] * len(found)
     # the element that holds the best path; an article or main element where there is one
-    inside = [p for p in order if _CONTENT.intersection(p)]
+    inside = any(x >= 0 for x in article)
     if inside:
-        holders = {p[: max(i for i, t in enumerate(p) if t in _CONTENT) + 1] for p in inside}
-        total = {h: sum(length[at[p]] * prose[at[p]] for p in order if p[: len(h)] == h) for h in holders}
+        total = dict.fromkeys(sorted({x for x in article if x >= 0}), 0.0)
+        for x in list(total):
+            while (x := paths.article[paths.parent[x]]) >= 0 and x not in total:
+                total[x] = 0.0
+        for i, x in enumerate(article):
+            if x >= 0:
+                total[x] += length[i] * prose[i]
+        for x in sorted(total, reverse=True):  # the inner ones first
+            if (outer := paths.article[paths.parent[x]]) >= 0:
+                total[outer] += total[x]
         most = max(total.values())
-        held = {h for h, x in total.items() if x >= 0.1 * most}
+        held = {x for x, size in total.items() if size >= 0.1 * most}
     else:
         best = order[int(np.argmax(np.where(good, length * prose, -1)))]
-        held = {best[:-1] if best and best[-1] not in ("div", "body", "section") else best}
-    within = [any(p[: len(h)] == h for h in held) for p in order]
-    stays = [ok and (w or not inside) for ok, w in zip(good.tolist(), within, strict=True)]
-    heading = [bool(_HEADINGS.intersection(p[-1:])) for p in order]
-    keep = [stays[at[u]] for u in units]
+        held = {paths.parent[best] if best and paths.tag[best] not in ("div", "body", "section") else best}
+    within = [False] * len(paths.tag)
+    for p in range(len(paths.tag)):  # parents come before what is below them
+        within[p] = p in held or (p > 0 and within[paths.parent[p]])
+    keep = [bool(good[at[u]]) and (within[u] or not inside) for u in units]
+    heading = [paths.tag[u] in _HEADINGS for u in units]
     # from the end: a heading goes with what comes after it; a page of headings alone is its own text
-    after, alone = False, not any(k and not heading[at[u]] for k, u in zip(keep, units, strict=True))
+    after, alone = False, not any(k and not h for k, h in zip(keep, heading, strict=True))
     for j in range(len(keep) - 1, -1, -1):
-        if not heading[at[units[j]]]:
+        if not heading[j]:
             after = keep[j]
         elif not alone:
-            keep[j] = after and (within[at[units[j]]] or keep[j])
+            keep[j] = after and (within[units[j]] or keep[j])
     return keep
 
 
-def _kept(found: list[tuple[tuple[str, ...], str, int]]) -> str:
-    return " ".join(text for (_, text, _), k in zip(found, content_blocks(found), strict=True) if k) if found else ""
+def _kept(found: list[tuple[int, str, int]], paths: Paths) -> str:
+    return " ".join(text for (_, text, _), k in zip(found, content_blocks(found, paths), strict=True) if k) if found else ""
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
-    text = _kept(found)
-    if page and not any(_CONTENT.intersection(p) for p, _, _ in found) and _NAMED.search(page):
+    found, paths = blocks(page or "")
+    text = _kept(found, paths)
+    if page and not any(paths.article[p] >= 0 for p, _, _ in found) and _NAMED.search(page):
         # without an article, a marked element that holds nearly all of the text is the text
-        whole = _kept(blocks(page, False))
+        whole = _kept(*blocks(page, False))
         if len(text) < 0.2 * len(whole):
             return whole
     return text

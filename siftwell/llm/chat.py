@@ -8,13 +8,14 @@ A user's turn is ``<s>[INST] text [/INST]``, an assistant's `` text </s>``, any
 other role's ``[ROLE] role\\ntext [/ROLE]``. In texts and roles a backslash is
 doubled, and where a control string starts, a backslash is put after its first
 character; so none is left, and taking the backslashes out gives the text back.
+A newline in a role is ``\\n``, so that the first newline ends the role.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +42,24 @@ def escape(text: str) -> str:
 
 
 def unescape(text: str) -> str:
-    return _UNESCAPE.sub(lambda m: "\\" if m[1] == "\\" else m[1], text) if "\\" in text else text
+    return _UNESCAPE.sub(lambda m: m[1], text) if "\\" in text else text
 
 
-def _escaped(column: pa.Array) -> pa.Array:
+def escape_role(role: str) -> str:
+    return escape(role).replace("\n", "\\n")
+
+
+def unescape_role(role: str) -> str:
+    return _UNESCAPE.sub(lambda m: "\n" if m[1] == "n" else m[1], role) if "\\" in role else role
+
+
+def _escaped(column: pa.Array, pattern: str = r"\\|" + _ANY, how: Callable[[str], str] = escape) -> pa.Array:
     """The column as large_string with control strings escaped; most texts hold none."""
     column = shared.text_column(column)
-    odd = pc.match_substring_regex(column, r"\\|" + _ANY)
+    odd = pc.match_substring_regex(column, pattern)
     if not pc.any(odd).as_py():
         return column
-    return pc.replace_with_mask(column, odd, pa.array([escape(x) for x in column.filter(odd).to_pylist()], pa.large_string()))
+    return pc.replace_with_mask(column, odd, pa.array([how(x) for x in column.filter(odd).to_pylist()], pa.large_string()))
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,10 +70,10 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, offs[:-1], np.diff(offs)
 
 
-def assemble(role: pa.Array, text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Each turn formatted (large_string), and the bytes of it under the loss: [start, end)."""
+def assemble(role: pa.Array, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All turns formatted, one after another, in one buffer; where each ends; start and length of its bytes under the loss."""
     n = len(text)
-    role, text = _escaped(role), _escaped(text)
+    role, text = _escaped(role, r"\\|\n|" + _ANY, escape_role), _escaped(text)
     user, assistant = (np.array(pc.equal(role, x)) if n else np.zeros(0, bool) for x in ("user", "assistant"))
     kind = np.where(user, 0, np.where(assistant, 1, 2))
     frame = [(b"<s>[INST] ", b" [/INST]"), (b" ", b" </s>"), (b"[ROLE] ", b" [/ROLE]")]
@@ -93,9 +102,7 @@ def assemble(role: pa.Array, text: pa.Array) -> tuple[pa.Array, np.ndarray, np.n
         out[(begin + head + name - 1)[other]] = 10
     body = begin + head + name
     scatter(body, raw, at, size)
-    column = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(ends), pa.py_buffer(out)])
-    loss = np.where(kind == 1, size, 0)
-    return column, (head + name).astype(np.int64), loss
+    return out, ends, body, np.where(kind == 1, size, 0)
 
 
 def format_turns(turns: DataFrame) -> DataFrame:
@@ -113,22 +120,30 @@ def format_turns(turns: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for b in batches:
-            column, body, loss = assemble(b.column(2), b.column(3))
-            conv = b.column(0).to_pylist()
-            size = pc.binary_length(column).to_numpy()
-            texts, rows, i = column.to_pylist(), [], 0
-            while i < len(conv):
-                j, held = i, 0
-                while j < len(conv) and conv[j] == conv[i] and held < PART:
-                    held += int(size[j])
-                    j += 1
-                start = np.cumsum(size[i:j]) - size[i:j] + body[i:j]
-                spans = [{"start": int(s), "end": int(s + n)} for s, n in zip(start, loss[i:j], strict=True) if n]
-                rows.append((conv[i], number, j - i, "".join(texts[i:j]), spans))
-                number += 1
-                i = j
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["conv_id", "part", "n_turns", "formatted", "loss"])
+            out, ends, body, loss = assemble(b.column(2), b.column(3))
+            conv, n = b.column(0), b.num_rows
+            value, there = np.array(conv.fill_null(0)), np.array(conv.is_valid())
+            change = np.flatnonzero((value[1:] != value[:-1]) | (there[1:] != there[:-1])) + 1
+            # a part goes on to the end of its conversation, or to the turn that fills it
+            cut, stops = [0], iter([*change.tolist(), n] if n else [])
+            stop = next(stops, 0)
+            while cut[-1] < n:
+                if cut[-1] == stop:
+                    stop = next(stops)
+                cut.append(min(stop, max(int(np.searchsorted(ends, ends[cut[-1]] + PART)), cut[-1] + 1)))
+            first, parts = np.array(cut[:-1], np.int64), len(cut) - 1
+            # the parts are ranges of the buffer that was assembled, and the loss spans count from a part's start
+            formatted = pa.Array.from_buffers(pa.large_string(), parts, [None, pa.py_buffer(ends[cut].copy()), pa.py_buffer(out)]).cast(pa.string())
+            said = np.flatnonzero(loss > 0)
+            of = np.searchsorted(first, said, side="right") - 1
+            start = body[said] - ends[first][of]
+            spans = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array((start + loss[said]).astype(np.int32))], ["start", "end"])
+            offsets = np.searchsorted(of, np.arange(parts + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [conv.take(pa.array(first)), pa.array(number + np.arange(parts)), pa.array(np.diff(cut).astype(np.int64)), formatted, pa.ListArray.from_arrays(pa.array(offsets), spans)],
+                names=["conv_id", "part", "n_turns", "formatted", "loss"],
+            )
+            number += parts
 
     return ordered.mapInArrow(shared.tidy(run), SCHEMA)
 
@@ -142,7 +157,7 @@ def read_turns(formatted: str) -> Iterator[tuple[str, str]]:
             raise ValueError(f"no turn at {at}")
         at = m.end()
         user, assistant, role, text = m.groups()
-        yield ("user", unescape(user)) if user is not None else ("assistant", unescape(assistant)) if assistant is not None else (unescape(role), unescape(text))
+        yield ("user", unescape(user)) if user is not None else ("assistant", unescape(assistant)) if assistant is not None else (unescape_role(role), unescape(text))
 
 
 def read_back(parts: DataFrame) -> DataFrame:

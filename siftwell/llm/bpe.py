@@ -135,6 +135,20 @@ class PerfectHash:
         return np.where(self.keys[slot] == keys, self.entry[slot], -1)
 
 
+def _same_bytes(raw: np.ndarray, start: np.ndarray, other: np.ndarray, other_start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether spans of two byte strings, each pair of one length, are equal; eight bytes at a time."""
+    words = [np.ndarray(len(x) + 1, "<u8", buffer=np.concatenate([x, np.zeros(9, np.uint8)]).tobytes(), strides=(1,)) for x in (raw, other)]
+    mask = np.array([2 ** (8 * k) - 1 for k in range(9)], np.uint64)
+    same = np.ones(len(start), bool)
+    at, done = np.arange(len(start)), 0
+    while len(at):
+        differ = (words[0][start[at] + done] ^ words[1][other_start[at] + done]) & mask[np.minimum(length[at] - done, 8)]
+        same[at[differ != 0]] = False
+        done += 8
+        at = at[(differ == 0) & (length[at] > done)]
+    return same
+
+
 def _spans_hash(parts: list[bytes]) -> np.ndarray:
     ends = np.cumsum([len(x) for x in parts])
     return shared.SpanHash(np.frombuffer(b"".join(parts), np.uint8)).of(ends - [len(x) for x in parts], ends)
@@ -152,7 +166,10 @@ class Codec:
         entries = list(ranks)
         self.ids = np.array([ranks[x] for x in entries], np.int32)
         self.table = PerfectHash(_spans_hash(entries))
-        self.memo: dict[int, bytes] = {}  # hash of a pre-token -> its ids, 4 bytes each
+        self.bytes = np.frombuffer(b"".join(entries), np.uint8)
+        self.size = np.array([len(x) for x in entries])
+        self.start = np.cumsum(self.size) - self.size
+        self.memo: dict[bytes, bytes] = {}  # pre-token -> its ids, 4 bytes each
 
     def merge(self, piece: bytes) -> list[int]:
         """BPE of one pre-token: lowest rank first, then leftmost."""
@@ -184,6 +201,12 @@ class Codec:
         starts, ends, first = pretokens(raw, offs)
         keys = shared.SpanHash(raw).of(starts, ends)
         at = self.table.find(keys)
+        # a hash that is in the table may still be another pre-token's: the bytes decide
+        hit = np.flatnonzero(at >= 0)
+        found, size = at[hit], ends[hit] - starts[hit]
+        fits = size == self.size[found]
+        fits[fits] = _same_bytes(raw, starts[hit][fits], self.bytes, self.start[found][fits], size[fits])
+        at[hit[~fits]] = -1
         miss = np.flatnonzero(at < 0)
         if not len(miss):
             return self.ids[at], first
@@ -191,12 +214,20 @@ class Codec:
         if len(self.memo) > REMEMBERED:
             self.memo.clear()
         memo, data = self.memo, raw.tobytes()
-        s, e = starts[miss[one]].tolist(), ends[miss[one]].tolist()
+        # pre-tokens of one hash are merged once, if their bytes are the same
+        like = miss[one][where]
+        size = ends[miss] - starts[miss]
+        same = size == ends[like] - starts[like]
+        same[same] = _same_bytes(raw, starts[miss][same], raw, starts[like][same], size[same])
+        odd = np.flatnonzero(~same)
+        where[odd] = len(distinct) + np.arange(len(odd))
+        each = np.concatenate([miss[one], miss[odd]])
         merged = []
-        for k, a, b in zip(distinct.tolist(), s, e, strict=True):
-            got = memo.get(k)
+        for a, b in zip(starts[each].tolist(), ends[each].tolist(), strict=True):
+            piece = data[a:b]
+            got = memo.get(piece)
             if got is None:
-                got = memo[k] = array("i", self.merge(data[a:b])).tobytes()
+                got = memo[piece] = array("i", self.merge(piece)).tobytes()
             merged.append(got)
         length = np.array([len(x) for x in merged]) >> 2
         begin = np.cumsum(length) - length

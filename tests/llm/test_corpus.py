@@ -266,6 +266,60 @@ def test_url_reputation_blocks_bad_hosts(spark):
     assert not {h for h, s in hosts if s < 0.5} & {x.host for x in out.where("verdict = 'block'").collect()}
 
 
+def plain_reputation(pages, labels):
+    """The posterior bound of each host, in plain code."""
+    two = {f"{a}.{b}" for a in url_reputation.SECOND_LEVEL for b in ("uk", "sg", "br")} | set(url_reputation.SUFFIXES)
+
+    def split(host):
+        name = host.split("@")[-1].split(":")[0]
+        if name.replace(".", "").isdigit():
+            return name, name
+        parts = name.split(".")
+        k = 2 if ".".join(parts[-2:]) in two else 1
+        return ".".join(parts[-k:]), ".".join(parts[-k - 1 :])
+
+    outcome, host_of = defaultdict(list), {i: u.split("://")[1].split("/")[0].lower() for i, u in pages}
+    for i, bad in labels:
+        if i in host_of:
+            outcome[host_of[i]].append(bad)
+    every = [x for v in outcome.values() for x in v]
+    mean_all = (sum(every) + 0.5) / (len(every) + 1)
+
+    def level(groups, prior):
+        wide = [(sum(v), len(v), prior[k]) for k, v in groups.items() if len(v) >= 2]
+        q = sum((b - n * m) ** 2 / n for b, n, m in wide)
+        fit = (sum(m * (1 - m) * n for b, n, m in wide) - q) / max(q - sum(m * (1 - m) for *_, m in wide), 1e-6)
+        strength = 200.0 if len(wide) < 2 else max(2.0, min(200.0, fit))
+        return {k: ((sum(v) + prior[k] * strength) / (len(v) + strength), len(v) + strength) for k, v in groups.items()}
+
+    def grouped(key):
+        out = defaultdict(list)
+        for h, v in outcome.items():
+            out[key(h)] += v
+        return out
+
+    suffixes = level(grouped(lambda h: split(h)[0]), defaultdict(lambda: mean_all))
+    above = {split(h)[1]: suffixes[split(h)[0]][0] for h in outcome}
+    domains = level(grouped(lambda h: split(h)[1]), above)
+    hosts = level(grouped(lambda h: h), {h: domains[split(h)[1]][0] for h in outcome})
+    out = {}
+    for h in set(host_of.values()):
+        mean, weight = hosts.get(h) or domains.get(split(h)[1]) or suffixes.get(split(h)[0]) or (mean_all, 1.0)
+        out[h] = mean - 1.645 * (mean * (1 - mean) / (weight + 1)) ** 0.5
+    return out
+
+
+def test_url_bounds_equal_plain_code(spark):
+    rnd = random.Random(15)
+    hosts = [f"{a}.{b}{c}" for a in ("www", "m") for b in ("one", "two", "three.x") for c in (".com", ".com.sg", ".co.uk", ".github.io", ".de", ".de:8080")] + ["10.0.0.1", "10.0.0.2:80", "me@h.one.com", "com", "com.sg"]
+    rate = {h: rnd.choice([0.0, 0.1, 0.9]) for h in hosts}
+    pages = [(i, f"http://{h}/x") for i, h in enumerate(hosts * 7)]
+    labels = [(i, int(rnd.random() < rate[u.split("//")[1].split("/")[0]])) for i, u in pages if rnd.random() < 0.6 and "two.com/" not in u]
+    out = url_reputation.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    want = plain_reputation(pages, labels)
+    assert {x.host: x.reputation_bound for x in out} == {h: pytest.approx(b, abs=2e-9) for h, b in want.items()}
+
+
 DATA = "/root/testdata/sf0.001"
 
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import groupby
@@ -113,6 +114,22 @@ def test_perfect_hash():
     assert bpe.PerfectHash(np.zeros(0, np.uint64)).find(keys[:3]).tolist() == [-1] * 3
 
 
+def test_bpe_compares_bytes(monkeypatch):
+    """With a hash of very few values every pre-token collides, and the ids are the same."""
+    rows = odd_texts(200)
+    want = encoded(bpe.load(MULTI), rows)
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b" a": 257, b"  ": 258, b"aa": 259, b"aaaa": 260}
+    plain = bpe.Codec(ranks)
+    expected = encoded(plain, rows)
+    codec = bpe.Codec(ranks)
+    monkeypatch.setattr(codec.table, "find", lambda keys: (keys % np.uint64(len(ranks))).astype(np.int64))
+    few = shared.SpanHash.of
+    monkeypatch.setattr(shared.SpanHash, "of", lambda self, a, b: few(self, a, b) % np.uint64(7))
+    assert encoded(codec, rows) == expected
+    monkeypatch.undo()
+    assert encoded(bpe.load(MULTI), rows) == want
+
+
 def test_bpe_frames(spark):
     rows = [(1, "héllo wörld", "x"), (2, None, None), (2, "", None), (None, "a b", "x")]
     out = bpe.decode(bpe.encode(spark.createDataFrame(rows, "doc_id long, text string, ids string"), MULTI), MULTI).collect()
@@ -271,6 +288,53 @@ def test_article_keeps_its_header_and_links():
     assert text.startswith("Title A sentence") and text.endswith("Source number 3, with a title.")
 
 
+def test_article_text_stays_whatever_its_names():
+    """Words inside an id, a class on a paragraph and long links take nothing from an article."""
+    link = "<p>See <a href='/x'>" + "a very long title of another text, " * 8 + "</a> too.</p>"
+    page = f"<article><h1>T</h1>{_LONG}<h2 id='related-work'>Related work</h2>{_LONG}<section id='search-methods'>{_LONG}</section><p class='legal'>The law says so, and more.</p>{link}<div class='comments'><p>First, I say!</p></div></article>"
+    text = html_text.main_text(page)
+    assert all(x in text for x in ("Related work A sentence", "The law says so, and more.", "a very long title")) and text.count("A sentence") == 18 and "I say" not in text
+
+
+def test_threshold_decides(monkeypatch):
+    page = f"<article>{_LONG * 2}<section><div><p>Short, one.</p></div></section></article>"
+    seen = set()
+    for share in (0.0, 0.5, 3.9):
+        monkeypatch.setattr(html_text, "_SHARE", share)
+        seen.add(html_text.main_text(page))
+    assert len(seen) > 1
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 170_000, '<a b="x ' * 130_000, "<b><div>x" * 80_000 + "</b>" * 80_000, "<div>" * 90_000 + "<li>x</li>" * 60_000, "<div>" * 50_000 + "<nav><article>x" * 30_000, "<a b='>" * 140_000 + '"', "<" * 1_000_000])
+def test_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 15  # a quadratic reader takes minutes
+
+
+def test_main_text_of_made_pages():
+    """Pages made of parts whose place in the result is known."""
+    rnd = random.Random(14)
+    words = "alpha beta gamma delta epsilon zeta".split()
+    sentence = lambda: " ".join(rnd.choice(words) for _ in range(rnd.randint(8, 20))).capitalize() + rnd.choice([".", ", too.", "; so it is!"])
+    noise = [
+        "<nav><ul><li><a href='/'>Home</a><li><a href='/n'>News</a></ul></nav>", "<header><h1>Site</h1><p>Slogan, here.</p></header>", "<aside><p>About us, in short.</p></aside>",
+        "<div class='cookie-banner'>We use cookies, as all do.</div>", "<form><label>Mail, please</label><input></form>", "<script>if (a < b) { x = '</p>'; }</script>", "<style>p > a {}</style>", "<!-- <p>gone</p> -->",
+    ]
+    for _ in range(60):
+        expected, body = [], []
+        for _ in range(rnd.randint(3, 8)):
+            said = [sentence() for _ in range(rnd.randint(2, 5))]
+            text = " ".join(said)
+            expected.append(text)
+            body.append("<p>" + text.replace(",", "<b>,</b>").replace(" ", rnd.choice([" ", "\n  ", "&#32;"])) + rnd.choice(["</p>", ""]))
+            if rnd.random() < 0.3:
+                body.append(rnd.choice(["<aside>Related, perhaps.</aside>", "<script>1 < 2</script>", "<div class='ad'>Buy, now!</div>"]))
+        comments = "<section class='comments'><p>Great, thanks!</p><p>Not so, I think.</p></section>"
+        page = "<html><head><title>x</title></head><body>" + "".join(rnd.sample(noise, 4)) + "<article>" + "".join(body) + rnd.choice([comments, ""]) + "</article>" + "".join(rnd.sample(noise, 3)) + comments + "<footer>Imprint, terms.</footer></body></html>"
+        assert html_text.main_text(page) == " ".join(expected)
+
+
 def test_extract_keeps_rows(spark):
     rows = [(1, "<p>a</p>", "old"), (1, None, None), (None, "<p>" + "b " * 50_000, "x")]
     out = html_text.extract(spark.createDataFrame(rows, "page_id long, html string, text string")).collect()
@@ -292,7 +356,7 @@ def test_chat_round_trip(spark, monkeypatch):
     monkeypatch.setattr(chat, "PART", 50)
     rnd = random.Random(11)
     bits = [*chat.CONTROL, "\\", "hi ", "é", "\n"]
-    rows = [(rnd.choice([1, 2, 3, None]), rnd.choice([0, 1, 2, None, 7]), rnd.choice(["user", "assistant", "system", None, "[INST]"]), rnd.choice([None, "".join(rnd.choice(bits) for _ in range(5))])) for _ in range(80)]
+    rows = [(rnd.choice([1, 2, 3, None]), rnd.choice([0, 1, 2, None, 7]), rnd.choice(["user", "assistant", "system", None, "[INST]", "a\nb", "a", "\\n\\"]), rnd.choice([None, "".join(rnd.choice(bits) for _ in range(5))])) for _ in range(80)]
     out = chat.read_back(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
     key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "", r[3] is not None, r[3] or "")
     want = {}
@@ -303,6 +367,14 @@ def test_chat_round_trip(spark, monkeypatch):
     assert {x.conv_id: (x.n_turns, x.turns_sha256, x.loss_chars, x.loss_sha256) for x in out} == want
 
 
+def test_roles_read_back():
+    """A newline in a role is not the one that ends it."""
+    turns = [("a\nb", "c"), ("a", "b\nc"), ("\\n", "n"), ("x\\", "\n"), ("[ROLE] \n", " [/ROLE]"), ("user", "u"), ("assistant", "")]
+    out, ends, body, loss = chat.assemble(pa.array([x for x, _ in turns]), pa.array([x for _, x in turns]))
+    assert list(chat.read_turns(out.tobytes().decode())) == turns
+    assert ends[-1] == len(out) and loss.tolist() == [0] * 7
+
+
 def test_chat_of_nothing(spark):
     assert chat.read_back(chat.format_turns(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
 

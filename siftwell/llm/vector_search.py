@@ -1,11 +1,16 @@
 """Approximate nearest neighbours by an adaptive dimension scan.
 
-Vectors are rotated at random and dealt to the lists of a coarse quantiser.
-A query probes its nearest lists. Within a list, candidates are compared a block
-of rotated dimensions at a time: a partial distance is an unbiased estimate of
-the whole one, so a hypothesis test against the query's tenth distance so far
-gives most candidates up early. Scores are then computed on the original
-vectors. Lists are scanned in tiles of bounded numbers of vectors and queries.
+Vectors are rotated at random and dealt to the lists of a coarse quantiser,
+whose number grows with the square root of the rows. A query probes its nearest
+lists, a share of all that falls as the table grows. Within them, candidates
+are compared a block of rotated dimensions at a time: a partial distance is an
+unbiased estimate of the whole one, so a hypothesis test against the query's
+tenth distance so far gives most candidates up early. Scores are then computed
+on the original vectors.
+
+Nearby lists share a tile of bounded numbers of vectors and queries. A query
+goes to the tile of its nearest list first; the tenth distance found there goes
+along to its other tiles, and within a tile from run to run.
 """
 
 from __future__ import annotations
@@ -24,13 +29,15 @@ from . import shared
 @dataclass(frozen=True)
 class Settings:
     neighbours: int = 10
-    lists: int = 64  #: coarse lists
-    probes: int = 48  #: lists that a query looks into
+    lists: float = 4.0  #: coarse lists, times the square root of the rows
+    most_lists: int = 2048  #: what the sample can fit; beyond it lists grow longer
+    probes: float = 1.65  #: share of the lists that a query looks into, times the eighth root of the rows
     sample: int = 20_000  #: vectors that fit the quantiser, at most
     block: int = 16  #: dimensions compared at a time
     slack: float = 2.1  #: of the test, in standard errors: larger keeps more candidates
-    tile: int = 4096  #: vectors of a list scanned by one task
-    queries: int = 4096  #: queries that a tile serves at a time
+    tile: int = 8192  #: vectors scanned by one task
+    queries: int = 8192  #: queries that a tile serves at a time
+    run: int = 2048  #: vectors that a query is compared with before its limit is set anew
     seed: int = 11
 
 
@@ -61,16 +68,49 @@ def centroids(sample: np.ndarray, lists: int, seed: int) -> np.ndarray:
 
 
 def _nearest(rows: np.ndarray, centre: np.ndarray, k: int) -> np.ndarray:
-    d = (centre**2).sum(1) - 2 * rows @ centre.T
     k = min(k, len(centre))
-    best = np.argpartition(d, k - 1, axis=1)[:, :k]
-    return np.take_along_axis(best, np.argsort(np.take_along_axis(d, best, 1), axis=1, kind="stable"), 1)
+    norm, step = (centre**2).sum(1), max(1, (1 << 22) // max(1, len(centre)))
+    out = [np.zeros((0, k), np.int64)]
+    for i in range(0, len(rows), step):
+        d = norm - 2 * rows[i : i + step] @ centre.T
+        best = np.argpartition(d, k - 1, axis=1)[:, :k]
+        out.append(np.take_along_axis(best, np.argsort(np.take_along_axis(d, best, 1), axis=1, kind="stable"), 1))
+    return np.concatenate(out)
+
+
+def side_by_side(centre: np.ndarray) -> list[int]:
+    """The lists in an order that keeps near ones together: halves along the widest dimension."""
+    done, todo = [], [np.arange(len(centre))]
+    while todo:
+        part = todo.pop()
+        if len(part) < 2:
+            done += part.tolist()
+            continue
+        part = part[np.argsort(centre[part, np.argmax(np.ptp(centre[part], axis=0))], kind="stable")]
+        todo += [part[len(part) // 2 :], part[: len(part) // 2]]
+    return done
+
 
+def tiles(centre: np.ndarray, sizes: dict[int, int], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first tile, number of tiles) of each list: neighbours share a tile, a list of over ``most`` rows has several."""
+    first, count = np.zeros(len(centre), np.int64), np.zeros(len(centre), np.int64)
+    tile = filled = 0
+    for c in side_by_side(centre):
+        n = sizes.get(c, 0)
+        if filled and filled + n > most:
+            tile, filled = tile + 1, 0
+        first[c], count[c] = tile, -(-n // most)
+        filled += n
+        if n > most:
+            tile, filled = tile + int(count[c]), 0
+    return first, count
 
-def scan(query: np.ndarray, rotated: np.ndarray, ids: np.ndarray, own: int, s: Settings) -> np.ndarray:
+
+def scan(query: np.ndarray, rotated: np.ndarray, ids: np.ndarray, own: int, s: Settings, tenth: float = np.inf) -> np.ndarray:
     """Rows of ``rotated`` that may be among the query's neighbours.
 
-    ``query`` is rotated too; ``own`` is its id, which is left out.
+    ``query`` is rotated too; ``own`` is its id, which is left out; ``tenth`` is
+    the tenth distance found elsewhere.
     """
     rows = np.flatnonzero(ids != own)
     dims, k = len(query), s.neighbours
@@ -82,7 +122,7 @@ def scan(query: np.ndarray, rotated: np.ndarray, ids: np.ndarray, own: int, s: S
     # the tenth distance so far: from a first few rows, compared in full; the ten that set it stay
     head = ((rotated[rows[: 8 * k]] - query) ** 2).sum(1)
     best = np.argpartition(head, k - 1)[:k]
-    limit = loose(head[best].max())
+    limit = loose(min(head[best].max(), tenth**2))
     safe = np.zeros(len(rows), bool)
     safe[best] = True
     partial = np.zeros(len(rows))
@@ -104,6 +144,26 @@ def exact(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.sqrt(np.add.reduce(d * d, axis=1))
 
 
+def _best(found: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """The ``k`` nearest of (ids, scores), ties to the smaller id."""
+    at = np.lexsort(found)[:k]
+    return [x[at] for x in found]
+
+
+def search(query: np.ndarray, turned: np.ndarray, rows: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: int, s: Settings, tenth: float) -> list[np.ndarray]:
+    """(ids, scores) of the nearest among ``rows`` no farther than ``tenth``, which each run of rows sets anew."""
+    found = [np.zeros(0, np.int64), np.zeros(0)]
+    for i in range(0, len(rows), s.run):
+        run = rows[i : i + s.run]
+        run = run[scan(turned[0], turned[1][run], ids[run], own, s, tenth)]
+        score = exact(query, vectors[run])
+        near = score <= tenth
+        found = _best([np.append(found[0], ids[run][near]), np.append(found[1], score[near])], s.neighbours)
+        if len(found[0]) == s.neighbours:
+            tenth = min(tenth, found[1][-1])
+    return found
+
+
 def nearest(vectors: DataFrame, every: int = 100, settings: Settings = Settings(), vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: neighbours of each row whose id ``every`` divides.
 
@@ -124,14 +184,15 @@ def nearest(vectors: DataFrame, every: int = 100, settings: Settings = Settings(
     rows = rows.where(F.size("v") == dims).dropDuplicates(["id", "v"])
     # a bounded sample, the same each time: the smallest hashes
     fit = rows.select("v", F.xxhash64("id").alias("h")).orderBy("h").limit(s.sample).select("v")
-    turn = rotation(dims, s.seed)
-    centre = centroids(np.array([r[0] for r in fit.toLocalIterator()]) @ turn, s.lists, s.seed)
     total = rows.count()
-    tiles = max(1, -(-total // s.tile))  # tiles of one list, if all rows were in it
-    shared_state = spark.sparkContext.broadcast((turn, centre))
+    turn = rotation(dims, s.seed)
+    lists = min(s.most_lists, int(np.ceil(s.lists * total**0.5)))
+    centre = centroids(np.array([r[0] for r in fit.toLocalIterator()]) @ turn, lists, s.seed)
+    probed = min(len(centre), int(np.ceil(s.probes * total**-0.125 * len(centre))))
+    state = spark.sparkContext.broadcast((turn, centre))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn, centre = shared_state.value
+        turn, centre = state.value
         for b in batches:
             if not b.num_rows:
                 continue
@@ -139,53 +200,74 @@ def nearest(vectors: DataFrame, every: int = 100, settings: Settings = Settings(
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_nearest(v @ turn, centre, 1)[:, 0].astype(np.int32))], names=["id", "v", "list"])
 
     index = shared.materialize(rows.mapInArrow(shared.tidy(coded), "id long, v array<double>, list int"), "lists")
-    # how many tiles each list has: as many rows as there are lists
-    sizes = {r["list"]: -(-r["count"] // s.tile) for r in index.groupBy("list").count().toLocalIterator()}
+    # as many rows as there are lists
+    first, count = tiles(centre, {r["list"]: r["count"] for r in index.groupBy("list").count().toLocalIterator()}, s.tile)
+    where = spark.createDataFrame([(c, int(first[c]), int(count[c])) for c in range(len(centre))], "list int, first long, tiles long")
     asked = index.where(F.col("id") % every == 0).select("id", "v")
-    groups = max(1, -(-asked.count() * s.probes // (max(1, len(centre)) * s.queries)))
+    groups = max(1, -(-asked.count() // s.queries))
+    layout = spark.sparkContext.broadcast((first, count))
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn, centre = shared_state.value
+        _, centre = state.value
+        first, count = layout.value
         for b in batches:
             if not b.num_rows:
                 continue
             v = np.array(b.column(1).flatten()).reshape(-1, dims)
-            near = _nearest(v @ turn, centre, s.probes)
-            at = [(i, c, t) for i in range(len(v)) for c in near[i].tolist() for t in range(sizes.get(c, 0))]
-            take = pa.array([x[0] for x in at], pa.int64())
-            ids = b.column(0).take(take)
-            group = pa.array([hash(x) % groups for x in ids.to_pylist()], pa.int32())
+            near = _nearest(v @ state.value[0], centre, probed)
+            # a row for each query, list and tile of the list, in order of query, tile and nearness
+            query, lists = np.repeat(np.arange(len(v)), near.shape[1]), near.ravel()
+            many = count[lists]
+            query, lists = np.repeat(query, many), np.repeat(lists, many)
+            tile = first[lists] + np.arange(len(lists)) - np.repeat(np.cumsum(many) - many, many)
+            rank = np.arange(len(lists))
+            order = np.lexsort((rank, tile, query))
+            query, tile, lists, rank = query[order], tile[order], lists[order], rank[order]
+            start = np.flatnonzero(np.append(True, (query[1:] != query[:-1]) | (tile[1:] != tile[:-1]))[: len(query)])
+            home = np.full(len(v), len(rank))
+            np.minimum.at(home, query, rank)
+            take = pa.array(query[start])
+            probe = pa.ListArray.from_arrays(pa.array(np.append(start, len(query)).astype(np.int32)), pa.array(lists.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[1] for x in at], pa.int32()), pa.array([x[2] for x in at], pa.int32()), group, pa.array([True] * len(at)), ids, b.column(1).take(take)],
-                names=["list", "tile", "group", "query", "id", "v"],
+                [pa.array(tile[start]), pa.array(rank[start] == home[query[start]]), probe, b.column(0).take(take), b.column(1).take(take)], names=["tile", "home", "lists", "id", "v"]
             )
 
-    kind = "list int, tile int, group int, query boolean, id long, v array<double>"
-    queries = asked.mapInArrow(shared.tidy(probes), kind)
-    tile_of = F.create_map(*[F.lit(x) for c, n in sorted(sizes.items()) for x in (c, n)])
-    candidates = index.select(
-        "list", F.pmod(F.xxhash64("id"), tile_of[F.col("list")]).cast("int").alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
-        F.lit(False).alias("query"), "id", "v",
+    queries = asked.mapInArrow(shared.tidy(probes), "tile long, home boolean, lists array<int>, id long, v array<double>")
+    queries = queries.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
+    candidates = index.join(F.broadcast(where), "list").select(
+        (F.col("first") + F.pmod(F.xxhash64("id"), "tiles")).alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
+        F.lit(None).cast("double").alias("tenth"), F.array("list").alias("lists"), "id", "v",
     )
 
-    def tile(table: pa.Table) -> pa.Table:
-        turn, _ = shared_state.value
-        ids = np.array(table.column("id"))
-        v = np.array(table.column("v").combine_chunks().flatten()).reshape(-1, dims)
-        asks = np.array(table.column("query"))
-        order = np.argsort(ids[~asks], kind="stable")
-        cand, cand_v = ids[~asks][order], v[~asks][order]
-        turned = cand_v @ turn
-        found = []
-        for q, x in zip(ids[asks].tolist(), v[asks], strict=True):
-            at = scan(x @ turn, turned, cand, q, s)
-            score = exact(x, cand_v[at])
-            best = np.lexsort((cand[at], score))[: s.neighbours]
-            found += zip([q] * len(best), cand[at][best].tolist(), score[best].tolist(), strict=True)
-        return pa.table([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
-
-    found = queries.union(candidates).groupBy("list", "tile", "group").applyInArrow(tile, "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_set(F.struct("score", "vec_id"))), 1, s.neighbours).alias("n"))
+    def scanned(table: pa.Table) -> pa.Table:
+        turn, _ = state.value
+        table = table.combine_chunks()
+        asks = ~np.isnan(np.array(table.column("tenth").fill_null(np.nan)))
+        cand, q = table.filter(pa.array(~asks)), table.filter(pa.array(asks))
+        ids, of = np.array(cand.column("id")), np.array(cand.column("lists").combine_chunks().flatten())
+        order = np.lexsort((ids, of))
+        ids, of = ids[order], of[order]
+        v = np.array(cand.column("v").combine_chunks().flatten()).reshape(-1, dims)[order]
+        turned = v @ turn
+        found = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+        asked = np.array(q.column("v").combine_chunks().flatten()).reshape(-1, dims)
+        for i, (own, tenth, lists) in enumerate(zip(q.column("id").to_pylist(), q.column("tenth").to_pylist(), q.column("lists").to_pylist(), strict=True)):
+            rows = np.concatenate([np.arange(a, b) for a, b in zip(np.searchsorted(of, lists), np.searchsorted(of, lists, side="right"), strict=True)])
+            near, score = search(asked[i], (asked[i] @ turn, turned), rows, v, ids, own, s, tenth)
+            for column, part in zip(found, (np.full(len(near), own), near, score), strict=True):
+                column.append(part)
+        return pa.table([np.concatenate(x) for x in found], names=["query_id", "vec_id", "score"])
+
+    def scans(queries: DataFrame) -> DataFrame:
+        both = queries.select("tile", "group", "tenth", "lists", "id", "v").union(candidates.select("tile", "group", "tenth", "lists", "id", "v"))
+        return both.groupBy("tile", "group").applyInArrow(scanned, "query_id long, vec_id long, score double")
+
+    nearest_first = F.slice(F.array_sort(F.collect_set(F.struct("score", "vec_id"))), 1, s.neighbours)
+    home = shared.materialize(scans(queries.where("home").withColumn("tenth", F.lit(float("inf")))), "near")
+    tenth = home.groupBy(F.col("query_id").alias("id")).agg(nearest_first.alias("n")).where(F.size("n") == s.neighbours)
+    tenth = tenth.select("id", F.element_at("n", -1)["score"].alias("t"))
+    away = queries.where("not home").join(tenth, "id", "left").withColumn("tenth", F.coalesce("t", F.lit(float("inf"))))
+    best = home.union(scans(away)).groupBy("query_id").agg(nearest_first.alias("n"))
     return best.select("query_id", F.posexplode("n").alias("at", "n")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("n.vec_id").alias("vec_id"), F.col("n.score").alias("score")
     )

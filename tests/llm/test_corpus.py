@@ -242,6 +242,55 @@ def test_vector_scan_keeps_exact_copies(copies, scale):
         assert rows[np.lexsort((rows, score))][:10].tolist() == sorted(set(at.tolist()) - {q})[:10]
 
 
+def test_vector_tiles():
+    """Every list has its rows' tiles, no tile holds more than asked for, and long lists share none."""
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal((50, 6))
+    sizes = {c: int(rng.integers(0, 120)) for c in range(49)} | {7: 1050}  # list 49 is empty
+    first, count = vector_search.tiles(centre, sizes, 200)
+    assert sorted(vector_search.side_by_side(centre)) == list(range(50)) and count[7] == 6 and count[49] == 0
+    held = defaultdict(int)
+    for c, n in sizes.items():
+        if c != 7:
+            assert count[c] == (n > 0)
+            held[first[c]] += n
+    assert max(held.values()) <= 200 and not set(range(first[7], first[7] + 6)) & {t for t, n in held.items() if n}
+    assert vector_search.tiles(centre[:1], {}, 200)[1].tolist() == [0]
+
+
+def test_vector_search_carries_the_limit():
+    """With a tenth distance from elsewhere, nothing beyond it comes back, and what is nearer does, ties included."""
+    rng = np.random.default_rng(9)
+    s, turn = vector_search.Settings(run=100), vector_search.rotation(32, 11)
+    v, ids = rng.standard_normal((900, 32)), rng.permutation(900)
+    v[5:9] = v[4]
+    d = np.sqrt(((v - v[0]) ** 2).sum(1))
+    for tenth in (np.inf, np.sort(d)[30], np.sort(d)[4], 0.0):
+        near, score = vector_search.search(v[0], (v[0] @ turn, v @ turn), np.arange(900), v, ids, ids[0], s, tenth)
+        want = [i for i in np.lexsort((ids, d)) if i != 0 and d[i] <= tenth][:10]
+        assert len(set(near.tolist()) & {int(ids[i]) for i in want}) >= 0.9 * len(want) and (score <= tenth).all() and len(near) <= 10
+    at4 = vector_search.search(v[4], (v[4] @ turn, v @ turn), np.arange(900), v, ids, ids[4], s, 0.0)
+    assert at4[0].tolist() == sorted(ids[5:9].tolist()) and at4[1].tolist() == [0.0] * 4
+
+
+@pytest.mark.parametrize("rows", [600, 6000])
+def test_vector_recall_of_the_production_settings(spark, rows):
+    """Directions without any structure, the hardest case: recall of 0.9 and more against brute force."""
+    rng = np.random.default_rng(rows)
+    v = rng.standard_normal((rows, 64)).astype(np.float32).astype(float)
+    v /= np.sqrt((v**2).sum(1, keepdims=True))
+    out = vector_search.nearest(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")).collect()
+    got = defaultdict(set)
+    for x in out:
+        got[x.query_id].add(x.vec_id)
+    hits = 0
+    for q in range(0, rows, 100):
+        d = ((v - v[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * len(out) and len(out) == rows // 100 * 10
+
+
 def test_url_rules(spark):
     cases = {
         "https://A.Example.com/en/7x?y": ("a.example.com", "/en/7x", "example.com/en/7", "allow"), "http://b.com/en/1": ("b.com", "/en/1", "com/en/", "block"),

@@ -45,6 +45,25 @@ def _encoding(path: str):
     return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path), special_tokens=read_added(path))
 
 
+@functools.cache
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def token_ids(text: str, path: str) -> list[int]:
+    """The ids of ``text`` under the tokenizer in ``path``, without special tokens.
+
+    The faster encoder gives up on very long runs of white space; the tokenizer
+    library itself then reads the text.
+    """
+    try:
+        return _encoding(path).encode(text, allowed_special="all")
+    except ValueError:
+        return _tokenizer(path).encode(text, add_special_tokens=False).ids
+
+
 def _idf(df: np.ndarray, n: int) -> np.ndarray:
     return np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)  # 0: a term of more than half the items says nothing
 
@@ -235,12 +254,11 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
     shared.small_batches(spark)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoding(path)
-        kind = np.dtype(np.uint16 if enc.max_token_value < 1 << 16 else np.uint32)
+        kind = np.dtype(np.uint16 if _encoding(path).max_token_value < 1 << 16 else np.uint32)
         for b in batches:
             total, whole, rest = [], [], []
             for x in b.column(1):
-                got = enc.encode(x.as_py() or "", allowed_special="all")
+                got = token_ids(x.as_py() or "", path)
                 got.append(END)
                 ids = np.array(got, kind)
                 cut = len(ids) // window * window
@@ -287,8 +305,8 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
     depth = min(DEPTH, max(0, (max(n // SHARD_ITEMS, tokens // SHARD_TOKENS)).bit_length() + 2)) if n > SHARD_ITEMS or tokens > SHARD_TOKENS else 0
     sample = np.zeros((0, PLANES), np.float32)
     if depth:
-        # the same rows each time: those with a small hash
-        some = rests.where(F.pmod("h", F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))).limit(2 * SAMPLE)
+        # the same rows each time: those with a small hash, equal ones once
+        some = rests.where(F.pmod("h", F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))).dropDuplicates(["h"])
         got = sorted((r["h"], r["v"]) for r in some.mapInArrow(shared.tidy(projected), "h long, v array<float>").toLocalIterator())
         sample = np.array([v for _, v in got], np.float32).reshape(-1, PLANES)
     nodes = spark.sparkContext.broadcast(tree(sample, depth))
@@ -300,7 +318,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at), pa.array([len(x) for x in items], pa.int64())], names=[*b.schema.names, "leaf", "n"])
 
     kind = "doc_id long, doc_tokens long, width int, rest binary, h long, leaf long, n long"
-    placed = rests.mapInArrow(shared.tidy(leaf), kind)
+    placed = shared.materialize(rests.mapInArrow(shared.tidy(leaf), kind), "placed")
     sizes = np.zeros((2**depth, 2), np.int64)
     for r in placed.groupBy("leaf").agg(F.count("*").alias("items"), F.sum("n").alias("tokens")).toLocalIterator():
         sizes[r["leaf"]] = r["items"], r["tokens"]

@@ -105,6 +105,10 @@ def assemble(role: pa.Array, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np
     return out, ends, body, np.where(kind == 1, size, 0)
 
 
+#: Characters of role and text that tell ranges apart.
+START = 32
+
+
 def format_turns(turns: DataFrame) -> DataFrame:
     """SCHEMA: the formatted conversations, in parts that follow one another.
 
@@ -115,7 +119,11 @@ def format_turns(turns: DataFrame) -> DataFrame:
     first; repeated rows are each a turn. Other columns are ignored.
     """
     ordered = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
-    ordered = ordered.repartitionByRange("conv_id", "turn", "role", "text").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # ranges are drawn over short beginnings, in the same order: whole texts would go to the driver and into every task
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    long_role = F.length(role) > START
+    start = [F.left(role, F.lit(START)), long_role, F.when(long_role, "").otherwise(F.left(text, F.lit(START)))]
+    ordered = ordered.repartitionByRange("conv_id", "turn", *start).sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32

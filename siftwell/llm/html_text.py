@@ -4,14 +4,16 @@ A page is read as blocks of text, each under the path of block tags from the
 root. Per path, text length and punctuation are summed over the page and
 divided by the path's blocks; both series are smoothed over the paths in page
 order and fused. Paths above a share of the page's spread are content, beneath
-the element that holds them. A list or table counts as one block, so short items
-and cells stand or fall together; a heading goes with the block after it.
+the element that holds them; an article element with such a path is content as a
+whole. Elsewhere a list or table counts as one block, so short items and cells
+stand or fall together, and a heading goes with the block after it.
 What is marked as menu, header, footer, aside, notice, advert, form, comment or
 code never enters. A page is handled alone, so there is no shuffle.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -62,24 +64,40 @@ _ITEMS = _HOLD_ITEMS | {"thead", "tbody", "tfoot", "tr", "td", "th", "caption",
 _ABOUT = {"no", "not", "without", "has", "have", "with"}
 
 
+#: Marks that a part of an article may bear in a name of its own, like ``Legal history`` or ``share-prices``.
+_DOUBTFUL = {"legal", "notice", "notification", "alert", "search", "social", "share", "skip", "hidden", "copyright", "disclaimer", "header"}
+#: Words that say how an element is laid out, not what it holds.
+_LAYOUT = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "col", "container", "content", "form", "icon", "icons", "inline", "inner", "item", "items", "js", "large", "left",
+    "lg", "link", "links", "list", "md", "outer", "panel", "post", "posts", "right", "row", "section", "sm", "slot", "small", "sticky", "stories", "thread", "top", "unit", "wrap", "wrapper",
+}
+
+
 def _marked(tag: str, attributes: str, inside: bool) -> bool:
     """Whether class or role holds a word of _MARKS, or id is one.
 
-    ``inside`` an article, only elements that hold others count, and only a name
-    that is such a word or starts with one, headers aside.
+    ``inside`` an article, only elements that hold others count, headers aside,
+    and only a name that is nothing but marks and words of layout; with a
+    doubtful mark, all names of the element must be so.
     """
     if inside and tag not in _HOLDERS:
         return False
     for m in _NAMED.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
         if m[1].lower() == "id":
-            if value.lower() in _MARKS and not (inside and value.lower() == "header"):
+            if value.lower() in _MARKS and not (inside and value.lower() in _DOUBTFUL):
                 return True
             continue
-        for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
-            words = [w for w in re.split(r"[^a-z]+", name) if w]
-            if words and words[0] not in _ABOUT and _MARKS.intersection(words[:1] if inside else words) and not (inside and words[0] == "header"):
+        names = [[w for w in re.split(r"[^a-z]+", name) if w] for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split()]
+        names = [words for words in names if words]
+        if not inside:
+            if any(words[0] not in _ABOUT and _MARKS.intersection(words) for words in names):
                 return True
+            continue
+        plain = [all(w in _MARKS or w in _LAYOUT for w in words) for words in names]
+        marks = [_MARKS.intersection(words) - {"header"} if p else set() for words, p in zip(names, plain, strict=True)]
+        if any(x - _DOUBTFUL for x in marks) or (any(marks) and all(plain)):
+            return True
     return False
 
 
@@ -200,9 +218,20 @@ def blocks(page: str, marks: bool = True) -> tuple[list[tuple[int, str, int]], P
         while len(stack.names) > i:
             stack.pop()
 
+    tags: dict[str, tuple[list[int], list[int]]] = {}
+
+    def closes(tag: str, at: int) -> bool:
+        """Whether more elements of the name end after ``at`` than begin."""
+        if tag not in tags:
+            found = [(m.start(), bool(m[1])) for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])", page, re.I)] if tag else []
+            tags[tag] = [i for i, end in found if not end], [i for i, end in found if end]
+        begin, end = (len(x) - bisect.bisect_left(x, at) for x in tags[tag])
+        return end > begin
+
     def in_article() -> bool:
         return stack.last("article") >= 0 or stack.last("main") >= 0
 
+    seen = False  # an article or main element
     at, start, n, aware = 0, 0, len(page), True  # text since ``start`` is not added yet
     while at < n:
         at = page.find("<", at)
@@ -247,8 +276,10 @@ def blocks(page: str, marks: bool = True) -> tuple[list[tuple[int, str, int]], P
             elif tag == "hr":
                 end_block()
             continue
-        if tag in _CONTENT and stack.left_out >= 0:  # a menu or the like that was never closed
-            pop_to(stack.left_out)
+        if tag in _CONTENT:
+            if stack.left_out >= 0 and not (seen and closes(stack.names[stack.left_out], at)):  # a menu or the like that was never closed, or a frame of the whole
+                pop_to(stack.left_out)
+            seen = seen or stack.left_out < 0
         left_out = stack.left_out >= 0
         if tag in _CLOSES_P and not left_out and stack.last("p") >= 0:
             pop_to(stack.last("p"))
@@ -295,29 +326,27 @@ def content_blocks(found: list[tuple[int, str, int]], paths: Paths) -> list[bool
     good = rich & (telling > 0.4)
     if not good.any():
         return [False] * len(found)
-    # the element that holds the best path; an article or main element where there is one
-    inside = any(x >= 0 for x in article)
+    # the element that holds the best path; article elements, or else main ones, where there are any
+    names = {paths.tag[x] for x in article if x >= 0}
+    inside, kind = bool(names), "article" if "article" in names else "main"
     if inside:
-        total = dict.fromkeys(sorted({x for x in article if x >= 0}), 0.0)
-        for x in list(total):
-            while (x := paths.article[paths.parent[x]]) >= 0 and x not in total:
-                total[x] = 0.0
+        held = set()
         for i, x in enumerate(article):
-            if x >= 0:
-                total[x] += length[i] * prose[i]
-        for x in sorted(total, reverse=True):  # the inner ones first
-            if (outer := paths.article[paths.parent[x]]) >= 0:
-                total[outer] += total[x]
-        most = max(total.values())
-        held = {x for x, size in total.items() if size >= 0.1 * most}
+            while good[i] and x >= 0 and x not in held:
+                held.add(x)
+                x = paths.article[paths.parent[x]]
     else:
         best = order[int(np.argmax(np.where(good, length * prose, -1)))]
         held = {paths.parent[best] if best and paths.tag[best] not in ("div", "body", "section") else best}
+    # all of an article whose paths are rich is content, however short its lines are
+    whole = [False] * len(paths.tag)
+    for p in range(1, len(paths.tag)):
+        whole[p] = (p in held and paths.tag[p] == kind) or whole[paths.parent[p]]
     within = [False] * len(paths.tag)
     for p in range(len(paths.tag)):  # parents come before what is below them
         within[p] = p in held or (p > 0 and within[paths.parent[p]])
-    keep = [bool(good[at[u]]) and (within[u] or not inside) for u in units]
-    heading = [paths.tag[u] in _HEADINGS for u in units]
+    keep = [whole[p] or (bool(good[at[u]]) and (within[u] or not inside)) for (p, _, _), u in zip(found, units, strict=True)]
+    heading = [paths.tag[u] in _HEADINGS and not whole[u] for u in units]
     # from the end: a heading goes with what comes after it; a page of headings alone is its own text
     after, alone = False, not any(k and not h for k, h in zip(keep, heading, strict=True))
     for j in range(len(keep) - 1, -1, -1):

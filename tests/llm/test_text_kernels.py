@@ -269,11 +269,11 @@ _LONG = "<p>" + "A sentence of the text, with commas, and so on. " * 6 + "</p>"
 
 @pytest.mark.parametrize(("open_", "close"), [("<article>", "</article>"), ("<body>", "</body>")])
 def test_ratios_decide_inside_the_held_element(open_, close):
-    """A short line without punctuation goes, with its heading; lists, tables and headings of text stay."""
+    """Outside an article a short line without punctuation goes, with its heading; lists, tables and headings of text stay."""
     data = "<table>" + "".join(f"<tr><td>cell {i}</td><td>{i}.5</td></tr>" for i in range(12)) + "</table>"
     page = f"{open_}<h1>Title</h1>{_LONG * 3}<h2>Data</h2>{data}<section><h5>More</h5><div>Read on</div></section>{close}"
     text = html_text.main_text(page)
-    assert text.startswith("Title A sentence") and "Data cell 0 0.5" in text and text.endswith("cell 11 11.5")
+    assert text.startswith("Title A sentence") and "Data cell 0 0.5" in text and text.endswith("cell 11 11.5" if open_ == "<body>" else "cell 11 11.5 More Read on")
 
 
 @pytest.mark.parametrize("name", ["content no-sidebar", "has-header", "legal-news", "search-result"])
@@ -297,7 +297,7 @@ def test_article_text_stays_whatever_its_names():
 
 
 def test_threshold_decides(monkeypatch):
-    page = f"<article>{_LONG * 2}<section><div><p>Short, one.</p></div></section></article>"
+    page = f"<body>{_LONG * 2}<section><div><p>Short, one.</p></div></section></body>"
     seen = set()
     for share in (0.0, 0.5, 3.9):
         monkeypatch.setattr(html_text, "_SHARE", share)
@@ -390,3 +390,59 @@ def test_frames_without_rows(spark):
     assert line_dedup.dedup_lines(docs).count() == 0
     assert substring_dedup.remove_repeats(docs).count() == 0
     assert docs.select(F.lit(1)).count() == 0
+
+
+def test_an_article_is_kept_whole():
+    long = "A sentence of the text, with commas, and so on. " * 5
+    page = f"""<body><nav>Menu</nav><article><h1>T</h1><div>By Jane</div><ul><li>first</li><li>second</li></ul><p>{long}</p>
+    <figure><figcaption>A caption</figcaption></figure><section class="share-prices"><p>Prices fell.</p></section><section class="Legal history"><p>The law is old.</p></section>
+    <div class="notice-board"><p>Pinned here.</p></div><div class="search-results-study">We looked.</div><p>Yes.</p><table><tr><td>1</td></tr></table>
+    <div class="share-buttons">Tweet</div><div class="notice">Mind the gap, please.</div><div class="ad slot-3">Buy now, it is cheap.</div>
+    <div class="comments wide"><p>I say, this is a long comment, with commas, and so on.</p></div><aside>Beside</aside><p>{long}</p><h3>End</h3></article>
+    <main><p>x</p></main><div class="related"><article><p>Teaser</p></article></div><footer>Imprint</footer></body>"""
+    text = html_text.main_text(page)
+    clean = " ".join(long.split())
+    assert text == f"T By Jane first second {clean} A caption Prices fell. The law is old. Pinned here. We looked. Yes. 1 {clean} End"
+    # without an article the main element is one
+    assert html_text.main_text(page.replace("<main><p>x</p></main>", "").replace("article>", "main>")) == text
+
+
+def test_a_small_article_beside_a_large_one():
+    one, other = "A sentence of the text, with commas. " * 200, "Another, shorter article, of one sentence. " * 6
+    text = html_text.main_text(f"<body><article><p>{one}</p></article><div><article><p>{other}</p><p>Its end</p></article></div></body>")
+    assert text == f"{one}{other}Its end"
+
+
+def test_long_white_space_is_encoded():
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    plain = Tokenizer.from_file(path)
+    for text in (" " * 1_000_000 + "a", "\n" * 1_000_000 + "a", "word" + " \n" * 600_000 + "x", "a b\n\n  c", ""):
+        assert packing.token_ids(text, path) == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_scores_equal_the_formula():
+    rng = np.random.default_rng(3)
+    items = [rng.integers(0, 40, rng.integers(1, 60)) for _ in range(50)]
+    n, mean = len(items), np.mean([len(x) for x in items])
+    df = [sum(t in set(x.tolist()) for x in items) for t in range(40)]
+    idf = [max(np.log((n - d + 0.5) / (d + 0.5)), 0) for d in df]
+    index = packing.Index(items)
+    for i, seed in enumerate(items):
+        for j, x in enumerate(items):
+            tf = {t: int((x == t).sum()) for t in set(seed.tolist())}
+            bm25 = sum(idf[t] * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(x) / mean)) for t, f in tf.items() if f)
+            assert abs(index.scores(i)[j] - bm25) < 1e-9
+
+
+def test_turns_with_long_roles_and_texts_stay_in_order(spark):
+    rnd = random.Random(6)
+    role = lambda: rnd.choice(["user", "assistant", "r" * 32, "r" * 32 + "a", "r" * 32 + "b", "r" * 33, None])
+    rows = [(rnd.choice([1, 2, None]), rnd.choice([0, 1, None]), role(), rnd.choice(["", None, "é" * 32, "é" * 32 + "b", "é" * 32 + "a", "x"])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    key = lambda r: (r[1] is not None, r[1] or 0, (r[2] or "").encode(), (r[3] or "").encode())
+    for got in chat.read_back(chat.format_turns(df)).collect():
+        mine = sorted((r for r in rows if r[0] == got.conv_id), key=key)
+        assert got.n_turns == len(mine)
+        assert got.turns_sha256 == hashlib.sha256("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in mine).encode()).hexdigest()

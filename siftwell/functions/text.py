@@ -64,7 +64,8 @@ def normalize(c: Column) -> Column:
     """
     one, to, more = _ascii_forms()
     other = r"[^\x00-\x7f]"
-    pairs = F.create_map(*[F.lit(x) for pair in more.items() for x in pair])
+    # one constant text, which Spark makes a constant map: thousands of single literals take seconds to state
+    pairs = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in more.items())), F.lit("\x01"), F.lit("\x02"))
 
     def spelled(x: Column) -> Column:
         return F.array_join(F.transform(F.split(x, ""), lambda ch: F.when(ch < "\x80", ch).otherwise(F.coalesce(F.try_element_at(pairs, ch), F.lit("")))), "")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,6 +73,45 @@ def round_robin(df: DataFrame, group: list[str], source: str, priority: Column,
     return df.withColumns({"turn": F.row_number().over(w), "source_priority": priority})
 
 
+def positions(written: DataFrame) -> DataFrame:
+    """Rows of a Parquet folder with ``position``, from 1: files by name, rows as they stand in them.
+
+    Offsets come from the files' sizes, a row for each file; no row moves.
+    """
+    rows = written.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    sizes = rows.groupBy("__file").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("__file", F.coalesce(before, F.lit(0)).alias("__before"))
+    return rows.join(offsets, "__file").withColumn("position", F.col("__before") + F.col("__row") + 1).drop("__file", "__row", "__before")
+
+
 def shuffle_key(key: Column, seed: int) -> Column:
     """A pseudo-random order that doesn't depend on partitions; the key breaks ties."""
     return F.struct(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"))), key)
+
+
+def shuffled_turns(df: DataFrame, group: list[str], source: str, moment: str, key: str, seed: Column) -> DataFrame:
+    """Adds turn as a seeded generator deals it: one generator for a group's sources.
+
+    In order of their first rows, each source's rows, by moment, are shuffled by
+    the group's generator, and take turns in that order. Equal moments are
+    ordered by source and key. Only keys and moments enter the grouped step, where
+    a group's rows meet, so a group is what one worker holds: a day.
+    """
+
+    def deal(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["m", "s", "k"], kind="stable")
+        generator, turns = random.Random(int(rows["seed"].iloc[0])), {}
+        for _, own in rows.groupby("s", sort=False, dropna=False):
+            order = own.index.tolist()
+            generator.shuffle(order)
+            turns.update({at: i + 1 for i, at in enumerate(order)})
+        rows["turn"] = pd.Series(turns)
+        return rows[[*names, "s", "k", "turn"]]
+
+    names = [f"g{i}" for i in range(len(group))]
+    keys = df.select(*[F.col(c).alias(n) for c, n in zip(group, names, strict=True)], F.col(source).alias("s"), F.col(key).alias("k"), F.unix_micros(moment).alias("m"), seed.cast("long").alias("seed")).distinct()
+    kinds = dict(keys.dtypes)
+    dealt = keys.groupBy(*names).applyInPandas(deal, ", ".join(f"{n} {kinds[n]}" for n in (*names, "s", "k")) + ", turn int")
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip([*group, source, key], [*names, "s", "k"], strict=True)]
+    return df.join(dealt, reduce(lambda a, b: a & b, same)).select(*df.columns, "turn")

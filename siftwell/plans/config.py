@@ -14,6 +14,8 @@ class RunConfig:
     resume: bool = False
     seed: int = 42
     metrics: str | None = None  #: folder for the run's counters
+    seen: str | None = None  #: bucketed table of the URLs written, instead of reading the output when resuming
+    weeks_per_commit: int = 4  #: a run that ends early has lost so many weeks at most
     # of the fetcher
     request_delay: float = 0.2
     user_agent: str = "siftwell/0.1"
@@ -22,3 +24,5 @@ class RunConfig:
     def __post_init__(self) -> None:
         if date.fromisoformat(self.end_date) < date.fromisoformat(self.start_date):
             raise ValueError("end_date is before start_date")
+        if self.weeks_per_commit < 1:
+            raise ValueError("weeks_per_commit must be positive")

@@ -6,6 +6,9 @@ occur there; the operators are the ones that the default vocabulary uses.
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +45,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+_used: list[tuple[SparkSession, str]] = []
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share; in a session without one (tests), a local one. It goes when the program ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="siftwell-")
+    if not _used:
+        atexit.register(_remove)
+    _used.append((spark, f"{shared}/{name}-{uuid.uuid4().hex}"))
+    return _used[-1][1]
+
+
+def _remove() -> None:
+    from .sources.jsonl import clear
+
+    for spark, path in _used:
+        if spark.sparkContext._jsc is not None:  # else the session has gone, and its folders with it
+            clear(spark, path)
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -390,11 +417,13 @@ def seeded_shuffle(spark: SparkSession, d: str) -> DataFrame:
     return _turns(spark, d)
 
 
-@query(f"SELECT lang, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY turn, source_priority, source) AS ids FROM ({_TURNS}) GROUP BY lang")
+@query(f"SELECT doc_id, row_number() OVER (ORDER BY lang, turn, source_priority, source) AS position FROM ({_TURNS})")
 def ordered_turns(spark: SparkSession, d: str) -> DataFrame:
-    """Each group's rows in their turns, as one text."""
-    rows = _turns(spark, d).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("turn", "source_priority", "source", F.col("doc_id").cast("string").alias("id")))).alias("x"))
-    return rows.select("lang", F.array_join(F.col("x.id"), ",").alias("ids"))
+    """Every row's place in files that are written in the order of turns."""
+    order = ("lang", "turn", "source_priority", "source")
+    path = _folder(spark, "turns")
+    _turns(spark, d).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    return r.positions(spark.read.parquet(path)).select("doc_id", "position")
 
 
 @query("SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-02-01' AND DATE '1996-03-15'")
@@ -444,6 +473,15 @@ def _joined(rows: DataFrame, key: list, head: str, entry, tail: str) -> DataFram
     return rows.groupBy(*key).agg(F.concat(F.lit(head), F.array_join(F.array_sort(F.collect_list(entry)), ""), F.lit(tail)).alias("text"))
 
 
+#: Entries of a sitemap, at most.
+_MOST = 50_000
+
+
+def _cut(key):
+    """The part of a sitemap that an entry is in."""
+    return F.floor(key / _MOST).cast("string")
+
+
 _INDEX_XML = ('<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">', "</sitemapindex>")
 _URLS_XML = ('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:news="http://www.google.com/schemas/sitemap-news/0.9">', "</urlset>")
 
@@ -471,7 +509,7 @@ def sitemap_index(spark: SparkSession, d: str) -> DataFrame:
     k, ts = F.col("event_id"), F.col("ts")
     loc = F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("https://x.example/"), k.cast("string")))
     stamp = F.when(k % 3 == 0, "").when(k % 3 == 1, _changed(F.date_format(ts, "yyyy-MM-dd"))).otherwise(_changed(t.iso_timestamp(ts)))
-    rows = _joined(_events(spark, d), ["event_type"], _INDEX_XML[0], _entry("sitemap", loc, stamp), _INDEX_XML[1])
+    rows = _joined(_events(spark, d), ["event_type", _cut(k).alias("part")], _INDEX_XML[0], _entry("sitemap", loc, stamp), _INDEX_XML[1])
     return sitemaps.sitemap_index(rows).select("event_type", "loc", F.col("lastmod").cast("timestamp_ntz").alias("lastmod"))
 
 
@@ -485,7 +523,7 @@ def url_set(spark: SparkSession, d: str) -> DataFrame:
     k, stamp, day = F.col("event_id"), t.iso_timestamp(F.col("ts")), F.date_format("ts", "yyyy-MM-dd")
     title = F.concat(F.lit("Event &amp; "), k.cast("string"))
     more = F.when(k % 4 == 0, _news(stamp)).when(k % 4 == 1, F.concat(_changed(F.lit("2001-01-01")), _news(stamp, title))).when(k % 4 == 2, F.concat(_changed(day), _news(F.lit("unreadable")))).otherwise(_changed(day))
-    rows = _joined(_events(spark, d), ["event_type"], _URLS_XML[0], _entry("url", F.concat(F.lit("https://x.example/"), k.cast("string")), more), _URLS_XML[1])
+    rows = _joined(_events(spark, d), ["event_type", _cut(k).alias("part")], _URLS_XML[0], _entry("url", F.concat(F.lit("https://x.example/"), k.cast("string")), more), _URLS_XML[1])
     return sitemaps.url_set(rows).select("event_type", "loc", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "title")
 
 
@@ -509,7 +547,7 @@ def _newsstand(spark: SparkSession, d: str):
     rows = _events(spark, d).select(
         "ts", k, day.alias("day"),
         F.concat(pick("https://www.infomoney.com.br/mercados/", "https://valor.globo.com/financas/", "https://exame.com/invest/"), slug, k.cast("string"), F.lit("/")).alias("url"),
-        pick(F.concat(F.lit("https://www.infomoney.com.br/post-sitemap"), day, F.lit(".xml")), F.concat(F.lit("https://valor.globo.com/sitemap/valor/"), F.date_format("ts", "yyyy/MM/dd"), F.lit("_1.xml")), F.concat(F.lit("https://exame.com/artigos/"), F.date_format("ts", "yyyy-MM/dd"), F.lit("/sitemap.xml"))).alias("map"),
+        pick(F.concat(F.lit("https://www.infomoney.com.br/post-sitemap"), day, F.lit("-"), _cut(k), F.lit(".xml")), F.concat(F.lit("https://valor.globo.com/sitemap/valor/"), F.date_format("ts", "yyyy/MM/dd"), F.lit("_"), _cut(k), F.lit(".xml")), F.concat(F.lit("https://exame.com/"), _cut(k), F.lit("/artigos/"), F.date_format("ts", "yyyy-MM/dd"), F.lit("/sitemap.xml"))).alias("map"),
         pick(info.index_url, valor.index_url, F.concat(F.lit("https://exame.com/artigos/"), F.date_format("ts", "yyyy-MM"), F.lit("/sitemap.xml"))).alias("index"),
     )
     title = F.concat(F.when(k % 5 == 0, "Receita ").otherwise("Ibovespa "), k.cast("string"))
@@ -548,24 +586,10 @@ def whole_run(spark: SparkSession, d: str) -> DataFrame:
     from .plans import pipeline
 
     fetch, config, rules = _newsstand(spark, d), _run_config(), Rules()
-    candidates = pipeline.collect_candidates(spark, fetch, config, rules)
-    selected = pipeline.select_candidates(candidates, spark.createDataFrame([], "url string"), rules)
+    selected = pipeline.judge_candidates(pipeline.collect_candidates(spark, fetch, config, rules), rules).where("reject_reason is null").drop("reject_reason")
     return pipeline.records(pipeline.enrich(selected, fetch, config, rules)).withColumn("tags", F.array_join("tags", "|"))
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder that all executors share; in a session without one (tests), a local one."""
-    import tempfile
-    import uuid
-
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="siftwell-")
-    return f"{shared}/records-{uuid.uuid4().hex}"
-
-
 @query("SELECT 'https://x.example/' || doc_id AS url, text AS title, lang AS source, CASE WHEN doc_id % 2 = 0 THEN source END AS description, doc_id % 3 = 0 AS seen FROM documents")
 def json_lines(spark: SparkSession, d: str) -> DataFrame:
     """Records written as JSON Lines in two runs, read back, with whether the first run had the URL."""
@@ -574,16 +598,121 @@ def json_lines(spark: SparkSession, d: str) -> DataFrame:
     url = F.concat(F.lit("https://x.example/"), F.col("doc_id").cast("string"))
     docs = _table(spark, d, "documents").select("doc_id", F.col("lang").alias("source"), url.alias("url"), F.col("text").alias("title"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("description"), F.array("source").alias("tags"))
     docs = docs.withColumns({c: F.lit("x") for c in ("published_at", "week_key", "week_start", "week_end", "sentiment_text")})
-    path = _folder(spark)
+    path = _folder(spark, "records")
     jsonl.write_records(docs.where("doc_id % 3 = 0"), path, append=False)
     fresh = r.without_seen(docs, jsonl.seen_urls(spark, path))
-    other = _folder(spark)
+    other = _folder(spark, "records")
     jsonl.write_records(fresh, other, append=True)
     lines = "source string, url string, title string, description string"
     old, new = (spark.read.schema(lines).json(x).withColumn("seen", F.lit(y)) for x, y in ((path, True), (other, False)))
     return old.unionByName(new).select("url", "title", "source", "description", "seen")
 
 
+# --- robots.txt, seen URLs, large dictionaries, weeks, counters -------------------------------
+
+_HOST = "regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)"
+_BEHIND = "regexp_replace(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*(.*)$', 1), '#$', ''), '[?]$', '')"
+
+
+@query(
+    f"""SELECT page_id, CASE WHEN host LIKE '%.org' THEN starts_with(p, '/en/7') OR NOT starts_with(p, '/en/') WHEN host LIKE 'www.%' OR host LIKE 'm.%' THEN NOT (starts_with(p, '/') AND length(host) % 2 = 0)
+    WHEN host LIKE '%.net' THEN NOT (starts_with(p, '/de/') OR starts_with(p, '/es/4')) ELSE true END AS allowed FROM (SELECT page_id, {_HOST} AS host, {_BEHIND} AS p FROM pages)"""
+)
+def robots_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Each page's URL against the robots.txt of its origin."""
+    from .sources import robots
+
+    pages = _table(spark, d, "pages").select("page_id", "url")
+    origin = t.url_origin(F.col("url"))
+    host = F.regexp_extract(origin, "://(.*)", 1)
+    text = (
+        F.when(F.endswith(host, F.lit(".org")), "User-agent: other\nDisallow: /\n\nUser-agent: *\nAllow: /en/7 # the first that fits counts\nDisallow: /en/\nDisallow: /en/7")
+        .when(F.startswith(host, F.lit("www.")) | F.startswith(host, F.lit("m.")), F.when(F.length(host) % 2 == 0, "User-agent: SiftWell\nCrawl-delay: 2\nDisallow: /\n\nUser-agent: *\nDisallow:").otherwise("User-agent: siftwell\nDisallow:\n\nUser-agent: *\nDisallow: /"))
+        .when(F.endswith(host, F.lit(".net")), "User-agent: *\nDisallow: /d%65/\nDisallow: /es/4")
+    )
+    texts = pages.select(origin.alias("origin"), text.alias("text")).where("text is not null").distinct()
+    return robots.permissions(pages, robots.rules(texts), "siftwell/0.1").select("page_id", "allowed")
+
+
+@query("SELECT event_id FROM events WHERE event_id % 100 = 0 OR event_id // 3 NOT IN (SELECT event_id // 3 FROM events WHERE event_id % 7 = 0 AND event_id % 100 > 0)")
+def seen_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose URL two additions to the bucketed table don't hold; three events share one, some have none."""
+    from .sources.seen import SeenUrls
+
+    k = F.col("event_id")
+    url = F.when(k % 100 > 0, F.concat(F.lit("https://x.example/"), F.floor(k / 3).cast("string")))
+    rows = _table(spark, d, "events").select("event_id", url.alias("url"))
+    table = SeenUrls(spark, _folder(spark, "seen"), buckets=16)
+    for at in (0, 7):
+        table.add(rows.where(k % 14 == at))
+    return table.unseen(rows).select("event_id")
+
+
+_PAIRS = [f"{a} {b}" for a in ("the", "of", "and", "de", "la", "der", "und", "que", "en", "et") for b in ("the", "of", "and", "la", "le", "die", "und", "el", "que", "to", "in", "con")]
+
+
+@query(f"SELECT doc_id, {_count('n', _PAIRS)} AS hits FROM (SELECT doc_id, {_norm('text')} AS n FROM documents)")
+def phrase_hits(spark: SparkSession, d: str) -> DataFrame:
+    """How many phrases of a large dictionary are in each text."""
+    n = t.normalize(F.col("text"))
+    return _table(spark, d, "documents").select("doc_id", Keywords(_PAIRS).count(n).alias("hits"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'Page ' || event_id WHEN event_id % 5 < 3 THEN 'Listed' ELSE 'some text' END AS title, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-01-10 08:00:00' ELSE ts END AS published_at
+    FROM events WHERE (event_id % 3 = 0 OR event_id % 5 < 3 OR event_id % 7 > 1) AND (event_id % 2 = 0 OR (event_id % 11 > 0 AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'))"""
+)
+def incomplete_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages and listings that lack a title or a moment: what is found nowhere ends the row."""
+    from .plans import pipeline
+    from .sources.fetching import stored
+
+    k = F.col("event_id")
+    url = F.concat(F.lit("https://x.example/"), F.when(k % 7 > 1, "some-text/").otherwise(""), F.lit("?id="), k.cast("string"))
+    rows = _events(spark, d).select(
+        k, F.lit("x").alias("source"), url.alias("url"), F.when(k % 11 > 0, F.col("ts")).alias("published_at"), F.when(k % 5 < 3, "Listed").alias("title"), F.lit(None).cast("string").alias("section"),
+        F.concat(F.when(k % 3 == 0, F.concat(F.lit("<title>Page "), k.cast("string"), F.lit("</title>"))).otherwise("<title></title>"), F.when(k % 2 == 0, "<time datetime='2024-01-10T08:00:00Z'>x</time>").otherwise("<time>")).alias("text"),
+    )
+    out = pipeline.enrich(rows.drop("text"), stored(rows.select("url", "text")), _run_config(), Rules())
+    return out.select("event_id", "title", F.col("published_at").cast("timestamp_ntz").alias("published_at"))
+
+
+@query(f"SELECT source, 2 * count(*) AS n, min(ts) - INTERVAL 1 SECOND AS first_at, max(ts) AS last_at FROM ({_STAND}) GROUP BY 1")
+def listed_by_source(spark: SparkSession, d: str) -> DataFrame:
+    """What each source listed, before repeated URLs fall together, as observed while candidates are collected."""
+    from .plans import pipeline
+
+    counted: dict = {}
+    pipeline.collect_candidates(spark, _newsstand(spark, d), _run_config(), Rules(), counted=counted).write.format("noop").mode("overwrite").save()
+    rows = [(name, *pipeline.observed(o)) for name, o in counted.items()]
+    out = spark.createDataFrame(rows, "source string, n long, first_at timestamp, last_at timestamp")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_at", "last_at")})
+
+
+@query(
+    """SELECT 'https://x.example/' || doc_id AS url, lang AS week, text AS title, CASE WHEN doc_id % 3 = 0 THEN 'first' WHEN lang = 'de' THEN 'again' ELSE 'added' END AS description
+    FROM documents WHERE doc_id % 3 = 0 OR doc_id % 3 = 1 OR lang = 'de'"""
+)
+def weekly_output(spark: SparkSession, d: str) -> DataFrame:
+    """An output by week, one of whose weeks is written again, and to which URLs that it lacks are appended; broken lines are passed over."""
+    from .sources import jsonl
+
+    url = F.concat(F.lit("https://x.example/"), F.col("doc_id").cast("string"))
+    docs = _table(spark, d, "documents").select("doc_id", F.col("lang").alias("week"), F.lit("s").alias("source"), url.alias("url"), F.col("text").alias("title"), F.array("source").alias("tags"))
+    docs = docs.withColumns({c: F.lit("x") for c in ("published_at", "week_key", "week_start", "week_end", "sentiment_text")})
+    path = _folder(spark, "weeks")
+    first = docs.where("doc_id % 3 = 0").withColumn("description", F.lit("first"))
+    jsonl.write_weeks(first, path, append=False)
+    # a week that is written once more has its rows once; the others stay
+    again = docs.where("week = 'de'").withColumn("description", F.when(F.col("doc_id") % 3 == 0, "first").otherwise("again"))
+    jsonl.write_weeks(again, path, append=False)
+    spark.range(1).select(F.lit('{"url": "https://x.example/1", "ti').alias("value")).write.mode("append").text(f"{path}/week=en")
+    fresh = r.without_seen(docs.where("doc_id % 3 < 2"), jsonl.seen_urls(spark, path)).withColumn("description", F.lit("added"))
+    jsonl.write_weeks(fresh, path, append=True)
+    lines = spark.read.schema("url string, week string, title string, description string").option("mode", "DROPMALFORMED").json(path)
+    return lines.where("url is not null")
+
+
 # --- the flagship: score pages, keep the relevant ones, count by week and section -----------
 
 _FLAG = f"""SELECT {_WEEK.format('ts')} AS week_key, section, count(*) AS n, sum(score) AS score FROM (

@@ -3,13 +3,15 @@
 ``stored`` joins wanted URLs with a bronze table. ``HttpFetcher`` reads what is
 missing there: URLs are dealt by origin, so one task owns an origin and keeps its
 pace without locks across executors. robots.txt is obeyed on every redirect, and
-read again for pages that are stored.
-Failures become a status, not an exception.
+read again for pages that are stored; those are judged by their URLs alone.
+Failures become a status, not an exception; passing ones, broken connections and
+timeouts among them, are tried again first.
 """
 
 from __future__ import annotations
 
 import hashlib
+import http.client
 import threading
 import time
 import urllib.error
@@ -25,20 +27,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from . import robots
 
 SCHEMA = "url_key string, url string, final_url string, text string, status string"
+_TROUBLE = (OSError, ValueError, http.client.HTTPException)
 
 
-def stored(bronze: DataFrame):
+class Stored:
     """A fetch function over a table with url and text (and final_url, if it has it)."""
-    final = F.coalesce(F.col("final_url"), F.col("url")) if "final_url" in bronze.columns else F.col("url")
-    pages = bronze.select(t.url_key(F.col("url")).alias("url_key"), final.alias("final_url"), "text")
 
-    def fetch(urls: DataFrame) -> DataFrame:
-        wanted = urls.select("url").where("url is not null").distinct().withColumn("url_key", t.url_key(F.col("url")))
-        return wanted.join(pages, "url_key").select("url_key", "url", "final_url", "text", F.lit("ok").alias("status"))
+    def __init__(self, bronze: DataFrame):
+        final = F.coalesce(F.col("final_url"), F.col("url")) if "final_url" in bronze.columns else F.col("url")
+        self.pages = bronze.select(t.url_key(F.col("url")).alias("url_key"), final.alias("final_url"), "text")
+
+    def __call__(self, urls: DataFrame) -> DataFrame:
+        return self.onto(urls.select("url").where("url is not null").distinct()).select("url_key", "url", "final_url", "text", "status")
+
+    def onto(self, rows: DataFrame) -> DataFrame:
+        """``rows``, each with a url, and beside them what was read: one join, nothing is asked twice."""
+        return rows.withColumn("url_key", t.url_key(F.col("url"))).join(self.pages, "url_key").withColumn("status", F.lit("ok"))
 
-    return fetch
+
+def stored(bronze: DataFrame) -> Stored:
+    return Stored(bronze)
 
 
 def missing(urls: DataFrame, bronze: DataFrame) -> DataFrame:
@@ -96,17 +107,33 @@ class HttpFetcher:
             for batch in batches:
                 yield pd.DataFrame(list(pool.map(session.row, batch["url"])), columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    def permitted(self, pages: DataFrame) -> DataFrame:
-        """Stored pages (SCHEMA), with the status of those whose final URL robots.txt forbids by now."""
+    def policies(self, origins: DataFrame) -> DataFrame:
+        """(origin, status, text) of the robots.txt of each origin; none there is a null text."""
 
-        def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             session = _Session(self)
-            for batch in batches:
-                batch["status"] = [session.leave(u) for u in batch["final_url"]]
-                batch.loc[batch["status"] != "ok", "text"] = None
-                yield batch
+            with ThreadPoolExecutor(16) as pool:  # one request an origin
+                for batch in batches:
+                    yield pd.DataFrame(list(pool.map(session.policy, batch["origin"])), columns=["origin", "status", "text"])
 
-        return self._by_origin(pages, "final_url").mapInPandas(check, SCHEMA)
+        wanted = origins.select("origin").where("origin is not null").distinct()
+        wanted = wanted.repartition(self.workers, "origin") if self.workers else wanted.repartition("origin")
+        return wanted.mapInPandas(load, "origin string, status string, text string")
+
+    def permitted(self, pages: DataFrame) -> DataFrame:
+        """Stored pages (SCHEMA), with the status of those whose final URL robots.txt forbids by now.
+
+        Keys and final URLs are judged; the verdicts go back by key, as pages are dealt already.
+        """
+        asked = pages.select("url_key", "final_url", t.url_origin(F.col("final_url")).alias("origin"))
+        texts = self.policies(asked.select("origin")).persist()  # read twice: an origin is asked once
+        judged = robots.permissions(asked, robots.rules(texts.where("text is not null")), self.agent, "final_url").join(texts.select("origin", "status"), "origin", "left")
+        status = F.when(F.coalesce("status", F.lit("ok")) != "ok", F.col("status")).when(~F.col("allowed"), "blocked").otherwise("ok")
+        # a key's verdicts by final URL: pages that are dealt by key stay where they are
+        verdicts = judged.groupBy("url_key").agg(F.collect_set(F.struct("final_url", status.alias("status"))).alias("verdicts"))
+        mine = F.get(F.filter("verdicts", lambda v: v["final_url"].eqNullSafe(F.col("final_url"))), 0)["status"]
+        out = pages.drop("status").join(verdicts, "url_key").withColumn("status", mine)
+        return out.select("url_key", "url", "final_url", F.when(F.col("status") == "ok", F.col("text")).alias("text"), "status")
 
 
 class _Origin:
@@ -114,7 +141,7 @@ class _Origin:
 
     def __init__(self, settings: HttpFetcher):
         self.rules: RobotFileParser | None = None  # none: all is allowed
-        self.known = False
+        self.known, self.trouble = False, None  # why robots.txt can't be read
         self.pause, self.slots = settings.delay, threading.Semaphore(settings.at_once)
         self.turn, self.loading = threading.Lock(), threading.RLock()
         self.free_at = 0.0
@@ -144,18 +171,15 @@ class _Session:
             return key, url, final, text, "ok"
         except Blocked:
             return key, url, None, None, "blocked"
-        except (OSError, ValueError) as e:
+        except _TROUBLE as e:
             return key, url, None, None, f"failed: {e}"
 
-    def leave(self, url: str) -> str:
-        """The status that robots.txt gives a URL."""
+    def policy(self, origin: str) -> tuple:
+        """(origin, status, text) of its robots.txt."""
         try:
-            self.permit(url)
-            return "ok"
-        except Blocked:
-            return "blocked"
-        except (OSError, ValueError) as e:
-            return f"failed: {e}"
+            return origin, "ok", self.robots_text(f"{origin}/robots.txt")
+        except _TROUBLE as e:
+            return origin, f"failed: {e}", None
 
     def read(self, url: str) -> tuple[str, str]:
         """Text and final URL; every hop needs leave from its own robots.txt."""
@@ -178,26 +202,37 @@ class _Session:
         origin = self.origin(url)
         with origin.loading:
             if not origin.known:
-                self.load(origin, "{0.scheme}://{0.netloc}/robots.txt".format(urlsplit(url)))
+                origin.known = True  # an origin that is down is asked once
+                try:
+                    self.load(origin, "{0.scheme}://{0.netloc}/robots.txt".format(urlsplit(url)))
+                except _TROUBLE as e:
+                    origin.trouble = OSError(f"robots.txt: {e}")
+        if origin.trouble is not None:
+            raise origin.trouble
         if origin.rules is not None and not origin.rules.can_fetch(self.settings.agent, url):
             raise Blocked(url)
 
-    def load(self, origin: _Origin, url: str) -> None:
-        """robots.txt, wherever it moved to; one that isn't there allows everything, one that can't be read nothing."""
+    def robots_text(self, url: str) -> str | None:
+        """robots.txt, wherever it moved to; None where there is none, which allows everything."""
         status, _, body, _ = self.follow(url, self.settings.robots_timeout, lambda _: None)
         if status >= 400 and status != 404:
-            raise OSError(f"robots.txt: HTTP {status}")
-        if status != 404:
+            raise OSError(f"HTTP {status}")
+        return None if status == 404 else body.decode("utf-8", "replace")
+
+    def load(self, origin: _Origin, url: str) -> None:
+        """An origin's rules and pace; a robots.txt that can't be read allows nothing."""
+        text = self.robots_text(url)
+        if text is not None:
             origin.rules = RobotFileParser()
-            origin.rules.parse(body.decode("utf-8", "replace").splitlines())
+            origin.rules.parse(text.splitlines())
             pause = stated_pause(origin.rules, self.settings.agent)
             if pause is not None:
                 origin.pause, origin.slots = max(self.settings.delay, pause), threading.Semaphore(1)
-        origin.known = True
 
     def request(self, url: str, timeout: float):
-        """One request in its origin's turn; passing troubles are tried again."""
+        """One request in its origin's turn; passing troubles, of the server or on the way, are tried again."""
         origin = self.origin(url)
+        last = self.settings.tries - 1
         for attempt in range(self.settings.tries):
             with origin.slots:
                 origin.wait()
@@ -205,8 +240,11 @@ class _Session:
                     with self.opener.open(urllib.request.Request(url, headers={"User-Agent": self.settings.agent}), timeout=timeout) as r:
                         return r.status, r.headers, r.read()
                 except urllib.error.HTTPError as e:
-                    if e.code not in (429, 500, 502, 503, 504) or attempt == self.settings.tries - 1:
+                    if e.code not in (429, 500, 502, 503, 504) or attempt == last:
                         return e.code, e.headers, e.read()
+                except (OSError, http.client.HTTPException):
+                    if attempt == last:
+                        raise
             time.sleep(self.settings.backoff * 2**attempt)
         raise OSError("unreachable")
 

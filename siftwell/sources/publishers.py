@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -91,5 +91,15 @@ def publishers() -> list[Publisher]:
     return list(PUBLISHERS)
 
 
-def all_candidates(spark: SparkSession, fetch: Fetch, start: str, end: str, rules: Rules, of: list[Publisher] | None = None) -> DataFrame:
-    return union_sources(p.candidates(spark, fetch, start, end, rules) for p in of or publishers())
+def all_candidates(
+    spark: SparkSession, fetch: Fetch, start: str, end: str, rules: Rules, of: list[Publisher] | None = None, counted: dict[str, Observation] | None = None
+) -> DataFrame:
+    """The candidates of all publishers. ``counted`` gets an observation for each: n, first_at and last_at of its rows, as they are listed."""
+    parts = []
+    for p in of or publishers():
+        rows = p.candidates(spark, fetch, start, end, rules)
+        if counted is not None:
+            counted[p.name] = Observation()
+            rows = rows.observe(counted[p.name], F.count(F.lit(1)).alias("n"), F.min("published_at").alias("first_at"), F.max("published_at").alias("last_at"))
+        parts.append(rows)
+    return union_sources(parts)

@@ -16,6 +16,7 @@ from ..operators.rules import Rules
 from ..plans import pipeline
 from ..plans.config import RunConfig
 from ..sources import jsonl
+from ..sources.seen import SeenUrls
 
 CANDIDATES = "source string, url string, published_at timestamp, title string, section string"
 
@@ -24,10 +25,24 @@ def incremental(spark: SparkSession, inbox: str, checkpoint: str, fetch: Callabl
     """A query that handles all files now in ``inbox`` (Parquet of CANDIDATES), then ends."""
     rules = rules or Rules()
 
+    table = SeenUrls(spark, config.seen) if config.seen else None
+
     def handle(batch: DataFrame, number: int) -> None:
-        fresh = pipeline.select_candidates(pipeline.newest(batch, rules), jsonl.seen_urls(spark, config.output), rules)
-        out = pipeline.records(pipeline.enrich(fresh, fetch, config, rules))
-        jsonl.write_records(out, config.output, append=True)
+        newest = pipeline.newest(batch, rules)
+        if table:  # reads the buckets of the batch's URLs, not all that was written
+            fresh = pipeline.judge_candidates(table.unseen(newest), rules).where("reject_reason is null")
+        else:
+            fresh = pipeline.select_candidates(newest, jsonl.seen_urls(spark, config.output), rules)
+        out = pipeline.records(pipeline.enrich(fresh.drop("reject_reason"), fetch, config, rules))
+        if table is None:
+            jsonl.write_records(out, config.output, append=True)
+            return
+        out = out.persist()
+        try:
+            jsonl.write_records(out, config.output, append=True)
+            table.add(out)
+        finally:
+            out.unpersist()
 
     stream = spark.readStream.schema(CANDIDATES).parquet(inbox)
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -176,9 +176,9 @@ def test_whole_run_and_resume(spark, tmp_path):
     of = publishers()[:1]
     assert pipeline.run(spark, _web(spark), config, of=of) == 1
     assert [(x.source, x.n) for x in spark.read.json(str(tmp_path / "metrics/sources")).collect()] == [("InfoMoney", 2)]
-    assert [(x.week_key, x["pool"], x.passed) for x in spark.read.json(str(tmp_path / "metrics/weeks")).collect()] == [("2025-W17", 1, 1)]
+    assert [(x.week_key, x["pool"], x.rejected, x.passed, x.approved) for x in spark.read.json(str(tmp_path / "metrics/weeks")).collect()] == [("2025-W17", 2, 1, 1, 1)]
     assert pipeline.run(spark, _web(spark), config, of=of) == 0
-    lines = [json.loads(x) for f in (tmp_path / "out").glob("part-*") for x in f.read_text().splitlines()]
+    lines = [json.loads(x) for f in (tmp_path / "out").rglob("part-*") for x in f.read_text().splitlines()]
     assert len(lines) == 1
     assert list(lines[0]) == ["source", "url", "published_at", "week_key", "week_start", "week_end", "tags", "title", "description", "sentiment_text"]
     assert lines[0]["published_at"] == "2025-04-21T10:30:00+00:00" and lines[0]["week_key"] == "2025-W17" and lines[0]["tags"] == ["Bolsa"]

@@ -377,7 +377,7 @@ def test_query_equals_sql(spark, name):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     cursor = c.execute(ORACLE_SQL[name])
     df = QUERIES[name](spark, DATA)

@@ -23,8 +23,10 @@ def arguments(argv: list[str] | None = None) -> tuple[RunConfig, str]:
     p.add_argument("--workers", type=int, default=d.workers, help="tasks that fetch at the same time")
     p.add_argument("--metrics", default=None, help="folder for counters by source and week")
     p.add_argument("--resume", action="store_true", help="append, leaving out URLs that are in the output")
+    p.add_argument("--seen", default=None, help="bucketed table of the URLs written, asked when resuming instead of reading the output")
+    p.add_argument("--weeks-per-commit", type=int, default=d.weeks_per_commit, help="weeks that are written at a time")
     a = p.parse_args(argv)
-    return RunConfig(a.start_date, a.end_date, a.output, a.resume, metrics=a.metrics, workers=a.workers), a.cache_dir
+    return RunConfig(a.start_date, a.end_date, a.output, a.resume, metrics=a.metrics, seen=a.seen, weeks_per_commit=a.weeks_per_commit, workers=a.workers), a.cache_dir
 
 
 def main() -> None:

@@ -29,7 +29,7 @@ SMOOTH = 5  #: added to each count
 LEAST_DOCS = 30  #: documents of its language that a term must be in
 TERMS = 50  #: ranks of terms by group
 SEATS = 8  #: that the groups of a language are dealt to
-BLOCK_TERMS = 1 << 16  #: of a language in a block, about
+BLOCK_TERMS = 1 << 13  #: of a language in a block, about
 BLOCK_ENTRIES = 1 << 21  #: counts of a seat in a block, about
 #: Distinct terms that a task counts before it hands them on, and bytes of a text that it takes at a time.
 COUNTED, SLICE = 1 << 18, 1 << 20

@@ -8,8 +8,9 @@ below a cut. Every set indexes what it holds below the cut, so how many of these
 it shares bounds its overlap with any other set: that drops sets, then pairs.
 Each set is first compared with the pivot it shares most with, and linked sets
 are contracted. Sets that are then still apart meet under the members they share:
-pair by pair under members that few hold, else in blocks. A block's sets are a
-prefix tree in the global order, which is walked once for many probes: a path
+pair by pair under members that few hold, else in blocks. Members that the same
+sets hold, or nearly, are one family, under which a set comes once, however many
+of them it has. A block's sets are a prefix tree in the global order, which is walked once for many probes: a path
 that sets share is overlapped with the probes once, and what is below is left
 when the members that remain cannot reach the bound for any of them. Of a
 block's links only those that join what is not joined yet are rows.
@@ -449,8 +450,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             rows = shared.materialize(rows.join(mixed, "gram"), "apart")
             able = rows.groupBy("cls").agg(F.count("*").alias("k")).join(sizes, "cls").where(f"k >= {_need(percent)}").select("cls")
             rows = rows.join(able, "cls")
-        held = rows.groupBy("gram").agg(F.count("*").alias("held"))
-        return shared.materialize(rows.join(held, "gram").select("gram", "cls", "held", "comp"), "apart")
+        # ids of classes are hashes, so the smallest and the largest holder agree the oftener, the more two members' holders are alike
+        family = F.xxhash64(F.min("cls"), F.max("cls"), F.floor(F.log2(F.count("*"))))
+        held = rows.groupBy("gram").agg(F.count("*").alias("held"), family.alias("family"))
+        return shared.materialize(rows.join(held, "gram").select("gram", "cls", "held", "family", "comp"), "apart")
 
     apart = still_apart()
     # All that are apart yet: under members that few sets hold, pairs; under
@@ -486,13 +489,15 @@ def _few(apart: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     ).select("u", "v")
 
 
-def _blocks(apart: DataFrame, texts: DataFrame, level, percent: int) -> DataFrame:
-    """Links (u, v) that join different components, under members that many sets hold.
+def _dealt(apart: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(family, cls, comp, grams, i, j, probe, holder): what meets in each block (family, i, j).
 
     Of two sets, the one with fewer members (ties: the smaller id) shares one of
     its rarest members below the cut with the other: as many of them as it may
-    lack, and one more. Under each member, the sets that have it among these
-    probe all sets that hold it, in blocks.
+    lack, and one more. Under each family of members, the sets that have one of
+    it among these probe all sets that hold one of it, in blocks. A set is there
+    once for a family, not for each of its members, so what is sent grows with
+    the text and not with its square.
     """
     order = Window.partitionBy("cls").orderBy("held", "gram")
     need = F.ceil(F.col("n") * (2 * percent) / (100 + percent))
@@ -505,18 +510,29 @@ def _blocks(apart: DataFrame, texts: DataFrame, level, percent: int) -> DataFram
     # members that lead somewhere: some set has it among its rarest, and the sizes fit
     rows = rows.where(f"held >= {FEW}")
     asked = rows.where("short").groupBy("gram").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
-    rows = rows.join(asked, "gram").where(f"n >= n0 and {percent} * n <= 100 * n1").drop("n0", "n1")
-    there = rows.groupBy("gram").agg(F.sum("n").alias("members"), F.count("*").alias("sets"))
+    rows = rows.join(asked, "gram").where(f"n >= n0 and {percent} * n <= 100 * n1")
+    rows = shared.materialize(rows.groupBy("family", "cls", "comp", "n").agg(F.max("short").alias("short")), "families")
+    there = rows.groupBy("family").agg(F.sum("n").alias("members"), F.count("*").alias("sets"), F.max("short").alias("probes"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("sets") / BLOCK)).cast("int")
-    rows = rows.join(there.where("sets > 1").select("gram", blocks.alias("blocks")), "gram").join(texts.select("cls", "grams"), "cls")
+    rows = rows.join(there.where("probes and c0 <> c1").select("family", blocks.alias("blocks")), "family")
     # every probe meets every block of holders; where there is one block, a set is there once
     mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    columns = ["gram", "cls", "comp", "grams"]
-    one = rows.where("blocks = 1").select(*columns, F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("short").alias("probe"), F.lit(True).alias("holder"))
-    left = rows.where("blocks > 1 and short").select(*columns, mine.alias("i"), every.alias("j"), F.lit(True).alias("probe"), F.lit(False).alias("holder"))
-    right = rows.where("blocks > 1").select(*columns, mine.alias("j"), every.alias("i"), F.lit(False).alias("probe"), F.lit(True).alias("holder")).select(left.columns)
-    dealt = one.union(left).union(right).repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "cls")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+
+    def seat(i, j, probe, holder):
+        return F.struct(i.alias("i"), j.alias("j"), probe.alias("probe"), holder.alias("holder"))
+
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0)
+    probing = F.transform(F.when(F.col("short"), every).otherwise(F.array().cast("array<int>")), lambda j: seat(mine, j, yes, no))
+    holding = F.transform(every, lambda i: seat(i, mine, no, yes))
+    seats = F.when(F.col("blocks") == 1, F.array(seat(zero, zero, F.col("short"), yes))).otherwise(F.concat(probing, holding))
+    rows = rows.select("family", "cls", "comp", F.explode(seats).alias("seat"))
+    return rows.join(texts.select("cls", "grams"), "cls").select("family", "cls", "comp", "grams", "seat.*")
+
+
+def _blocks(apart: DataFrame, texts: DataFrame, level, percent: int) -> DataFrame:
+    """Links (u, v) that join different components, under members that many sets hold."""
+    dealt = _dealt(apart, texts, percent).repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "cls")
 
     def meet(group: list[tuple]) -> list[tuple[int, int]]:
         probes, held = [k for k, r in enumerate(group) if r[6]], [k for k, r in enumerate(group) if r[7]]

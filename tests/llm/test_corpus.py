@@ -71,6 +71,34 @@ def test_near_duplicates_equal_all_pairs(spark, seed, few, monkeypatch):
     assert ngram_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("scattered", [False, True])
+def test_what_blocks_send_grows_with_the_text(spark, scattered, monkeypatch):
+    """48 texts that share most words and aren't linked: twice the text is about twice the bytes sent."""
+    seen, dealt = [], ngram_join._dealt
+
+    def watched(*args):
+        out = dealt(*args)
+        seen.append(out.selectExpr("coalesce(sum(octet_length(grams)), 0) AS b").first().b)
+        return out
+
+    monkeypatch.setattr(ngram_join, "_dealt", watched)
+    for n in (1000, 2000):
+        rnd = random.Random(n)
+        base = [f"w{rnd.random()}" for _ in range(n)]
+        rows = []
+        for i in range(48):
+            mine = list(base)
+            # the same fifth of the words is each text's own, or a run of an eighth of every fifth, at a place of its own
+            runs = [(k * n // 5 + rnd.randrange(n // 5 - n // 40), n // 40) for k in range(5)] if scattered else [(0, n // 5)]
+            for a, k in runs:
+                mine[a : a + k] = [f"x{rnd.random()}" for _ in range(k)]
+            rows.append((i, " ".join(mine)))
+        got = {x.doc_id: x.component_id for x in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {i: i for i in range(48)}
+    assert seen[0] > 0 and seen[1] < 3 * seen[0]
+    assert seen[1] <= 16 * 48 * 2000 * 8  # a set goes to few families, whatever its length
+
+
 def test_one_of_each_group_stays(spark):
     a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
     rows = [(2, a + " x", 1, "p"), (1, a, 2, "q"), (1, a, 2, "q"), (1, a + " y", 3, "r"), (None, a + " z", 4, "s"), (None, b, 5, "t"), (None, b + " x", 6, "u"), (7, None, 7, "v"), (8, "", 8, "w")]

@@ -50,7 +50,7 @@ def test_cut_references_in_titles(spark, tmp_path):
     compare(q.html_title(spark, str(tmp_path)), c.execute(q.ORACLE_SQL["html_title"]))
 
 
-@pytest.mark.parametrize("name", ["publisher_candidates", "listed_by_source"])
+@pytest.mark.parametrize("name", ["publisher_candidates", "whole_run", "listed_by_source"])
 def test_listings_around_midnight(spark, tmp_path, name):
     moments = [f"2024-01-{day} {time}" for day in ("04", "05", "06", "08", "12", "13") for time in ("00:00:00", "00:00:00.25", "00:00:01", "23:59:59.75")]
     events = [(3 * i + j, m) for i, m in enumerate(moments) for j in range(3)]

@@ -165,6 +165,16 @@ def test_the_prior_of_a_mixture():
     assert quality_classifier.estimated_prior(good, good) > 0.95
 
 
+def test_scores_do_not_depend_on_the_rows_beside():
+    rng = np.random.default_rng(3)
+    layers = (rng.standard_normal((158, 32)), rng.standard_normal(32), rng.standard_normal(32) / 9, rng.standard_normal(1))
+    model, x = quality_classifier.Model(np.zeros(158), np.ones(158), layers, 0.5), np.repeat(rng.standard_normal((7, 158)), 31, axis=0)
+    want = model.scores(x[:1])[0]
+    for n in (*range(1, 40), len(x)):
+        got = model.scores(x[:n])
+        assert (got[: min(n, 31)] == want).all()
+
+
 def test_held_out_quality(spark):
     docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
     held = lambda k: zlib.crc32(str(k).encode()) % 4 == 2

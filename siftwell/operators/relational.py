@@ -48,6 +48,11 @@ def union_sources(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that are computed once a row: Spark moves no filter on them below, and repeats them in no later expression."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
 def source_stats(df: DataFrame, source: str, moment: str) -> DataFrame:
     return df.groupBy(source).agg(F.count("*").alias("n"), F.min(moment).alias("first_at"), F.max(moment).alias("last_at"))
 

@@ -160,5 +160,9 @@ class Rules:
 
     def signal_counts(self, text: Column) -> dict[str, Column]:
         """core_hits and brazil_hits of a text that isn't normalised yet."""
-        hits = t.bound(t.normalize(text), lambda n: F.struct(self.core.count(n).alias("core"), self.brazil.count(n).alias("brazil")))
+        hits = self.signals(text)
         return {"core_hits": hits["core"], "brazil_hits": hits["brazil"]}
+
+    def signals(self, text: Column) -> Column:
+        """struct(core, brazil): both counts of a text that isn't normalised yet."""
+        return t.bound(t.normalize(text), lambda n: F.struct(self.core.count(n).alias("core"), self.brazil.count(n).alias("brazil")))

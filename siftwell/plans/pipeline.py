@@ -83,9 +83,10 @@ def enrich(selected: DataFrame, fetch: Fetch, config: RunConfig, rules: Rules) -
     title = F.coalesce(t.not_empty(F.col("page.title")), t.not_empty(F.col("title")), t.slug_title(F.col("url")))
     rows = rows.withColumns({"title": title, "published_at": F.coalesce("page.published_at", "published_at"), "tags": F.col("page.tags"), "found": F.col("page.description")})
     rows = rows.where(r.date_range(F.col("published_at"), config.start_date, config.end_date)).where(t.not_empty(F.col("title")).isNotNull())
-    rows = rows.withColumn("description", t.sanitize_description(F.col("found"), F.col("title")))
-    surface = t.join_parts(F.col("title"), F.col("description"), F.array_join("tags", " "))
-    return rules.record_reason(rows.withColumns(rules.signal_counts(surface)).drop("page", "found"))
+    # each step computed once: the filter on the reason would repeat what it is made of wherever it is used
+    rows = r.with_once(rows, {"description": t.sanitize_description(F.col("found"), F.col("title"))}).drop("page", "found")
+    rows = r.with_once(rows, {"hits": rules.signals(t.join_parts(F.col("title"), F.col("description"), F.array_join("tags", " ")))})
+    return rules.record_reason(rows.withColumns({"core_hits": F.col("hits.core"), "brazil_hits": F.col("hits.brazil")}).drop("hits"))
 
 
 def records(enriched: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:

@@ -185,6 +185,14 @@ def test_whole_run_and_resume(spark, tmp_path):
     assert lines[0]["sentiment_text"] == "Titulo: Ibovespa fecha em alta & selic sobe\nResumo: O Ibovespa subiu com a Selic e o Brasil."
 
 
+def test_a_record_is_made_once(spark):
+    """The filter on the reason doesn't repeat what records are made of: two look for words, three read paths."""
+    rows = spark.sql("SELECT 'InfoMoney' AS source, 'u' AS url, timestamp '2025-04-21' AS published_at, 't' AS title, 's' AS section")
+    out = pipeline.records(pipeline.enrich(rows, _web(spark), RunConfig("2025-04-01", "2025-04-30", "out"), RULES))
+    found = out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(")
+    assert found <= 5
+
+
 def test_config_order():
     with pytest.raises(ValueError):
         RunConfig("2025-01-02", "2025-01-01")

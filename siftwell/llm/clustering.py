@@ -90,7 +90,7 @@ def _moved(vectors: DataFrame, centre: np.ndarray, dims: int) -> np.ndarray:
 
     found = vectors.mapInArrow(shared.tidy(sums), "cluster int, at int, total decimal(38,0)").groupBy("cluster", "at").agg(F.sum("total").alias("total"))
     after = centre.astype(object)
-    got = {(r["cluster"], r["at"]): int(r["total"]) for r in found.toLocalIterator()}  # clusters times dims at most
+    got = {(r["cluster"], r["at"]): int(r["total"]) for r in found.collect()}  # clusters times dims at most; toLocalIterator would run a job a partition
     for (cluster, at), total in got.items():
         if at < dims:
             after[cluster, at] = total // got[cluster, dims]

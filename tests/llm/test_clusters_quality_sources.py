@@ -55,6 +55,25 @@ def test_clusters_equal_brute_force(spark, seed, size):
         assert r.centroid_sha256 == hashlib.sha256(",".join(map(str, centre[r.cluster])).encode()).hexdigest()
 
 
+def test_jobs_dont_grow_with_partitions(spark):
+    """A round's sums come back in one go, not by a job for each partition of the shuffle."""
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(3)]) for i in range(200)], "vec_id long, embedding array<double>")
+    held = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("rounds", "rounds")
+        clustering.cluster_vectors(df, clustering.Settings(clusters=20, rounds=3, dims=3))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 0 < len(jobs) < 30
+
+
 def test_few_or_no_vectors(spark):
     kind = "vec_id long, embedding array<float>"
     s = clustering.Settings(clusters=5, dims=2)

@@ -64,6 +64,14 @@ def token_ids(text: str, path: str) -> list[int]:
         return _tokenizer(path).encode(text, add_special_tokens=False).ids
 
 
+def token_array(text: str, path: str) -> np.ndarray:
+    """``token_ids`` as an array, without a Python object for each id."""
+    try:
+        return _encoding(path).encode_to_numpy(text, allowed_special="all") if text else np.zeros(0, np.uint32)
+    except ValueError:
+        return np.array(token_ids(text, path), np.uint32)
+
+
 def _idf(df: np.ndarray, n: int) -> np.ndarray:
     return np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)  # 0: a term of more than half the items says nothing
 
@@ -258,9 +266,9 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
         for b in batches:
             total, whole, rest = [], [], []
             for x in b.column(1):
-                got = token_ids(x.as_py() or "", path)
-                got.append(END)
-                ids = np.array(got, kind)
+                got = token_array(x.as_py() or "", path)
+                ids = np.full(len(got) + 1, END, kind)
+                ids[:-1] = got
                 cut = len(ids) // window * window
                 total.append(len(ids))
                 whole.append(ids[:cut].tobytes())
@@ -290,8 +298,8 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
         terms = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *terms.tolist()], pa.int64()), pa.array([n, tokens, *df[terms].tolist()], pa.int64())], names=["term", "n"])
 
-    # as many rows as the tokenizer has ids
-    df = {r["term"]: r["n"] for r in rests.mapInArrow(shared.tidy(counts), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator()}
+    # as many rows as the tokenizer has ids; toLocalIterator would run a job a partition, here and below
+    df = {r["term"]: r["n"] for r in rests.mapInArrow(shared.tidy(counts), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n, tokens = df.pop(-1, 0), df.pop(-2, 0)
     frequency = np.zeros(max(df, default=0) + 1, np.int64)
     frequency[list(df)] = list(df.values())
@@ -307,7 +315,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
     if depth:
         # the same rows each time: those with a small hash, equal ones once
         some = rests.where(F.pmod("h", F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))).dropDuplicates(["h"])
-        got = sorted((r["h"], r["v"]) for r in some.mapInArrow(shared.tidy(projected), "h long, v array<float>").toLocalIterator())
+        got = sorted((r["h"], r["v"]) for r in some.mapInArrow(shared.tidy(projected), "h long, v array<float>").collect())
         sample = np.array([v for _, v in got], np.float32).reshape(-1, PLANES)
     nodes = spark.sparkContext.broadcast(tree(sample, depth))
 
@@ -320,7 +328,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, text: str =
     kind = "doc_id long, doc_tokens long, width int, rest binary, h long, leaf long, n long"
     placed = shared.materialize(rests.mapInArrow(shared.tidy(leaf), kind), "placed")
     sizes = np.zeros((2**depth, 2), np.int64)
-    for r in placed.groupBy("leaf").agg(F.count("*").alias("items"), F.sum("n").alias("tokens")).toLocalIterator():
+    for r in placed.groupBy("leaf").agg(F.count("*").alias("items"), F.sum("n").alias("tokens")).collect():
         sizes[r["leaf"]] = r["items"], r["tokens"]
     first, parts = deal(sizes)
     at = lambda x: F.element_at(F.lit(x.tolist()), (F.col("leaf") + 1).cast("int"))

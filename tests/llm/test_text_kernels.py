@@ -422,6 +422,13 @@ def test_long_white_space_is_encoded():
         assert packing.token_ids(text, path) == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_as_an_array():
+    path = packing.tokenizer_path()
+    for text in ("", "a", " " * 1_000_000 + "a", "x<|endoftext|>y", "é 😀 \x00\n\n"):
+        got = packing.token_array(text, path)
+        assert isinstance(got, np.ndarray) and got.tolist() == packing.token_ids(text, path)
+
+
 def test_scores_equal_the_formula():
     rng = np.random.default_rng(3)
     items = [rng.integers(0, 40, rng.integers(1, 60)) for _ in range(50)]

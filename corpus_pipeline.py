@@ -46,8 +46,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of over 50 words that repeat go, and documents with nothing else."""
-    out = substring_dedup.remove_repeats(_apart(docs), size=PASSAGE_BYTES, min_words=PASSAGE_WORDS)
-    return _as_before(out.withColumn("text", substring_dedup.as_text("kept")).where(_WORDED), docs)
+    out = substring_dedup.remove_repeats(_apart(docs), size=PASSAGE_BYTES, min_words=PASSAGE_WORDS, decoded=True)
+    return _as_before(out.withColumn("text", F.col("kept")).where(_WORDED), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

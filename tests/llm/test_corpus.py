@@ -232,6 +232,17 @@ def test_substring_dedup_by_words(spark):
     assert [out[i].n_removed for i in (1, 3)] == [0, 0] and [(out[i].k_id, out[i].k_text) for i in range(4)] == [(-i, "z") for i in range(4)]
 
 
+def test_substring_stage_holds_one_python_worker_a_task(spark):
+    """Texts are decoded where they are cut, as ``as_text`` decodes them: a second worker a task stays in memory to the pipeline's end."""
+    docs = spark.createDataFrame([(1, "é" * 300 + " " + "b " * 60), (2, "é" * 300 + " " + "b " * 60), (3, "word " * 3), (4, None)], "doc_id long, text string")
+    for words in (0, 51):
+        a, b = (substring_dedup.remove_repeats(docs, size=201, min_words=words, decoded=x) for x in (True, False))
+        assert a.schema["kept"].dataType.simpleString() == "string"
+        assert sorted(map(tuple, a.select("doc_id", "n_removed", "kept").collect())) == sorted(map(tuple, b.select("doc_id", "n_removed", substring_dedup.as_text("kept")).collect()))
+    plan = corpus_pipeline.suffix_array_dedup(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and plan.count("MapInArrow") == 1
+
+
 def test_vector_search(spark):
     rng = np.random.default_rng(6)
     v = np.concatenate([rng.standard_normal((1500, 16)) + 3 * rng.integers(0, 4, (1500, 1)), np.ones((300, 16))])

@@ -429,6 +429,42 @@ def test_ids_as_an_array():
         assert isinstance(got, np.ndarray) and got.tolist() == packing.token_ids(text, path)
 
 
+def test_ids_without_looking_ahead():
+    """White space of every kind, before and after added tokens, at the ends and in long runs."""
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    plain = Tokenizer.from_file(path)
+    rnd = random.Random(21)
+    bits = [*" \n\t\r\x0b\x0c\x1c\x1f\x85\u00a0\u1680\u2003\u2028\u202f\u205f\u3000\u180e\u200b\ufeff", "  ", "\n\n", "a", "ab", "12", "!", "é", "'s", "<|endoftext|>"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14)))
+        assert packing.token_array(text, path).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    assert packing._plain(path)[0]._pat_str.count("(?") == 0  # looking ahead takes a third of the time
+
+
+def test_whole_sequences_share_batches():
+    rng = np.random.default_rng(8)
+    docs = [rng.integers(0, 50_000, 16 * n).astype("<u2") for n in (1, 3, 2, 700, 1) * 40]
+    b = pa.RecordBatch.from_pydict({"doc_id": [None, *range(1, 200)], "doc_tokens": [len(x) + 5 for x in docs], "width": pa.array([2] * 200, pa.int32()), "whole": [x.tobytes() for x in docs]})
+    out = list(packing._sequences(iter([b.slice(0, 3), b.slice(3)]), 16, 7))
+    assert len(out) < 120  # not one a document
+    rows = [r for x in out for r in x.to_pylist()]
+    assert [r["sequence_id"] for r in rows] == list(range(7, 7 + len(rows)))
+    assert [(r["doc_id"], r["start"], r["length"], r["doc_tokens"], r["offset"]) for r in rows] == [(d or None, s, 16, len(x) + 5, 0) for d, x in enumerate(docs) for s in range(0, len(x), 16)]
+    assert b"".join(r["ids"] for r in rows) == np.concatenate(docs).astype("<u4").tobytes()
+
+
+def test_an_index_without_used_items_scores_the_others_alike():
+    rng = np.random.default_rng(9)
+    items = [rng.integers(0, 300, rng.integers(1, 60)).astype(np.uint16) for _ in range(200)]
+    whole, index, held = packing.Index(items), packing.Index(items), np.ones(200, bool)
+    for _ in range(3):
+        held &= rng.random(200) < 0.6
+        index.keep(held)
+        assert all((index.scores(i) == np.where(held, whole.scores(i), 0)).all() for i in range(200))
+
+
 def test_scores_equal_the_formula():
     rng = np.random.default_rng(3)
     items = [rng.integers(0, 40, rng.integers(1, 60)) for _ in range(50)]

@@ -18,12 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shared
 
+#: Ids that are decoded in one go.
+DECODED = 1 << 17
 #: Merged pre-tokens that a worker remembers; after that it starts afresh.
 REMEMBERED = 1 << 19
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
@@ -169,6 +172,8 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(entries), np.uint8)
         self.size = np.array([len(x) for x in entries])
         self.start = np.cumsum(self.size) - self.size
+        at = np.cumsum([0, *map(len, self.token)])
+        self.text, self.text_start, self.text_size = np.frombuffer(b"".join(self.token), np.uint8), at[:-1], np.diff(at)  # by id
         self.memo: dict[bytes, bytes] = {}  # pre-token -> its ids, 4 bytes each
 
     def merge(self, piece: bytes) -> list[int]:
@@ -248,6 +253,25 @@ class Codec:
         token = self.token
         return b"".join([token[i] for i in ids])
 
+    def decode_lists(self, column: pa.ListArray) -> Iterator[pa.BinaryArray]:
+        """``decode`` of each list of ids (null: no bytes), run by run of lists, without a Python object for each id."""
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(), dtype=np.int64)
+        ids = column.flatten().to_numpy()  # raises where an id is null
+        i, done = 0, 0
+        while i < len(column):
+            j = max(i + 1, int(np.searchsorted(ends, done + DECODED, side="right")))
+            run = ids[done : ends[j - 1]]
+            offs = np.append(0, np.cumsum(self.text_size[run]))[np.append(done, ends[i:j]) - done]
+            data = np.concatenate([np.zeros(0, np.uint8), *(self._bytes(run[k : k + DECODED]) for k in range(0, len(run), DECODED))])  # one list can be longer
+            yield pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(data)])
+            i, done = j, int(ends[j - 1])
+
+    def _bytes(self, ids: np.ndarray) -> np.ndarray:
+        size = self.text_size[ids]
+        step = np.repeat(self.text_start[ids] - (np.cumsum(size) - size), size)
+        step += np.arange(len(step))
+        return self.text[step]
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes -> id from a ``.tiktoken`` file or a ``.json`` tokenizer file, without special tokens."""
@@ -311,9 +335,10 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(path)
         for b in batches:
-            column = b.column(names.index(ids))
-            got = [codec.decode(column[i].values.to_pylist()) if column[i].is_valid else b"" for i in range(len(column))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*names, out])
+            at = 0
+            for got in codec.decode_lists(b.column(names.index(ids))):
+                yield pa.RecordBatch.from_arrays([*(c.slice(at, len(got)) for c in b.columns), got], names=[*names, out])
+                at += len(got)
 
     frame = coded.select(*[f"`{c}`" for c in names])
     return frame.mapInArrow(shared.tidy(run), _with(frame.schema, out, T.BinaryType()))

@@ -137,6 +137,21 @@ def test_bpe_frames(spark):
     assert bpe.encode(spark.createDataFrame([], "text string"), MULTI).count() == 0
 
 
+@pytest.mark.parametrize("together", [1 << 17, 40, 1])
+def test_lists_are_decoded_without_an_object_an_id(spark, monkeypatch, together):
+    monkeypatch.setattr(bpe, "DECODED", together)
+    codec = bpe.load(MULTI)
+    rows = [None, "", *odd_texts(300), None, ""]
+    ids = [None if x is None else encoded(codec, [x])[0] for x in rows]
+    monkeypatch.setattr(bpe.Codec, "decode", None)
+    for column, want in ((pa.array(ids, pa.list_(pa.int32())), rows), (pa.array([[1, 2], *ids, [3]], pa.list_(pa.int32())).slice(1, len(ids)), rows), (pa.array([], pa.list_(pa.int32())), [])):
+        got = list(codec.decode_lists(column))
+        assert [x for part in got for x in part.to_pylist()] == [(x or "").encode() for x in want]
+        assert together < 1 << 17 or len(got) <= 1
+    with pytest.raises((ValueError, IndexError, pa.ArrowInvalid)):
+        list(codec.decode_lists(pa.array([[1, None]], pa.list_(pa.int32()))))
+
+
 # --- packing -----------------------------------------------------------------------
 
 
